@@ -180,40 +180,41 @@ def batch_summary(
     )
 
 
-def _as_map(df: DataFrame, key: str, value: Column) -> Column:
-    pairs = F.sort_array(F.collect_list(F.struct(F.col(key).alias("k"), value.alias("v"))))
-    return F.map_from_entries(pairs)
-
-
-def project_document(
+def project_rows(
     project_id: str, qc: DataFrame, axes: DataFrame, run_type: str = "rna-seq"
 ) -> DataFrame:
-    """The nested summary document of one project, one row.
+    """The project summary as ``(project_id, section, name, sample_id, value)`` rows.
 
-    A document holds every sample of its project by definition; use it for
-    project-sized data and the long tables above for anything larger.
+    One document would hold every sample in one row; here each entry is a row,
+    and the sink writes a folder per section. ``value`` is JSON text where an
+    entry has several fields.
     """
     statuses = qc.select("sample_id", F.coalesce("status", F.lit("UNKNOWN")).alias("status"))
-    totals = status_summary(statuses).select(F.struct("*").alias("qc_summary"))
-    status_map = statuses.agg(_as_map(statuses, "sample_id", F.col("status")).alias("m"))
-    stats = aggregate_stats(qc).select(F.struct("*").alias("aggregate_stats"))
-    metrics = sample_metrics(qc)
-    metric_map = metrics.agg(_as_map(metrics, "sample_id", F.struct(
-        "uniquely_mapped_pct", "assignment_rate", "total_reads", "status")).alias("m"))
-    per_value = axes.groupBy("axis", "value").agg(
-        F.array_sort(F.collect_set("sample_id")).alias("samples"))
-    per_axis = per_value.groupBy("axis").agg(
-        _as_map(per_value, "value", F.col("samples")).alias("groups"))
-    axis_map = per_axis.agg(_as_map(per_axis, "axis", F.col("groups")).alias("m"))
-    issues = project_issues(qc).agg(
-        F.sort_array(F.collect_list(F.struct("sample_id", "severity", "message"))).alias("a"))
-    return totals.select(
-        F.lit(project_id).alias("project_id"),
-        F.lit(run_type).alias("pipeline_type"),
-        "qc_summary",
-        status_map.scalar().alias("sample_statuses"),
-        axis_map.scalar().alias("sample_axes"),
-        stats.scalar().alias("aggregate_stats"),
-        metric_map.scalar().alias("sample_metrics"),
-        issues.scalar().alias("issues"),
-    )
+    none = F.lit(None).cast("string")
+
+    def entries(df: DataFrame, section: str) -> DataFrame:
+        names = df.columns
+        return df.select([F.col(c).cast("string").alias(c) for c in names]).unpivot(
+            [], names, "name", "value").select(
+            F.lit(section).alias("section"), "name", none.alias("sample_id"), "value")
+
+    def per_sample(df: DataFrame, section: str, name: Column, value: Column) -> DataFrame:
+        return df.select(F.lit(section).alias("section"), name.alias("name"), "sample_id",
+                         value.alias("value"))
+
+    head = qc.sparkSession.range(1).select(
+        F.lit("project").alias("section"), F.lit("pipeline_type").alias("name"),
+        none.alias("sample_id"), F.lit(run_type).alias("value"))
+    parts = [
+        entries(status_summary(statuses), "qc_summary"),
+        entries(aggregate_stats(qc), "aggregate_stats"),
+        per_sample(statuses, "sample_statuses", F.lit("status"), F.col("status")),
+        per_sample(axes, "sample_axes", F.col("axis"), F.col("value")),
+        per_sample(sample_metrics(qc), "sample_metrics", F.lit("metrics"), F.to_json(F.struct(
+            "uniquely_mapped_pct", "assignment_rate", "total_reads", "status"))),
+        per_sample(project_issues(qc), "issues", F.col("severity"), F.col("message")),
+    ]
+    out = head
+    for part in parts:
+        out = out.unionByName(part)
+    return out.select(F.lit(project_id).alias("project_id"), "*")

@@ -210,13 +210,16 @@ def manifest_records(
     """One manifest row per sample: outputs, QC record, metadata and next steps.
 
     ``outputs(sample_id, artifact, path, absolute_path, md5, size_bytes,
-    modified, description)`` holds a handful of files per sample.
+    modified, description)``; of several files for one artifact the newest is
+    kept, so a map has one entry per kind of artifact.
     """
     from readloom.operators.sample_qc import next_steps
 
     entry = F.struct("path", "absolute_path", "md5", "size_bytes", "modified", "description")
-    files = outputs.groupBy("sample_id").agg(F.map_from_entries(F.sort_array(F.collect_list(
-        F.struct(F.col("artifact").alias("key"), entry.alias("value"))), True)).alias("final_outputs"))
+    kept = outputs.groupBy("sample_id", "artifact").agg(
+        F.max_by(entry, F.struct("modified", "path")).alias("entry"))
+    files = kept.groupBy("sample_id").agg(F.map_from_entries(F.sort_array(F.collect_list(
+        F.struct(F.col("artifact").alias("key"), F.col("entry").alias("value"))))).alias("final_outputs"))
     joined = metadata.join(files, "sample_id", "left").join(qc, "sample_id", "left")
     status = F.coalesce("overall_status", F.lit("UNKNOWN"))
     return joined.select(

@@ -223,6 +223,7 @@ def sheet_axes(spark: SparkSession, sf: str) -> DataFrame:
     """Axes of the sheet: ``(axis, value, sample_id)``."""
     from readloom.operators import project as P
 
+    # notes and replicate are technical columns: the operator leaves them out
     names = ["condition", "tissue", "sex", "library_type", "genome_build", "batch", "notes", "replicate"]
     return P.sample_axes(P.metadata_to_long(sheet(spark, sf), columns=names))
 
