@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -103,16 +105,21 @@ def checksum_audit(actual: DataFrame, expected: DataFrame) -> DataFrame:
         .otherwise("MISMATCH").alias("status"))
 
 
-def artifact_records(listing: DataFrame, expected: DataFrame) -> DataFrame:
-    """Outputs found per sample: ``(sample_id, artifact, path, size_bytes, modified)``.
+def artifact_records(listing: DataFrame, expected: Sequence[tuple[str, str, str]]) -> DataFrame:
+    """Outputs found per sample: ``(sample_id, artifact, path, size_bytes, modified, description)``.
 
-    ``expected(artifact, suffix, description)`` names the kinds of output by the
-    end of their path; it is a short argument table.
+    ``expected`` holds ``(artifact, path ending, description)``. The endings are
+    tested row by row, without a join.
     """
-    return listing.join(
-        expected, listing["path"].endswith(expected["suffix"]), "inner"
-    ).select("sample_id", "artifact", "path", F.col("size").alias("size_bytes"),
-             F.col("mtime").alias("modified"), "description")
+    path = F.col("path")
+    kinds = F.array(*[
+        F.when(path.endswith(ending),
+               F.struct(F.lit(name).alias("artifact"), F.lit(text).alias("description")))
+        for name, ending, text in expected])
+    return listing.select(
+        "sample_id", "path", F.col("size").alias("size_bytes"), F.col("mtime").alias("modified"),
+        F.explode(F.array_compact(kinds)).alias("k"),
+    ).select("sample_id", "k.artifact", "path", "size_bytes", "modified", "k.description")
 
 
 def completion(samples: DataFrame, records: DataFrame) -> DataFrame:

@@ -22,12 +22,9 @@ def to_wide(counts: DataFrame, samples: Sequence[str], gene_col: str = "gene_id"
     """
     if len(samples) > MAX_PIVOT_COLUMNS:
         raise ValueError("keep matrices this wide in long form")
-    cells = [
-        F.coalesce(F.sum(F.when(F.col("sample_id") == s, F.col("count"))), F.lit(0))
-        .cast("bigint").alias(s)
-        for s in samples
-    ]
-    return counts.groupBy(F.col(gene_col).alias("Geneid")).agg(*cells)
+    wide = counts.groupBy(F.col(gene_col).alias("Geneid")).pivot("sample_id", list(samples)).agg(
+        F.sum("count").cast("bigint"))
+    return wide.na.fill(0, [f"`{s}`" for s in samples])
 
 
 def library_size(counts: DataFrame) -> DataFrame:

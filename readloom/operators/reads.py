@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from readloom import constants as K
 from readloom.functions.stats import share
+from readloom.session import written
 
 PHRED_OFFSET = 33
 
@@ -93,60 +94,170 @@ def _bytes(column) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data or b"", np.uint8), at
 
 
-def _positions(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+def _positions(lengths: np.ndarray) -> np.ndarray:
     """0-based position of every byte within its value."""
     ends = np.cumsum(lengths)
     return np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - lengths, lengths)
 
 
-def _count_bases(batches):
-    import pyarrow as pa
+_CELLS = "sample_id string, kind string, a bigint, b bigint, n bigint, m bigint"
 
-    for batch in batches:
-        sample = batch.column("sample_id").dictionary_encode()
-        names, code = sample.dictionary, sample.indices.to_numpy(zero_copy_only=False)
-        data, at = _bytes(batch.column("qual"))
-        length = at[1:] - at[:-1]
-        if length.sum() == 0:
-            continue
-        pos = _positions(at[:-1], length)
-        score = data[at[0]: at[-1]].astype(np.int64)
-        # N where the sequence has it; a sequence may be shorter than its scores
-        bases, seq_at = _bytes(batch.column("seq"))
-        seq_length = seq_at[1:] - seq_at[:-1]
-        base_at = np.repeat(seq_at[:-1], length) + pos
-        inside = pos < np.repeat(seq_length, length)
-        is_n = np.zeros(len(pos), bool)
-        is_n[inside] = np.isin(bases[base_at[inside]], (78, 110))
-        width = int(length.max())
-        # sample, position, score and "is N" in one number per base
-        key = ((np.repeat(code.astype(np.int64), length) * width + pos) << 8 | score) << 1 | is_n
-        span = (len(names) * width) << 9
-        if span <= 1 << 23:
-            n = np.bincount(key, minlength=span)
-            cells = np.flatnonzero(n)
-            n = n[cells]
-        else:
-            cells, n = np.unique(key, return_counts=True)
-        place = cells >> 9
-        yield pa.RecordBatch.from_arrays(
-            [names.take(pa.array(place // width)).cast(pa.string()), pa.array(place % width + 1),
-             pa.array((cells >> 1 & 255) - PHRED_OFFSET).cast(pa.int32()),
-             pa.array(n.astype(np.int64)), pa.array((n * (cells & 1)).astype(np.int64))],
-            names=["sample_id", "pos", "quality", "n", "n_base"])
 
+def _cells(names, code, kind, a, b, n, m=None):
+    import pyarrow as pa
 
-def base_histogram(reads: DataFrame) -> DataFrame:
-    """``(sample_id, pos, quality, n, n_base)``: reads and N bases per position and score.
+    size = len(n)
+    return pa.RecordBatch.from_arrays(
+        [names.take(pa.array(code)).cast(pa.string()), pa.array([kind] * size, pa.string()),
+         *[pa.array(np.broadcast_to(np.asarray(x, np.int64), size)) for x in (a, b, n)],
+         pa.array(np.zeros(size, np.int64) if m is None else np.asarray(m, np.int64))],
+        names=["sample_id", "kind", "a", "b", "n", "m"])
+
+
+def _base_cells(names, code, qual, seq):
+    """Reads and N bases per sample, position and score of one batch."""
+    (data, at), (bases, seq_at) = qual, seq
+    length, seq_length = np.diff(at), np.diff(seq_at)
+    if not length.sum():
+        return
+    pos = _positions(length)
+    # N where the sequence has it; a sequence may be shorter than its scores
+    inside = pos < np.repeat(seq_length, length)
+    is_n = np.zeros(len(pos), bool)
+    is_n[inside] = np.isin(bases[(np.repeat(seq_at[:-1], length) + pos)[inside]], (78, 110))
+    width = int(length.max())
+    place = np.repeat(code, length) * width + pos
+    # sample, position, score and "is N" in one number per base
+    key = (place << 8 | data[at[0]: at[-1]]) << 1 | is_n
+    if (len(names) * width) << 9 <= 1 << 23:
+        n = np.bincount(key)
+        cells = np.flatnonzero(n)
+        n = n[cells]
+    else:
+        cells, n = np.unique(key, return_counts=True)
+    place = cells >> 9
+    yield _cells(names, place // width, "base", place % width + 1,
+                 (cells >> 1 & 255) - PHRED_OFFSET, n, n * (cells & 1))
+
+
+def _score_cells(names, code, qual):
+    """Reads per sample and whole mean score of one batch."""
+    data, at = qual
+    length = np.diff(at)
+    keep = length > 0
+    total = np.concatenate([[0], np.cumsum(data[at[0]: at[-1]], dtype=np.int64)])
+    score = np.diff(total[at - at[0]]) - PHRED_OFFSET * length
+    cells, n = np.unique(code[keep] << 8 | score[keep] // length[keep], return_counts=True)
+    yield _cells(names, cells >> 8, "read", cells & 255, 0, n)
+
+
+def _call_cells(names, code, seq):
+    """Per sample: reads, called bases (A, C, G, T) and G or C bases of one batch."""
+    bases, at = seq
+    letter = bases[at[0]: at[-1]] & 0xDF  # upper case
+    owner = np.repeat(code, np.diff(at))
+    gc = np.isin(letter, (67, 71))
+    called = gc | np.isin(letter, (65, 84))
+    size = len(names)
+    yield _cells(names, np.arange(size), "total", 0, 0, np.bincount(code, minlength=size))
+    yield _cells(names, np.arange(size), "call", 0, 0, np.bincount(owner[called], minlength=size),
+                 np.bincount(owner[gc], minlength=size))
+
+
+def _adapter_cells(names, code, column, motifs):
+    """Reads per sample, adapter and first position (0 for none) of one batch."""
+    import pyarrow.compute as pc
+
+    for i, motif in enumerate(motifs):
+        start = pc.find_substring(column, motif).to_numpy(zero_copy_only=False).astype(np.int64) + 1
+        width = int(start.max(initial=0)) + 1
+        cells, n = np.unique(code * width + start, return_counts=True)
+        yield _cells(names, cells // width, "adapter", i, cells % width, n)
+
+
+def read_cells(
+    reads: DataFrame, kinds: Sequence[str] = ("base", "read", "call", "adapter"),
+    motifs: Sequence[str] = (),
+) -> DataFrame:
+    """All counts a quality profile needs, from one pass over the reads.
 
-    Bases are counted per Arrow batch, so one row per base never exists; the
-    shuffle carries counts only, positions x scores per sample and batch. The
-    same count with exploded rows ran about ten times slower.
+    ``(sample_id, kind, a, b, n, m)``: ``base`` cells by position and score with
+    the N bases in ``m``, ``read`` by mean score, ``total`` and ``call`` per sample
+    with G or C bases in ``m``, ``adapter`` by adapter and first position. Bases are
+    counted per Arrow batch, so a row per base never exists, and the shuffle
+    carries counts only.
     """
-    counted = reads.select("sample_id", "seq", "qual").mapInArrow(
-        _count_bases, "sample_id string, pos bigint, quality int, n bigint, n_base bigint")
-    return counted.groupBy("sample_id", "pos", "quality").agg(
-        F.sum("n").alias("n"), F.sum("n_base").alias("n_base"))
+    wanted, texts = set(kinds), list(motifs)
+
+    def count(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            sample = batch.column("sample_id").dictionary_encode()
+            names = sample.dictionary
+            code = sample.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+            qual, seq = _bytes(batch.column("qual")), _bytes(batch.column("seq"))
+            if "base" in wanted:
+                yield from _base_cells(names, code, qual, seq)
+            if "read" in wanted:
+                yield from _score_cells(names, code, qual)
+            if "call" in wanted:
+                yield from _call_cells(names, code, seq)
+            if "adapter" in wanted:
+                yield from _adapter_cells(names, code, batch.column("seq").fill_null(""), texts)
+
+    counted = reads.select(F.coalesce("sample_id", F.lit("unknown")).alias("sample_id"), "seq", "qual")
+    return counted.mapInArrow(count, _CELLS).groupBy("sample_id", "kind", "a", "b").agg(
+        F.sum("n").alias("n"), F.sum("m").alias("m"))
+
+
+def _of(cells: DataFrame, kind: str) -> DataFrame:
+    return cells.where(F.col("kind") == kind)
+
+
+def base_cells(cells: DataFrame) -> DataFrame:
+    return _of(cells, "base").select(
+        "sample_id", F.col("a").alias("pos"), F.col("b").cast("int").alias("quality"), "n",
+        F.col("m").alias("n_base"))
+
+
+def score_cells(cells: DataFrame) -> DataFrame:
+    return _of(cells, "read").select(
+        "sample_id", F.col("a").cast("int").alias("quality"), F.col("n").alias("reads"))
+
+
+def call_cells(cells: DataFrame) -> DataFrame:
+    total = F.sum(F.when(F.col("kind") == "total", F.col("n")))
+    called = F.sum(F.when(F.col("kind") == "call", F.col("n")))
+    gc = F.sum(F.when(F.col("kind") == "call", F.col("m")))
+    return cells.where(F.col("kind").isin("total", "call")).groupBy("sample_id").agg(
+        total.alias("total_sequences"),
+        F.floor(F.coalesce(F.try_divide(gc * 100, called), F.lit(0))).cast("bigint").alias("gc"))
+
+
+def adapter_cells(cells: DataFrame) -> DataFrame:
+    """``(sample_id, pos, adapter_pct)``: largest cumulative share over the adapters."""
+    starts = _of(cells, "adapter").select("sample_id", F.col("a").alias("adapter"), F.col("b").alias("pos"), "n")
+    total = F.sum("n").over(W.partitionBy("sample_id", "adapter"))
+    found = F.when(F.col("pos") > 0, F.col("n")).otherwise(0)
+    upto = F.sum(found).over(
+        W.partitionBy("sample_id", "adapter").orderBy("pos")
+        .rowsBetween(W.unboundedPreceding, W.currentRow))
+    steps = starts.select("sample_id", "adapter", "pos", share(upto, total).alias("pct"))
+    # cumulative shares never fall, so the maximum over adapters at a position
+    # is the running maximum of the per-adapter steps
+    running = F.max("pct").over(
+        W.partitionBy("sample_id").orderBy("pos")
+        .rangeBetween(W.unboundedPreceding, W.currentRow))
+    return (
+        steps.withColumn("adapter_pct", running).where("pos > 0")
+        .groupBy("sample_id", "pos").agg(F.max("adapter_pct").alias("adapter_pct"))
+    )
+
+
+def base_histogram(reads: DataFrame) -> DataFrame:
+    """``(sample_id, pos, quality, n, n_base)``: reads and N bases per position and score."""
+    return base_cells(read_cells(reads, ["base"]))
 
 
 def position_profile(histogram: DataFrame) -> DataFrame:
@@ -170,80 +281,31 @@ def n_profile(histogram: DataFrame) -> DataFrame:
         share(F.sum("n_base"), F.sum("n")).alias("n_pct"))
 
 
-def _mean_scores(batches):
-    import pyarrow as pa
-
-    for batch in batches:
-        sample = batch.column("sample_id").dictionary_encode()
-        data, at = _bytes(batch.column("qual"))
-        length = at[1:] - at[:-1]
-        keep = length > 0
-        total = np.concatenate([[0], np.cumsum(data[at[0]: at[-1]], dtype=np.int64)])
-        score = total[at[1:] - at[0]] - total[at[:-1] - at[0]] - PHRED_OFFSET * length
-        mean = score[keep] // length[keep]
-        code = sample.indices.to_numpy(zero_copy_only=False)[keep].astype(np.int64)
-        cells, n = np.unique((code << 8) | mean, return_counts=True)
-        yield pa.RecordBatch.from_arrays(
-            [sample.dictionary.take(pa.array(cells >> 8)).cast(pa.string()),
-             pa.array(cells & 255).cast(pa.int32()), pa.array(n.astype(np.int64))],
-            names=["sample_id", "quality", "reads"])
-
-
 def read_quality_histogram(reads: DataFrame) -> DataFrame:
     """Reads per whole mean quality."""
-    counted = reads.select("sample_id", "qual").mapInArrow(
-        _mean_scores, "sample_id string, quality int, reads bigint")
-    return counted.groupBy("sample_id", "quality").agg(F.sum("reads").alias("reads"))
+    return score_cells(read_cells(reads, ["read"]))
 
 
 def basic_statistics(reads: DataFrame) -> DataFrame:
     """Reads and whole %GC (of A, C, G and T) per sample."""
-    seq = F.upper("seq")
-    gc = F.length(seq) - F.length(F.translate(seq, "GC", ""))
-    called = F.length(seq) - F.length(F.translate(seq, "ACGT", ""))
-    return reads.groupBy("sample_id").agg(
-        F.count("*").alias("total_sequences"),
-        F.floor(F.coalesce(F.try_divide(F.sum(gc) * 100, F.sum(called)), F.lit(0)))
-        .cast("bigint").alias("gc"),
-    )
+    return call_cells(read_cells(reads, ["call"]))
 
 
-def adapter_content(
-    reads: DataFrame, adapters: Mapping[str, str] | None = None
-) -> DataFrame:
-    """``(sample_id, pos, adapter_pct)``: largest cumulative share over the adapters.
-
-    A read counts from the position where the adapter first starts. Reads are
-    reduced to (sample, adapter, position) counts before anything is ordered.
-    """
+def adapter_content(reads: DataFrame, adapters: Sequence[str] | None = None) -> DataFrame:
+    """Cumulative adapter share by position. A read counts from the first start of the adapter."""
     # Fixed value: the first twelve bases are searched.
-    adapters = adapters or {"universal": K.ADAPTER_R1[:12]}
-    hits = reads.select("sample_id", F.explode(F.array(*[
-        F.struct(F.lit(name).alias("adapter"), F.instr("seq", text).alias("pos"))
-        for name, text in adapters.items()])).alias("h")).select("sample_id", "h.*")
-    starts = hits.groupBy("sample_id", "adapter", "pos").agg(F.count("*").alias("n"))
-    total = F.sum("n").over(W.partitionBy("sample_id", "adapter"))
-    found = F.when(F.col("pos") > 0, F.col("n")).otherwise(0)
-    upto = F.sum(found).over(
-        W.partitionBy("sample_id", "adapter").orderBy("pos")
-        .rowsBetween(W.unboundedPreceding, W.currentRow))
-    steps = starts.select("sample_id", "adapter", "pos", share(upto, total).alias("pct"))
-    # cumulative shares never fall, so the maximum over adapters at a position
-    # is the running maximum of the per-adapter steps
-    running = F.max("pct").over(
-        W.partitionBy("sample_id").orderBy("pos")
-        .rangeBetween(W.unboundedPreceding, W.currentRow))
-    return (
-        steps.withColumn("adapter_pct", running).where("pos > 0")
-        .groupBy("sample_id", "pos").agg(F.max("adapter_pct").alias("adapter_pct"))
-    )
+    return adapter_cells(read_cells(reads, ["adapter"], adapters or [K.ADAPTER_R1[:12]]))
 
 
-def profile_rows(reads: DataFrame, adapters: Mapping[str, str] | None = None) -> DataFrame:
+def profile_rows(reads: DataFrame, adapters: Sequence[str] | None = None) -> DataFrame:
     """Quality profile as report rows, ready for the report checks.
 
-    Module verdicts are not computed, so every module is ``pass`` here.
+    The reads are scanned once: their counts, a table of samples x positions x
+    scores, are written to the shared folder and every module is made from
+    them. Module verdicts are not computed, so every module is ``pass`` here.
     """
+    cells = written(read_cells(reads, motifs=adapters or [K.ADAPTER_R1[:12]]), "read-cells")
+
     def text(*cols: Column | str) -> Column:
         return F.array(*[F.col(c).cast("string") if isinstance(c, str) else c.cast("string")
                          for c in cols])
@@ -252,12 +314,12 @@ def profile_rows(reads: DataFrame, adapters: Mapping[str, str] | None = None) ->
         return df.select("sample_id", F.lit(module).alias("module"), F.lit("pass").alias("status"),
                          row_no.cast("int").alias("row_no"), cells.alias("cells"))
 
-    stats = basic_statistics(reads).select("sample_id", F.posexplode(F.array(
+    stats = call_cells(cells).select("sample_id", F.posexplode(F.array(
         text(F.lit("Total Sequences"), F.col("total_sequences")),
         text(F.lit("%GC"), F.col("gc")))).alias("i", "cells"))
-    positions = position_profile(base_histogram(reads))
-    quality = read_quality_histogram(reads)
-    adapter = adapter_content(reads, adapters)
+    positions = position_profile(base_cells(cells))
+    quality = score_cells(cells)
+    adapter = adapter_cells(cells)
     parts = [
         rows(stats, "Basic Statistics", F.col("i"), F.col("cells")),
         rows(positions, "Per base sequence quality", F.col("pos"),

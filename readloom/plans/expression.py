@@ -12,16 +12,14 @@ from readloom.plans.catalog import register
 
 WIDTH = 64  # bin width for features of up to 50 bases
 
-SAMPLES = [str(i) for i in range(10)]
 
 
-@register("clean_matrix", "counts_long",
-          'SELECT gene_id AS "Geneid", ' + ", ".join(
-              f"CAST(coalesce(sum(count) FILTER (sample_id = '{s}'), 0) AS BIGINT) AS s{s}" for s in SAMPLES)
-          + " FROM counts_long GROUP BY 1")
+@register("clean_matrix", "counts_long", """SELECT gene_id AS "Geneid", CAST(COALESCE(COLUMNS(* EXCLUDE gene_id), 0) AS BIGINT)
+    FROM (PIVOT counts_long ON sample_id USING sum(count) GROUP BY gene_id)""")
 def _(spark, sf):
-    wide = C.to_wide(V.counts_long(spark, sf), SAMPLES)
-    return wide.select("Geneid", *[F.col(f"`{s}`").alias(f"s{s}") for s in SAMPLES])
+    ids = V.table(spark, sf, "supplier").select(F.col("s_suppkey").cast("string")).limit(
+        C.MAX_PIVOT_COLUMNS + 1).collect()
+    return C.to_wide(V.counts_long(spark, sf), sorted(r[0] for r in ids))
 
 
 @register("library_size", "counts_long",

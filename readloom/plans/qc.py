@@ -235,7 +235,7 @@ _ADAPTER = """
       JOIN (SELECT DISTINCT sample_id sid, instr(seq, motif) pos FROM reads, (VALUES ('ACGT'), ('GTCA')) m(motif)) p
         ON s.sample_id = p.sid AND s.pos <= p.pos
     WHERE p.pos > 0 GROUP BY 1, 2"""
-MOTIFS = {"a": "ACGT", "b": "GTCA"}
+MOTIFS = ["ACGT", "GTCA"]
 
 
 @register("adapter_content", "reads", _ADAPTER)

@@ -61,9 +61,15 @@ def _(spark, sf):
     return R.base_histogram(V.reads(spark, sf))
 
 
-@register("position_profile", "reads base_histogram", f"""SELECT q.*, mean, n_pct FROM ({_QUANTILES}) q JOIN ({_POSITIONS}) p USING (sample_id, pos)""")
+QUANTILES = ["median", "lower_quartile", "upper_quartile", "p10", "p90"]
+
+
+@register("position_profile", "reads base_histogram", f"""SELECT sample_id, pos, mean, n_pct,
+    {", ".join(f"round({q}, 6) {q}" for q in QUANTILES)} FROM ({_QUANTILES}) q JOIN ({_POSITIONS}) p USING (sample_id, pos)""")
 def _(spark, sf):
-    return R.position_profile(R.base_histogram(V.reads(spark, sf)))
+    # the engines interpolate in another order of operations
+    profile = R.position_profile(R.base_histogram(V.reads(spark, sf)))
+    return profile.withColumns({q: F.round(q, 6) for q in QUANTILES})
 
 
 @register("read_quality_histogram", "reads", _READ_QUALITY)
@@ -219,8 +225,7 @@ def _(spark, sf):
 @register("artifact_records", "artifacts", """SELECT run sample_id, 'urgent' artifact, path, size size_bytes, mtime AS modified, 'first' description
     FROM artifacts WHERE path LIKE '%7' UNION ALL SELECT run, 'late', path, size, mtime, 'second' FROM artifacts WHERE path LIKE '%19'""")
 def _(spark, sf):
-    expected = spark.createDataFrame(
-        [("urgent", "7", "first"), ("late", "19", "second")], "artifact string, suffix string, description string")
+    expected = [("urgent", "7", "first"), ("late", "19", "second")]
     return A.artifact_records(V.artifacts(spark, sf).drop("artifact").withColumnRenamed("run", "sample_id"), expected)
 
 
