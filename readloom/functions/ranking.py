@@ -14,14 +14,32 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
-def _range_bounds(df: DataFrame, key: Column, ranges: int) -> Column:
-    """Sorted array of at most ``ranges`` key values, as a scalar subquery.
+def _range_bounds(df: DataFrame, key: Sequence[str], ranges: int) -> list[tuple]:
+    """At most ``ranges`` key values that cut the rows into parts of like size.
 
     The keys with the smallest hash are a uniform, repeatable choice; each task
-    keeps ``ranges`` of them, so nothing grows with the data.
+    keeps ``ranges`` of them and no more come to the driver.
     """
-    keys = df.select(key.alias("k")).orderBy(F.xxhash64("k"), "k").limit(ranges)
-    return keys.agg(F.array_sort(F.collect_set("k"))).scalar()
+    rows = df.select(*key).dropna().orderBy(F.xxhash64(*key), *key).limit(ranges).collect()
+    return sorted({tuple(r) for r in rows})
+
+
+def _at_least(key: Sequence[str], bound: tuple) -> Column:
+    """``key >= bound``, column by column."""
+    test = F.col(key[-1]) >= F.lit(bound[-1])
+    for name, value in list(zip(key, bound))[-2::-1]:
+        test = (F.col(name) > F.lit(value)) | ((F.col(name) == F.lit(value)) & test)
+    return test
+
+
+def _range_of(key: Sequence[str], bounds: list[tuple], first: int = 0) -> Column:
+    """Number of bounds not above the key, by halving the list."""
+    if not bounds:
+        return F.lit(first)
+    middle = len(bounds) // 2
+    upper = _range_of(key, bounds[middle + 1:], first + middle + 1)
+    return F.when(_at_least(key, bounds[middle]), upper).otherwise(
+        _range_of(key, bounds[:middle], first))
 
 
 def number_rows(
@@ -29,19 +47,22 @@ def number_rows(
     group: Sequence[str],
     order: Sequence[str],
     out: str = "n",
-    ranges: int = 256,
+    ranges: int = 128,
 ) -> DataFrame:
     """1-based number of each row within its group, in ``order``.
 
     The key ranges only decide how the work is split; the numbers are exact for
-    any choice. ``order`` must identify a row within its group.
+    any choice. A group of a third of all rows is spread over a third of the
+    ranges. ``order`` must identify a row within its group. A small job picks the
+    ranges when this is called.
     """
-    group = list(group)
-    key = F.struct(*group, *order)
-    cut = df.withColumn("_bounds", _range_bounds(df, key, ranges))
-    cut = cut.withColumn("_range", F.size(F.filter("_bounds", lambda b: b <= key))).drop("_bounds")
+    group, order = list(group), list(order)
+    key = [*group, *order]
+    bounds = _range_bounds(df, key, ranges)
+    cut = df.withColumn("_range", _range_of(key, bounds))
     cell = [*group, "_range"]
     local = cut.withColumn("_local", F.row_number().over(W.partitionBy(*cell).orderBy(*order)))
+    # a group has at most one row per range here
     before = W.partitionBy(*group).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
     offsets = (
         cut.groupBy(*cell)
@@ -49,11 +70,11 @@ def number_rows(
         .withColumn("_offset", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
         .drop("_rows")
     )
-    return (
-        local.join(offsets, cell)
-        .withColumn(out, F.col("_local") + F.col("_offset"))
-        .drop("_range", "_local", "_offset")
-    )
+    same = [F.col(f"l.{c}").eqNullSafe(F.col(f"o.{c}")) for c in cell]
+    joined = local.alias("l").join(offsets.alias("o"), same)
+    return joined.select(
+        *[F.col(f"l.{c}") for c in df.columns],
+        (F.col("l._local") + F.col("o._offset")).alias(out))
 
 
 def first_rows(

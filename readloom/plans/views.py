@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from readloom import constants as K
+from readloom.sources.text import spread
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -111,7 +112,8 @@ _TO_QUAL = ("ACGTN", "8:>!E")  # chr(33 + ascii(base) % 42)
 def reads(spark: SparkSession, sf: str) -> DataFrame:
     """One read per text line; some records are broken on purpose."""
     d = F.col("doc_id")
-    lines = table(spark, sf, "documents").select(
+    docs = table(spark, sf, "documents").select("doc_id", "source", "lang", "text")
+    lines = spread(docs).select(
         "doc_id", "source", "lang", F.posexplode(F.split("text", "\n")).alias("pos", "line")
     ).where("line <> ''")
     # ASCII first: engines differ in upper-casing other letters

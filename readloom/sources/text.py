@@ -64,3 +64,12 @@ def number_lines(lines: DataFrame) -> DataFrame:
     return split.join(starts, ["file", "_split"]).withColumn(
         "line_no", F.col("_base") + F.col("pos.seq") - F.col("_first")
     ).drop("_split", "_base", "_first")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows of a few unsplittable files over all cores; no shuffle when the scan has enough tasks.
+
+    For row-wise work that costs much more than moving the rows once.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
