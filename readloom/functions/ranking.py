@@ -47,16 +47,19 @@ def number_rows(
     group: Sequence[str],
     order: Sequence[str],
     out: str = "n",
-    ranges: int = 128,
+    ranges: int | None = None,
 ) -> DataFrame:
     """1-based number of each row within its group, in ``order``.
 
     The key ranges only decide how the work is split; the numbers are exact for
     any choice. A group of a third of all rows is spread over a third of the
     ranges. ``order`` must identify a row within its group. A small job picks the
-    ranges when this is called.
+    ranges when this is called, by default twice as many as there are cores, up
+    to 256.
     """
     group, order = list(group), list(order)
+    if ranges is None:
+        ranges = min(256, 2 * df.sparkSession.sparkContext.defaultParallelism)
     key = [*group, *order]
     bounds = _range_bounds(df, key, ranges)
     cut = df.withColumn("_range", _range_of(key, bounds))

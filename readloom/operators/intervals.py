@@ -14,10 +14,15 @@ from pyspark.sql import functions as F
 from readloom import constants as K
 
 
+def bin_of(position: Column, width: int) -> Column:
+    """Whole bin number, also below 0."""
+    at = position.cast("bigint")
+    return F.call_function("div", at - F.pmod(at, F.lit(width)), F.lit(width))
+
+
 def bins(start: Column, end: Column, width: int) -> Column:
     """Bins of a half-open interval; an empty interval lies in the bin of its start."""
-    last = F.greatest(F.floor((end - 1) / width), F.floor(start / width))
-    return F.sequence(F.floor(start / width).cast("bigint"), last.cast("bigint"))
+    return F.sequence(bin_of(start, width), bin_of(F.greatest(end - 1, start), width))
 
 
 def bin_width(features: DataFrame, share: float = 0.95, floor: int = 1) -> int:
@@ -43,7 +48,7 @@ def overlap_join(
     features: DataFrame,
     feature_columns: list[str],
     width: int,
-    salts: int = 16,
+    salts: int = 8,
     key: list[str] | None = None,
     strand: int = 0,
     how: str = "left",
@@ -72,28 +77,41 @@ def overlap_join(
     joined = left.join(right, on, how)
     if how == "inner":
         joined = joined.where(
-            F.col("_bin") == F.floor(F.greatest(F.col("start"), F.col("f_start")) / width))
+            F.col("_bin") == bin_of(F.greatest(F.col("start"), F.col("f_start")), width))
     return joined.drop("_bin", "_salt", "f_bin", "f_salt", "f_chrom")
 
 
+def gene_codes(features: DataFrame) -> DataFrame:
+    """``(gene_code, gene_id)``: a number per gene, so aggregates over genes stay in
+    hash maps (Spark sorts for a minimum of texts).
+
+    Two genes with one code would be an error, not a wrong count.
+    """
+    named = features.groupBy(F.xxhash64("gene_id").alias("gene_code")).agg(
+        F.min("gene_id").alias("a"), F.max("gene_id").alias("b"))
+    return named.select("gene_code", F.when(F.col("a") == F.col("b"), F.col("a")).otherwise(
+        F.raise_error(F.lit("two gene ids share a code"))).alias("gene_id"))
+
+
 def assign_fragments(
     alignments: DataFrame,
     exons: DataFrame,
     width: int,
     strand: int = 0,
-    salts: int = 16,
+    salts: int = 8,
 ) -> DataFrame:
-    """One row per fragment: its category and, when assigned, its gene.
+    """One row per fragment: its category and, when assigned, the code of its gene.
 
-    A fragment counts once over all its rows. The smallest and largest gene
-    tell none, one and several apart without keeping a set, so the aggregation
-    is partial before its shuffle.
+    A fragment counts once over all its rows. The smallest and largest code
+    tell none, one and several genes apart without keeping a set, so the
+    aggregation is partial before its shuffle.
     """
     reads = alignments.select("sample_id", "fragment_id", "chrom", "start", "end", "strand", "n_hits")
-    hits = overlap_join(reads, exons, ["gene_id"], width, salts, ["sample_id", "fragment_id"], strand)
+    coded = exons.withColumn("gene_code", F.xxhash64("gene_id"))
+    hits = overlap_join(reads, coded, ["gene_code"], width, salts, ["sample_id", "fragment_id"], strand)
     per_fragment = hits.groupBy("sample_id", "fragment_id").agg(
-        F.min("f_gene_id").alias("first_gene"),
-        F.max("f_gene_id").alias("last_gene"),
+        F.min("f_gene_code").alias("first_gene"),
+        F.max("f_gene_code").alias("last_gene"),
         F.max("n_hits").alias("n_hits"),
     )
     category = (
@@ -104,13 +122,19 @@ def assign_fragments(
     )
     return per_fragment.select(
         "sample_id", "fragment_id", category.alias("category"),
-        F.when(category == K.ASSIGNED, F.col("first_gene")).alias("gene_id"))
+        F.when(category == K.ASSIGNED, F.col("first_gene")).alias("gene_code"))
+
+
+def with_gene_ids(coded: DataFrame, exons: DataFrame) -> DataFrame:
+    """Gene ids in place of codes; rows without a gene keep NULL."""
+    return coded.join(gene_codes(exons), "gene_code", "left").drop("gene_code")
 
 
-def count_features(assigned: DataFrame) -> DataFrame:
-    """Gene counts: ``(gene_id, sample_id, count)``."""
-    return assigned.where("gene_id is not null").groupBy("gene_id", "sample_id").agg(
+def count_features(assigned: DataFrame, exons: DataFrame) -> DataFrame:
+    """Gene counts: ``(gene_id, sample_id, count)``. Names come after counting."""
+    counts = assigned.where("gene_code is not null").groupBy("gene_code", "sample_id").agg(
         F.count("*").alias("count"))
+    return with_gene_ids(counts, exons).select("gene_id", "sample_id", "count")
 
 
 def assignment_summary(assigned: DataFrame) -> DataFrame:
@@ -118,13 +142,14 @@ def assignment_summary(assigned: DataFrame) -> DataFrame:
     return assigned.groupBy("sample_id", "category").agg(F.count("*").alias("reads"))
 
 
-def count_with_summary(assigned: DataFrame) -> DataFrame:
+def count_with_summary(assigned: DataFrame, exons: DataFrame) -> DataFrame:
     """Gene counts and category totals from one pass over the fragments."""
-    return assigned.groupBy("sample_id", "category", "gene_id").agg(F.count("*").alias("count"))
+    counts = assigned.groupBy("sample_id", "category", "gene_code").agg(F.count("*").alias("count"))
+    return with_gene_ids(counts, exons)
 
 
 def strand_fractions(
-    alignments: DataFrame, transcripts: DataFrame, width: int, salts: int = 16
+    alignments: DataFrame, transcripts: DataFrame, width: int, salts: int = 8
 ) -> DataFrame:
     """Per sample: share of fragments on the strand of their gene, opposite, undetermined.
 
@@ -163,7 +188,7 @@ EXONIC = ["CDS_Exons", "5'UTR_Exons", "3'UTR_Exons"]
 
 
 def read_regions(
-    alignments: DataFrame, regions: DataFrame, width: int, salts: int = 16
+    alignments: DataFrame, regions: DataFrame, width: int, salts: int = 8
 ) -> DataFrame:
     """``(sample_id, region, tags)``: every fragment in its best region class.
 

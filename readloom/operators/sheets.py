@@ -37,7 +37,7 @@ def infer_condition(
     return out
 
 
-def number_replicates(samples: DataFrame, ranges: int = 128) -> DataFrame:
+def number_replicates(samples: DataFrame, ranges: int | None = None) -> DataFrame:
     """Running number of a sample within its condition, by sample id."""
     return number_rows(samples, ["condition"], ["sample_id"], "replicate", ranges)
 

@@ -298,7 +298,7 @@ def _assigned(spark, sf, strand=0):
 @register("count_features", "hits", f"""WITH {ASSIGNED.format(where='')}
     SELECT gene_id, sample_id, count(*) count FROM fragments WHERE category = 'Assigned' GROUP BY 1, 2""")
 def _(spark, sf):
-    return I.count_features(_assigned(spark, sf))
+    return I.count_features(_assigned(spark, sf), V.exons(spark, sf))
 
 
 @register("count_features_summary", "hits", f"""WITH {ASSIGNED.format(where='')}
@@ -313,12 +313,12 @@ STRANDED = """WITH s AS (SELECT * REPLACE (CASE WHEN strand {op} f_strand THEN g
 
 @register("count_features_forward", "hits", STRANDED.format(op="=", a=ASSIGNED.format(where="").replace("FROM hits", "FROM s")))
 def _(spark, sf):
-    return I.count_with_summary(_assigned(spark, sf, 1))
+    return I.count_with_summary(_assigned(spark, sf, 1), V.exons(spark, sf))
 
 
 @register("count_features_reverse", "hits", STRANDED.format(op="<>", a=ASSIGNED.format(where="").replace("FROM hits", "FROM s")))
 def _(spark, sf):
-    return I.count_with_summary(_assigned(spark, sf, 2))
+    return I.count_with_summary(_assigned(spark, sf, 2), V.exons(spark, sf))
 
 
 STRAND = """fractions AS (SELECT sample_id, count(*) n_fragments, CAST(count(*) FILTER (a) AS DOUBLE) / count(*) forward,

@@ -136,7 +136,9 @@ def reads(spark: SparkSession, sf: str) -> DataFrame:
 def alignments(spark: SparkSession, sf: str) -> DataFrame:
     start = F.col("l_partkey") * 10 + F.col("l_suppkey") % 10
     length = F.col("l_quantity").cast("bigint")
-    return table(spark, sf, "lineitem").select(
+    rows = table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_linestatus")
+    return spread(rows).select(
         F.col("l_suppkey").cast("string").alias("sample_id"),
         F.concat_ws("_", "l_orderkey", "l_linenumber", "l_partkey", length.cast("string")).alias("fragment_id"),
         F.col("l_linenumber").cast("string").alias("chrom"),

@@ -10,7 +10,8 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql import types as Ty
@@ -68,10 +69,35 @@ def stage_windows(
 
 
 def session_windows(events: DataFrame, gap: str = "30 minutes", watermark: str = WATERMARK) -> DataFrame:
-    """Bursts of events per run, closed by a gap."""
-    timed = _timed(events, watermark)
-    return _flat(timed.groupBy(F.session_window("ts", gap).alias("w"), "run").agg(
-        F.count("*").alias("n")))
+    """Bursts of events per run, closed by a gap.
+
+    A stream keeps sessions as state. A table is first reduced to one row per
+    run and gap-sized slot, as events of one slot are always one burst; a busy
+    run is then ordered by slots, not by events.
+    """
+    if events.isStreaming:
+        timed = _timed(events, watermark)
+        return _flat(timed.groupBy(F.session_window("ts", gap).alias("w"), "run").agg(
+            F.count("*").alias("n")))
+    micros = F.unix_micros(F.lit("1970-01-01 00:00:00").cast("timestamp") + F.expr(f"interval {gap}"))
+    slots = _slots(events, micros)
+    by_run = W.partitionBy("run").orderBy("slot")
+    silent = F.col("first") - F.lag("last").over(by_run) > F.col("gap")
+    bursts = slots.withColumn("burst", F.sum(F.when(silent, 1).otherwise(0)).over(
+        by_run.rowsBetween(W.unboundedPreceding, W.currentRow)))
+    return bursts.groupBy("run", "burst").agg(
+        F.min("first").alias("first"), F.max(F.col("last") + F.col("gap")).alias("until"),
+        F.sum("n").alias("n"),
+    ).select(
+        F.timestamp_micros("first").cast("timestamp_ntz").alias("window_start"),
+        F.timestamp_micros("until").cast("timestamp_ntz").alias("window_end"), "run", "n")
+
+
+def _slots(events: DataFrame, gap: Column) -> DataFrame:
+    """First and last time and number of events per run and slot of the gap's length."""
+    timed = events.select("run", F.unix_micros(F.col("ts").cast("timestamp")).alias("t"), gap.alias("gap"))
+    return timed.groupBy("run", "gap", F.floor(F.col("t") / F.col("gap")).alias("slot")).agg(
+        F.min("t").alias("first"), F.max("t").alias("last"), F.count("*").alias("n"))
 
 
 def _timed(events: DataFrame, watermark: str) -> DataFrame:
@@ -95,19 +121,12 @@ def stalled_batch(events: DataFrame, timeout_minutes: int) -> DataFrame:
     time in it, as a silence cannot lie inside a slot; a run then has at most
     one row per slot, however many events it had.
     """
-    from pyspark.sql import Window as W
-
-    seconds = timeout_minutes * 60
-    micros = F.unix_micros(F.col("ts").cast("timestamp"))
-    slots = events.select("run", micros.alias("t")).groupBy(
-        "run", F.floor(F.col("t") / (seconds * 1_000_000)).alias("slot")
-    ).agg(F.min("t").alias("first"), F.max("t").alias("last"))
+    slots = _slots(events, F.lit(timeout_minutes * 60_000_000))
     following = F.lead("first").over(W.partitionBy("run").orderBy("slot"))
-    return slots.withColumn("next", following).where(
-        (F.col("next") - F.col("last")) > seconds * 1_000_000
-    ).select(
+    silence = F.col("next") - F.col("last")
+    return slots.withColumn("next", following).where(silence > F.col("gap")).select(
         "run", F.timestamp_micros("last").cast("timestamp_ntz").alias("last_ts"),
-        (F.col("next") - F.col("last")).alias("gap_micros"))
+        silence.alias("gap_micros"))
 
 
 class StallDetector(StatefulProcessor):

@@ -54,8 +54,10 @@ def test_every_pair_once(spark, width, parts):
 def test_touching_is_not_overlap(spark):
     reads = spark.createDataFrame([("s", "f", "1", 0, 10, "+", 1), ("s", "g", "1", 0, 11, "+", 1)], READ)
     exons = spark.createDataFrame([("x", "1", 10, 20, "+")], EXON)
-    got = {r.fragment_id: r.gene_id for r in I.assign_fragments(reads, exons, 8).collect()}
-    assert got == {"f": None, "g": "x"}
+    named = I.with_gene_ids(I.assign_fragments(reads, exons, 8), exons)
+    assert {r.fragment_id: r.gene_id for r in named.collect()} == {"f": None, "g": "x"}
+    counts = I.count_features(I.assign_fragments(reads, exons, 8), exons).collect()
+    assert [tuple(r) for r in counts] == [("x", "s", 1)]
     assert I.bin_width(exons) == 10
 
 
