@@ -9,64 +9,62 @@ GOOD = """##FastQC\t0.12.1
 stray\tline
 >>Basic Statistics\tpass
 #Measure\tValue
-Total Sequences\t5,280,544
-%GC\t48
+Total Sequences\t6,120,400
+%GC\t45
 >>END_MODULE
 between\tmodules
 >>Per base sequence quality\tpass
 #Base\tMean\tMedian\tLQ\tUQ\tP10\tP90
-1\t37.5\t38.0\t36.0\t39.0\t35.0\t39.0
-50\t35.2\t36.0\t34.0\t37.0\t33.0\t37.0
-101\t34.8\t35.0\t33.0\t36.0\t32.0\t36.0
+1\t36.1\t37.0\t34.0\t38.0\t31.0\t39.0
+2-74\t35.4\t36.0\t33.0\t38.0\t30.0\t39.0
+75\t33.9\t34.0\t31.0\t36.0\t28.0\t38.0
 >>END_MODULE
 >>Per tile sequence quality\tfail
 >>END_MODULE
 >>Per sequence quality scores\tpass
 #Quality\tCount
-30\t1000000.0
-35\t3000000.0
-38\t1280544.0
+31\t2000400.0
+36\t4120000.0
 >>END_MODULE
 >>Per base sequence content\tfail
 >>END_MODULE
 >>Per base N content\tpass
 #Base\tN-Count
-1\t0.1
-50\t0.2
-101\t0.3
+1\t0.4
+75\t0.6
 >>END_MODULE
 >>Sequence Duplication Levels\tfail
 >>END_MODULE
 >>Overrepresented sequences\tfail
 >>END_MODULE
 >>Adapter Content\twarn
-#Position\tIllumina Universal Adapter\tOther
-1\t0.1\t
-50\t2.5\t0.1
-101\t5.8\t0.2
+#Position\tUniversal\tOther
+1\t0.2\t
+40\t1.9\t0.1
+64\t4.4\t0.2
 >>END_MODULE
 """
 BAD = """##FastQC\t0.12.1
 >>Basic Statistics\tfail
-Total Sequences\t856432
-%GC\t28
+Total Sequences\t91345
+%GC\t26
 >>END_MODULE
 >>Per base sequence quality\tfail
-1\t30.0\t30.0\t28.0\t33.0\t25.0\t35.0
-50\t18.0\t19.0\t15.0\t22.0\t10.0\t25.0
-101\t15.0\t16.0\t12.0\t19.0\t8.0\t22.0
+1\t31.0\t32.0\t29.0\t34.0\t26.0\t36.0
+40\t18.2\t18.5\t14.0\t21.0\t9.0\t24.0
+75\t14.7\t15.0\t11.0\t18.0\t7.0\t21.0
 >>END_MODULE
 >>Per sequence quality scores\tfail
-15\t300000.0
-20\t556432.0
+14\t41345.0
+22\t50000.0
 >>END_MODULE
 >>Per base N content\tfail
-1\t2.0
-101\t12.3
+1\t2.5
+75\t11.4
 >>END_MODULE
 >>Adapter Content\tfail
-1\t5.0
-101\t28.3
+1\t6.0
+64\t31.7
 >>END_MODULE
 >>Bare Module
 >>END_MODULE
@@ -109,10 +107,10 @@ def test_untrimmed(reports, samples):
 def test_bad_findings(reports):
     f = E.report_findings(reports)
     assert found(f, "b1", 2) == [
-        "Critical: High N content: 12.3% (max allowed: 10.0%)",
-        "Critical: Low quality at positions: 50 (Q19.0), 101 (Q16.0)",
-        "GC content out of range: 28% (expected: 30-70%)",
-        "Total Sequences too low: 856,432 (minimum: 1,000,000)"]
+        "Critical: High N content: 11.4% (max allowed: 10.0%)",
+        "Critical: Low quality at positions: 40 (Q18.5), 75 (Q15.0)",
+        "GC content out of range: 26% (expected: 30-70%)",
+        "Total Sequences too low: 91,345 (minimum: 1,000,000)"]
     assert found(f, "b1", 1) == [
         "Low Q30+ reads: 0.0% (expected: >75%)",
         "Module FAIL: Basic Statistics", "Module FAIL: Per base N content",
@@ -122,8 +120,8 @@ def test_bad_findings(reports):
 
 def test_trimmed(reports, samples):
     f = E.report_findings(reports, trimmed=True)
-    assert found(f, "g1", 2) == ["Adapter content after trimming: 5.80% (should be <1.0%)"]
-    assert "Adapter content after trimming: 28.30% (should be <1.0%)" in found(f, "b1", 2)
+    assert found(f, "g1", 2) == ["Adapter content after trimming: 4.40% (should be <1.0%)"]
+    assert "Adapter content after trimming: 31.70% (should be <1.0%)" in found(f, "b1", 2)
     assert "Module FAIL: Adapter Content (should pass after trimming)" in found(f, "b1", 1)
     assert len(found(f, "b1", 2)) == 5 and len(found(f, "b1", 1)) == 6
 
