@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def build_session(app: str = "readloom", master: str | None = None, **conf: str) -> SparkSession:
@@ -58,3 +59,13 @@ def written(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def broadcast_if_small(df: DataFrame, label: str, max_rows: int = 1_000_000) -> DataFrame:
+    """The table stored, and marked for broadcast when its row count is within the bound.
+
+    For narrow tables (a path and two numbers a row). Above the bound it is
+    joined like any other table.
+    """
+    stored = written(df, label)
+    return F.broadcast(stored) if stored.limit(max_rows + 1).count() <= max_rows else stored

@@ -13,13 +13,16 @@ import io
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import Window as W
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from readloom.session import broadcast_if_small
+
 SCHEMA = (
     "file string, split bigint, rec bigint, header string, seq string, plus string, qual string"
 )
+COUNT_SCHEMA = "file string, split bigint, n bigint"
 ENDINGS = (".fastq.gz", ".fq.gz", ".fastq", ".fq")
 BATCH = 8192
 
@@ -30,14 +33,15 @@ class Slice(InputPartition):
 
 
 class FastqSource(DataSource):
-    """Options: ``path``, ``lines_per_record`` (4, or 6 for wrapped reads), ``split_bytes``."""
+    """Options: ``path``, ``lines_per_record`` (4, or 6 for wrapped reads), ``split_bytes``,
+    ``only`` (``whole`` or ``split`` files), ``counts`` (one row per slice with its records)."""
 
     @classmethod
     def name(cls) -> str:
         return "fastq"
 
     def schema(self) -> str:
-        return SCHEMA
+        return COUNT_SCHEMA if self.options.get("counts") == "true" else SCHEMA
 
     def reader(self, schema) -> DataSourceReader:
         return FastqReader(self.options)
@@ -75,6 +79,8 @@ class FastqReader(DataSourceReader):
         self.path = options["path"]
         self.lines = int(options.get("lines_per_record", 4))
         self.split_bytes = int(options.get("split_bytes", 128 << 20))
+        self.only = options.get("only")
+        self.counts = options.get("counts") == "true"
 
     def partitions(self) -> list[Slice]:
         from pyarrow import fs
@@ -95,79 +101,90 @@ class FastqReader(DataSourceReader):
             # only four-line records can be found from the middle of a file
             whole = f.path.lower().endswith(".gz") or self.lines != 4
             if whole or f.size <= self.split_bytes:
-                out.append(Slice(uri, 0, None))
-            else:
+                if self.only != "split":
+                    out.append(Slice(uri, 0, None))
+            elif self.only != "whole":
                 cuts = list(range(0, f.size, self.split_bytes))
                 out += [Slice(uri, a, b) for a, b in zip(cuts, [*cuts[1:], f.size])]
-        return out
+        return out or [Slice("", 0, 0)]
 
     def read(self, part: Slice) -> Iterator:
         import pyarrow as pa
+
+        if not part.uri:
+            return
+        if self.counts:
+            n = sum(1 for _ in self._records(part))
+            yield pa.RecordBatch.from_pydict({"file": [part.uri], "split": [part.start], "n": [n]})
+            return
+        names = ["file", "split", "rec", "header", "seq", "plus", "qual"]
+        types = [pa.string(), pa.int64(), pa.int64()] + [pa.string()] * 4
+        rows = []
+
+        def batch():
+            return pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
+
+        for rec, lines in enumerate(self._records(part)):
+            text = [x.decode("utf-8", "replace").rstrip("\r\n") for x in lines]
+            if self.lines == 6:
+                text = [text[0], text[1].strip() + text[2].strip(), text[3],
+                        text[4].strip() + text[5].strip()]
+            rows.append((part.uri, part.start, rec, *text))
+            if len(rows) == BATCH:
+                yield batch()
+                rows = []
+        if rows:
+            yield batch()
+
+    def _records(self, part: Slice) -> Iterator[list[bytes]]:
+        """Raw lines of every record of a slice."""
         from pyarrow import fs
 
         store, path = fs.FileSystem.from_uri(part.uri)
+        start, end = 0, None
         if part.uri.lower().endswith(".gz"):
-            raw = store.open_input_stream(path, compression="gzip")
-            start, end = 0, None
-            handle = io.BufferedReader(raw, 1 << 20)
+            handle = io.BufferedReader(store.open_input_stream(path, compression="gzip"), 1 << 20)
         else:
-            raw = store.open_input_file(path)
-            handle = io.BufferedReader(raw, 1 << 20)
+            handle = io.BufferedReader(store.open_input_file(path), 1 << 20)
             end = None if part.end is None else _record_start(handle, part.end)
             start = _record_start(handle, part.start)
             handle.seek(start)
-        names = ["file", "split", "rec", "header", "seq", "plus", "qual"]
-        at, rec, rows = start, 0, []
-
-        def batch():
-            cols = list(zip(*rows))
-            types = [pa.string(), pa.int64(), pa.int64()] + [pa.string()] * 4
-            return pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(cols, types)], names=names)
-
         with handle:
-            while end is None or at < end:
+            while end is None or start < end:
                 lines = [handle.readline() for _ in range(self.lines)]
                 if not lines[0]:
-                    break
-                at += sum(map(len, lines))
-                text = [x.decode("utf-8", "replace").rstrip("\r\n") for x in lines]
-                if self.lines == 6:
-                    text = [text[0], text[1].strip() + text[2].strip(), text[3],
-                            text[4].strip() + text[5].strip()]
-                rows.append((part.uri, part.start, rec, *text))
-                rec += 1
-                if len(rows) == BATCH:
-                    yield batch()
-                    rows = []
-            if rows:
-                yield batch()
-
-
-def number_records(records: DataFrame) -> DataFrame:
-    """0-based ``read_no`` within the file, from the number in the slice.
-
-    The slices of a file are counted and summed up; a file of one slice needs
-    no more than its own count.
-    """
-    sizes = records.groupBy("file", "split").agg((F.max("rec") + 1).alias("_n"))
-    before = W.partitionBy("file").orderBy("split").rowsBetween(W.unboundedPreceding, -1)
-    starts = sizes.select(
-        "file", "split", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
-    return records.join(starts, ["file", "split"]).select(
-        "file", (F.col("_base") + F.col("rec")).alias("read_no"), "header", "seq", "plus", "qual")
+                    return
+                start += sum(map(len, lines))
+                yield lines
 
 
 def read_fastq(
     spark: SparkSession, path: str, lines_per_record: int = 4, split_bytes: int = 128 << 20
 ) -> DataFrame:
-    """``(file, read_no, header, seq, plus, qual)`` of every FASTQ file under ``path``."""
+    """``(file, read_no, header, seq, plus, qual)`` of every FASTQ file under ``path``.
+
+    ``read_no`` is 0-based within the file. Files read in one piece are numbered
+    as they are read. Of split files the records per slice are counted first, so
+    a slice knows where it starts; the reads themselves are never shuffled while
+    that table is within the broadcast bound.
+    """
     spark.dataSource.register(FastqSource)
-    records = (
-        spark.read.format("fastq").option("lines_per_record", str(lines_per_record))
-        .option("split_bytes", str(split_bytes)).load(path)
-    )
-    return number_records(records)
+
+    def load(**options: str) -> DataFrame:
+        reader = spark.read.format("fastq").option("lines_per_record", str(lines_per_record))
+        return reader.option("split_bytes", str(split_bytes)).options(**options).load(path)
+
+    record = ["header", "seq", "plus", "qual"]
+    whole = load(only="whole").select("file", F.col("rec").alias("read_no"), *record)
+    before = W.partitionBy("file").orderBy("split").rowsBetween(W.unboundedPreceding, -1)
+    starts = broadcast_if_small(
+        load(only="split", counts="true").where("file <> ''").select(
+            "file", "split", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")),
+        "fastq-starts")
+    split = load(only="split").join(starts, ["file", "split"]).select(
+        "file", (F.col("base") + F.col("rec")).alias("read_no"), *record)
+    return whole.unionByName(split)
 
 
 def with_sample(reads: DataFrame) -> DataFrame:

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from readloom.functions.text import path_part
+from readloom.session import broadcast_if_small
 
 
 def read_lines(
@@ -53,13 +55,12 @@ def number_lines(lines: DataFrame) -> DataFrame:
 
     Lines are counted per split, and the few splits of a file are summed up.
     """
-    from pyspark.sql import Window as W
-
     split = lines.withColumn("_split", F.col("pos.offset"))
     sizes = split.groupBy("file", "_split").agg(
         F.count("*").alias("_n"), F.min("pos.seq").alias("_first"))
     before = W.partitionBy("file").orderBy("_split").rowsBetween(W.unboundedPreceding, -1)
     starts = sizes.withColumn("_base", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    starts = broadcast_if_small(starts, "line-starts")
     # lines of one split are consecutive in one task, so their ids are too
     return split.join(starts, ["file", "_split"]).withColumn(
         "line_no", F.col("_base") + F.col("pos.seq") - F.col("_first")

@@ -7,13 +7,13 @@ batch form with the same result.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 from pyspark.sql import types as Ty
 
 from readloom import constants as K
@@ -175,9 +175,20 @@ def stalled_stream(events: DataFrame, timeout_minutes: int, watermark: str = WAT
     )
 
 
-def drain(stream: DataFrame, mode: str = "complete", label: str = "stream") -> DataFrame:
+def late_rows(query: StreamingQuery) -> int:
+    """Rows a query dropped as later than its watermark, over its recent batches."""
+    return sum(
+        op.numRowsDroppedByWatermark for p in query.recentProgress for op in p.stateOperators)
+
+
+def drain(
+    stream: DataFrame, mode: str = "complete", label: str = "stream",
+    on_end: Callable[[StreamingQuery], None] | None = None,
+) -> DataFrame:
     """Run a stream over what is there now and give its result as a table.
 
+    ``on_end`` gets the finished query, for example to count its ``late_rows``.
+
     Results and progress are kept under the shared folder; with ``complete`` each
     batch replaces the table, with ``append`` the file sink adds to it.
     """
@@ -192,4 +203,6 @@ def drain(stream: DataFrame, mode: str = "complete", label: str = "stream") -> D
 
         query = writer.outputMode(mode).foreachBatch(replace).start()
     query.awaitTermination()
+    if on_end:
+        on_end(query)
     return spark.read.schema(stream.schema).parquet(target)
