@@ -14,6 +14,14 @@ from readloom.functions.stats import population_variance, share
 MAX_PIVOT_COLUMNS = 10_000
 
 
+def sample_columns(samples: DataFrame, column: str = "sample_id") -> list[str]:
+    """Sorted ids for the columns of a wide matrix; an error beyond the column bound."""
+    rows = samples.select(F.col(column).cast("string")).distinct().limit(MAX_PIVOT_COLUMNS + 1).collect()
+    if len(rows) > MAX_PIVOT_COLUMNS:
+        raise ValueError("keep matrices this wide in long form")
+    return sorted(r[0] for r in rows)
+
+
 def to_wide(counts: DataFrame, samples: Sequence[str], gene_col: str = "gene_id") -> DataFrame:
     """Clean matrix: gene id and one column per listed sample, 0 where absent.
 

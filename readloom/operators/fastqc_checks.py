@@ -237,7 +237,11 @@ CONFIG_BOUNDS = {"min_total": 5_000_000, "min_gc": 35, "max_gc": 65}
 
 
 def report_findings(rows: DataFrame, trimmed: bool = False, **bounds) -> DataFrame:
-    """All checks of one report set in one table."""
+    """All checks of one report set in one table.
+
+    Every check reads ``rows``: pass a stored table (``session.written``) when
+    they are parsed from files.
+    """
     basic = {k: v for k, v in bounds.items() if k in ("min_total", "min_gc", "max_gc")}
     parts = [
         check_basic_stats(basic_stats(rows), **basic),

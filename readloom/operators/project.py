@@ -187,7 +187,8 @@ def project_rows(
 
     One document would hold every sample in one row; here each entry is a row,
     and the sink writes a folder per section. ``value`` is JSON text where an
-    entry has several fields.
+    entry has several fields. Every section reads ``qc``: pass a stored table
+    (``session.written``) when it is costly to compute.
     """
     statuses = qc.select("sample_id", F.coalesce("status", F.lit("UNKNOWN")).alias("status"))
     none = F.lit(None).cast("string")

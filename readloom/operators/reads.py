@@ -95,6 +95,18 @@ def _positions(lengths: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - lengths, lengths)
 
 
+def _pieces(values, column=None, limit: int = 1 << 22):
+    """Slices of at most ``limit`` bases, or of one longer read, to bound memory."""
+    text = values if column is None else values.column(column)
+    _, at = _bytes(text)
+    first = 0
+    while first < len(values):
+        last = int(np.searchsorted(at, at[first] + limit, side="right")) - 1
+        last = min(max(last, first + 1), len(values))
+        yield values.slice(first, last - first)
+        first = last
+
+
 _CELLS = "sample_id string, kind string, a bigint, b bigint, n bigint, m bigint"
 
 
@@ -185,9 +197,7 @@ def read_cells(
     wanted, texts = set(kinds), list(motifs)
 
     def count(batches):
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in (piece for whole in batches for piece in _pieces(whole, "qual")):
             sample = batch.column("sample_id").dictionary_encode()
             names = sample.dictionary
             code = sample.indices.to_numpy(zero_copy_only=False).astype(np.int64)
@@ -372,7 +382,13 @@ def quality_cut(qual: Column, cutoff: int) -> Column:
     Arrow batch are cut at once: folding over an array per read in the JVM ran
     several times longer.
     """
-    return F.arrow_udf(lambda q: _kept_lengths(q, cutoff), "int")(qual)
+    def cut(column):
+        import pyarrow as pa
+
+        return pa.concat_arrays([_kept_lengths(c, cutoff) for c in _pieces(column)] or [
+            pa.array([], pa.int32())])
+
+    return F.arrow_udf(cut, "int")(qual)
 
 
 def trim_mate(

@@ -17,9 +17,8 @@ WIDTH = 64  # bin width for features of up to 50 bases
 @register("clean_matrix", "counts_long", """SELECT gene_id AS "Geneid", CAST(COALESCE(COLUMNS(* EXCLUDE gene_id), 0) AS BIGINT)
     FROM (PIVOT counts_long ON sample_id USING sum(count) GROUP BY gene_id)""")
 def _(spark, sf):
-    ids = V.table(spark, sf, "supplier").select(F.col("s_suppkey").cast("string")).limit(
-        C.MAX_PIVOT_COLUMNS + 1).collect()
-    return C.to_wide(V.counts_long(spark, sf), sorted(r[0] for r in ids))
+    ids = C.sample_columns(V.table(spark, sf, "supplier"), "s_suppkey")
+    return C.to_wide(V.counts_long(spark, sf), ids)
 
 
 @register("library_size", "counts_long",

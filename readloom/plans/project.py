@@ -10,6 +10,7 @@ from readloom.operators import queries as Q
 from readloom.operators import sample_qc as S
 from readloom.plans import views as V
 from readloom.plans.catalog import register
+from readloom.session import written
 
 STATUS_SUMMARY = """SELECT count(*) total_samples, count(*) FILTER (status = 'PASS') passed,
     count(*) - count(*) FILTER (status = 'PASS') failed,
@@ -120,7 +121,8 @@ def _(spark, sf):
 
     files = multiqc_check_verdict(
         V.module_status(spark, sf).withColumnRenamed("module", "check"), expected=[])
-    return P.qc_overview(V.judged(spark, sf), files, V.metrics(spark, sf), 33)
+    judged = written(V.judged(spark, sf), "judged")
+    return P.qc_overview(judged, files, judged, 33)
 
 
 @register("batch_summary", "judged sheet run_events", """
@@ -140,6 +142,7 @@ def _(spark, sf):
         F.when(errors, "error").alias("failed_step"), F.sum("k").alias("duration_sec"),
         F.lit(None).cast("string").alias("error"))
     judged = V.judged(spark, sf).join(V.sheet(spark, sf).select("sample_id", "project_id"), "sample_id")
+    judged = written(judged, "judged")
     return P.batch_summary(runs, judged, judged)
 
 
@@ -151,7 +154,9 @@ def _(spark, sf):
     UNION ALL SELECT 'demo', 'sample_axes', axis, sample_id, value FROM axes
     UNION ALL SELECT 'demo', 'issues', severity, sample_id, message FROM issues JOIN judged USING (sample_id) WHERE status = 'FAIL'""")
 def _(spark, sf):
-    rows = P.project_rows("demo", V.judged_with_issues(spark, sf), V.sheet_axes(spark, sf))
+    # all sections read the judged samples, so they are computed once
+    judged = written(V.judged_with_issues(spark, sf), "judged")
+    rows = P.project_rows("demo", judged, V.sheet_axes(spark, sf))
     # numbers inside the other sections are checked by their own queries
     return rows.where(~F.col("section").isin("aggregate_stats", "sample_metrics"))
 

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from readloom.operators import counts as C
 from readloom.operators import fastqc_checks as E
 from readloom.operators import project as P
 from readloom.operators import sample_qc as Q
 from readloom.plans import views as V
 from readloom.plans.catalog import register
+from readloom.session import written
 from readloom.sources import fastqc, logs, matrix
 from readloom.sources.documents import ISSUES, manifest_metadata_long
 from readloom.sources.text import lines_of
@@ -62,7 +64,8 @@ def _(spark, sf):
         CAST(too_short_pct > 4 AS BIGINT) + CAST(greatest(too_short_pct, mismatch_rate) > 5 AND greatest(too_short_pct, mismatch_rate) <= CAST(5.1 AS DOUBLE) AS BIGINT) w
       FROM metrics)""")
 def _(spark, sf):
-    rows = fastqc.parse_fastqc(_reports(spark, sf))
+    # every check reads the rows, so they are parsed once
+    rows = written(fastqc.parse_fastqc(_reports(spark, sf)), "report-rows")
     out = E.report_status(rows, V.metrics(spark, sf), trimmed=True, min_total=15000, min_gc=32,
                           max_gc=70, max_n=5.0, critical_n=5.1, max_adapter=5)
     return out.drop("recommendation")
@@ -137,15 +140,9 @@ def _(spark, sf):
         F.size("issues").alias("n_issues"))
 
 
-def _sample_ids(spark, sf):
-    """All sample ids: the columns of a wide matrix have to be known to the driver."""
-    rows = V.table(spark, sf, "supplier").select(F.col("s_suppkey").cast("string")).limit(10_001).collect()
-    return sorted(r[0] for r in rows)
-
-
 @register("assignment_matrix_to_long", "assignment_long", "SELECT sample_id, category, reads FROM assignment_long")
 def _(spark, sf):
-    ids = _sample_ids(spark, sf)
+    ids = C.sample_columns(V.table(spark, sf, "supplier"), "s_suppkey")
     wide = V.assignment_long(spark, sf).groupBy(F.col("category").alias("Status")).pivot(
         "sample_id", ids).agg(F.sum("reads"))
     wide = wide.select("Status", *[
@@ -158,10 +155,8 @@ def _(spark, sf):
       SELECT s.sample_id, coalesce(count, 0) count FROM (SELECT DISTINCT sample_id FROM counts_long) s
       CROSS JOIN (SELECT DISTINCT gene_id FROM counts_long) g LEFT JOIN counts_long c ON c.sample_id = s.sample_id AND c.gene_id = g.gene_id) GROUP BY 1""")
 def _(spark, sf):
-    from readloom.operators.counts import to_wide
-
-    ids = _sample_ids(spark, sf)
-    wide = to_wide(V.counts_long(spark, sf), ids)
+    ids = C.sample_columns(V.table(spark, sf, "supplier"), "s_suppkey")
+    wide = C.to_wide(V.counts_long(spark, sf), ids)
     raw = wide.select("Geneid", *[F.lit("x").alias(c) for c in matrix.GENE_COLUMNS[1:]], *[
         F.col(f"`{s}`").alias(f"out/aligned/{s}/Aligned.sortedByCoord.out.bam") for s in ids])
     return matrix.long_counts(raw).groupBy("sample_id").agg(

@@ -146,6 +146,17 @@ def test_histogram_matches_brute_force(spark, rows):
     assert sum(stats.values()) == 200
 
 
+def test_long_reads_are_counted_in_pieces():
+    import pyarrow as pa
+
+    texts = ["I" * n for n in (3, 0, 10, 1, 25, 0)]
+    parts = list(R._pieces(pa.array(texts), limit=10))
+    assert [x for p in parts for x in p.to_pylist()] == texts
+    assert all(sum(map(len, p.to_pylist())) <= 10 or len([x for x in p.to_pylist() if x]) == 1 for p in parts)
+    whole = R._kept_lengths(pa.array(texts), 50)
+    assert pa.concat_arrays([R._kept_lengths(p, 50) for p in parts]).equals(whole)
+
+
 def test_profile_gives_the_verdict_of_a_report(spark):
     good = [("s", "ACGT" * 10, "I" * 40)] * 30 + [("t", "ACGN" * 10, "#" * 40)] * 30
     df = spark.createDataFrame(good, "sample_id string, seq string, qual string")
