@@ -10,10 +10,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from readloom import constants as K
-from readloom.functions.ranking import first_rows
 from readloom.functions.stats import share
 from readloom.operators.rules import FAIL, WARN, status_from_findings
 
@@ -107,19 +107,27 @@ def check_basic_stats(
 ) -> DataFrame:
     """Too few sequences, or GC outside the range. Missing measures raise nothing."""
     total, gc = F.col("total_sequences"), F.col("gc")
-    low = _found(
-        stats, total < min_total, "basic", FAIL, "total_sequences",
+
+    def cell(code: str, message: Column, value: Column, threshold: Column) -> Column:
+        return F.struct(
+            F.lit("basic").alias("source"), F.lit(FAIL).alias("severity"), F.lit(code).alias("code"),
+            message.alias("message"), value.cast("double").alias("value"),
+            threshold.cast("double").alias("threshold"))
+
+    low = F.when(total < min_total, cell(
+        "total_sequences",
         F.concat(F.lit("Total Sequences too low: "), F.format_number(total, 0),
                  F.lit(f" (minimum: {min_total:,})")),
-        total, min_total,
-    )
-    gc_out = _found(
-        stats, (gc < min_gc) | (gc > max_gc), "basic", FAIL, "gc",
+        total, F.lit(min_total)))
+    outside = F.when((gc < min_gc) | (gc > max_gc), cell(
+        "gc",
         F.concat(F.lit("GC content out of range: "), gc.cast("string"),
                  F.lit(f"% (expected: {min_gc}-{max_gc}%)")),
-        gc, F.when(gc < min_gc, min_gc).otherwise(max_gc),
-    )
-    return low.unionByName(gc_out)
+        gc, F.when(gc < min_gc, min_gc).otherwise(max_gc)))
+    # one pass over the statistics for both tests
+    return stats.select(
+        "sample_id", F.explode(F.array_compact(F.array(low, outside))).alias("f")
+    ).select("sample_id", "f.*")
 
 
 def grade_positions(positions: DataFrame, min_median: float = 28) -> DataFrame:
@@ -137,18 +145,22 @@ def grade_positions(positions: DataFrame, min_median: float = 28) -> DataFrame:
 
 
 def check_base_quality(positions: DataFrame, min_median: float = 28, shown: int = 5) -> DataFrame:
-    """Critical positions win over warnings; the message names the first ``shown``."""
-    graded = grade_positions(positions, min_median)
-    counts = graded.groupBy("sample_id").agg(
+    """Critical positions win over warnings; the message names the first ``shown``.
+
+    One pass: a sample has one row per position, however many reads it has.
+    """
+    worst_first = W.partitionBy("sample_id").orderBy(F.desc("grade"), "row_no")
+    ranked = grade_positions(positions, min_median).withColumn(
+        "rank", F.row_number().over(worst_first))
+    named = (F.col("grade") == 2) & (F.col("rank") <= shown)
+    judged = ranked.groupBy("sample_id").agg(
         F.count_if(F.col("grade") == 2).alias("n_critical"),
         F.count_if(F.col("grade") == 1).alias("n_warning"),
-    )
-    first = first_rows(graded.where("grade = 2"), ["sample_id"], ["row_no"], shown)
-    labels = first.groupBy("sample_id").agg(
-        F.array_join(
-            F.transform(F.array_sort(F.collect_list(F.struct("rank", "label"))),
-                        lambda x: x["label"]), ", ").alias("labels"))
-    judged = counts.where("n_critical + n_warning > 0").join(labels, "sample_id", "left")
+        # at most ``shown`` labels enter the list
+        F.array_join(F.transform(
+            F.array_sort(F.collect_list(F.when(named, F.struct("rank", "label")))),
+            lambda x: x["label"]), ", ").alias("labels"),
+    ).where("n_critical + n_warning > 0")
     critical = F.col("n_critical") > 0
     return _found(
         judged, None, "base_quality", F.when(critical, FAIL).otherwise(WARN), "base_quality",

@@ -81,18 +81,18 @@ def filter_samples(
             raise ValueError("without filters the sample list is needed")
         return statuses.select("sample_id")
     axis, value = F.col("axis"), F.col("value")
-    wanted = None
-    for name, text in filters.items():
-        test = (axis == name) & (F.lower(value) == text.lower())
-        wanted = test if wanted is None else wanted | test
-    hits = axes.where(wanted)
-    # one row per filter, so this side is as small as the argument
-    chosen = hits.groupBy("axis").agg(F.min("value").alias("value"))
+    tests = [(axis == name) & (F.lower(value) == text.lower()) for name, text in filters.items()]
+    # the chosen spelling of every filter, one row
+    chosen = axes.agg(F.array(*[F.min(F.when(t, value)) for t in tests]).alias("c")).scalar()
+    spelled = axes.withColumn("_chosen", chosen)
+    bits = F.lit(0).cast("bigint")
+    for i, (name, test) in enumerate(zip(filters, tests)):
+        hit = test & (value == F.col("_chosen")[i])
+        bits = bits + F.when(hit, F.lit(1 << i)).otherwise(0)
     matched = (
-        hits.join(F.broadcast(chosen), ["axis", "value"], "left_semi")
-        .groupBy("sample_id")
-        .agg(F.countDistinct("axis").alias("n_axes"))
-        .where(F.col("n_axes") == len(filters))
+        spelled.withColumn("_bits", bits).where("_bits > 0")
+        .groupBy("sample_id").agg(F.bit_or("_bits").alias("_bits"))
+        .where(F.col("_bits") == (1 << len(filters)) - 1)
         .select("sample_id")
     )
     if statuses is not None:
