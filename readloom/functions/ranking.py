@@ -48,16 +48,22 @@ def number_rows(
     order: Sequence[str],
     out: str = "n",
     ranges: int | None = None,
+    plain_below: int = 1_000_000,
 ) -> DataFrame:
     """1-based number of each row within its group, in ``order``.
 
-    The key ranges only decide how the work is split; the numbers are exact for
-    any choice. A group of a third of all rows is spread over a third of the
-    ranges. ``order`` must identify a row within its group. A small job picks the
-    ranges when this is called, by default twice as many as there are cores, up
-    to 256.
+    Where the largest group has fewer than ``plain_below`` rows one task can order
+    it. Else the rows are cut into key ranges: these only decide how the work is
+    split, the numbers are exact for any choice, and a group of a third of all
+    rows is spread over a third of the ranges. ``order`` must identify a row
+    within its group. Small jobs size the groups and pick the ranges when this
+    is called, by default twice as many as there are cores, up to 256.
     """
     group, order = list(group), list(order)
+    largest = df.groupBy(*group).count().agg(F.max("count")).first()[0]
+    if (largest or 0) < plain_below:
+        return df.withColumn(out, F.row_number().over(
+            W.partitionBy(*group).orderBy(*order)).cast("bigint"))
     if ranges is None:
         ranges = min(256, 2 * df.sparkSession.sparkContext.defaultParallelism)
     key = [*group, *order]

@@ -9,12 +9,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from readloom.functions.shipping import ship
 from readloom import constants as K
 from readloom.functions.stats import share
 from readloom.session import written
 
 PHRED_OFFSET = 33
 
+ship(__name__)
+
 
 # --- format checks -----------------------------------------------------------------
 

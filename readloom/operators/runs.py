@@ -50,17 +50,23 @@ def workflow_progress(lines: DataFrame) -> DataFrame:
     line, pos = F.col("line"), F.col("pos")
     done = F.element_at(F.regexp_extract_all(line, F.lit(STEPS), F.lit(1)), -1).cast("bigint")
     total = F.element_at(F.regexp_extract_all(line, F.lit(STEPS), F.lit(2)), -1).cast("bigint")
-    has_steps = line.rlike(STEPS)
-    is_rule = line.rlike(RULE)
+    # most lines are none of these: plain searches keep them from the patterns
+    has_steps = line.contains(" steps (") & line.rlike(STEPS)
+    is_rule = line.contains("rule ") & line.rlike(RULE)
+
+    def occurrences(text: str, pattern: str) -> Column:
+        return F.sum(F.when(line.contains(text), F.regexp_count(line, F.lit(pattern))).otherwise(0)).cast("bigint")
+
     step = F.when(has_steps, F.struct(done.alias("done"), total.alias("total")))
     out = lines.groupBy("file").agg(
         F.max_by(step, F.when(has_steps, pos)).alias("s"),
         F.max_by(F.when(is_rule, F.regexp_extract(line, RULE, 1)), F.when(is_rule, pos))
         .alias("current_rule"),
-        F.sum(F.regexp_count(line, F.lit(FINISHED))).cast("bigint").alias("finished_count"),
-        F.sum(F.regexp_count(line, F.lit(RULE_ERROR))).cast("bigint").alias("n_rule_errors"),
+        occurrences("Finished job ", FINISHED).alias("finished_count"),
+        occurrences("Error in rule ", RULE_ERROR).alias("n_rule_errors"),
         F.bool_or(line.contains(FATAL)).alias("fatal_error"),
-        F.bool_or(line.contains(COMPLETE) | line.rlike(ALL_STEPS)).alias("is_complete"),
+        F.bool_or(line.contains(COMPLETE) | (line.contains("(100%)") & line.rlike(ALL_STEPS)))
+        .alias("is_complete"),
     )
     pct = F.when(F.col("s").isNotNull(), F.round(share(F.col("s.done"), F.col("s.total")), 1))
     return out.select(

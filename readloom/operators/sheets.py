@@ -37,9 +37,9 @@ def infer_condition(
     return out
 
 
-def number_replicates(samples: DataFrame, ranges: int | None = None) -> DataFrame:
+def number_replicates(samples: DataFrame, **split) -> DataFrame:
     """Running number of a sample within its condition, by sample id."""
-    return number_rows(samples, ["condition"], ["sample_id"], "replicate", ranges)
+    return number_rows(samples, ["condition"], ["sample_id"], "replicate", **split)
 
 
 def missing_mates(pairs: DataFrame) -> DataFrame:

@@ -53,7 +53,8 @@ def _(spark, sf):
           "SELECT artifact condition, path sample_id, row_number() OVER (PARTITION BY artifact ORDER BY path) replicate FROM artifacts")
 def _(spark, sf):
     rows = V.artifacts(spark, sf).select(F.col("artifact").alias("condition"), F.col("path").alias("sample_id"))
-    return S.number_replicates(rows)
+    # the split way, which large groups take by themselves
+    return S.number_replicates(rows, plain_below=0)
 
 
 @register("missing_mates", "sheet", "SELECT sample_id FROM sheet WHERE fastq_2 IS NULL")

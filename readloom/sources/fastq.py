@@ -17,12 +17,15 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from readloom.functions.shipping import ship
 from readloom.session import broadcast_if_small
 
 SCHEMA = (
     "file string, split bigint, rec bigint, header string, seq string, plus string, qual string"
 )
 COUNT_SCHEMA = "file string, split bigint, n bigint"
+
+ship(__name__)
 ENDINGS = (".fastq.gz", ".fq.gz", ".fastq", ".fq")
 BATCH = 8192
 

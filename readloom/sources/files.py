@@ -8,9 +8,13 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from readloom.functions.shipping import ship
 from readloom.functions.text import file_name
 
 
+ship(__name__)
+
+
 def list_artifacts(spark: SparkSession, root: str | list[str], glob: str | None = None) -> DataFrame:
     """``(path, size, mtime)`` of a tree; file contents are not read."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")

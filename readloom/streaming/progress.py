@@ -16,12 +16,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 from pyspark.sql import types as Ty
 
+from readloom.functions.shipping import ship
 from readloom import constants as K
 from readloom.operators.runs import has_keyword
 from readloom.session import scratch_path
 
 WATERMARK = "10 minutes"
 
+ship(__name__)
+
 
 def stream_lines(spark: SparkSession, path: str, glob: str = "*.log") -> DataFrame:
     """New lines of a folder of logs: ``(file, line)``."""

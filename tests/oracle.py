@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import os
 import sys
 import time
 
@@ -75,10 +76,12 @@ if __name__ == "__main__":
     import __spark_entry__ as entry
     from readloom.session import build_session
 
-    spark = build_session(master="local[8]", **{
-        "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g"})
+    settings = {"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g"}
+    # more settings, for example ORACLE_CONF="spark.sql.autoBroadcastJoinThreshold=-1"
+    settings.update(kv.split("=", 1) for kv in os.environ.get("ORACLE_CONF", "").split(",") if kv)
+    spark = build_session(master="local[8]", **settings)
     spark.sparkContext.setLogLevel("ERROR")
-    sf = "/root/testdata/sf0.01"
+    sf = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
     con = connect(sf)
     names, oracle, bad = entry.queries(), entry.oracle_sql(), 0
     for name, fn in names.items():
