@@ -127,7 +127,7 @@ RUN_STAGES = [
 ]
 SETUP_STEPS = [
     "fastq_detected", "config_created", "sample_sheet_created", "pipeline_started",
-    "pipeline_done", "de_prepared", "de_done", "seqviewer_done",
+    "pipeline_done", "de_prepared", "de_done", "viewer_done",
 ]
 
 # Adapters and trimming defaults.

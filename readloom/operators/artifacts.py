@@ -61,6 +61,25 @@ def read_type(pairs: DataFrame) -> DataFrame:
         F.count("*").alias("n_samples"))
 
 
+def dataset_summary(listing: DataFrame) -> DataFrame:
+    """One row on the read files: files, folders, samples, clashes, GiB, read type.
+
+    More than one folder, or a clash of names, calls for a sample sheet.
+    """
+    path = F.col("path")
+    files = listing.where(T.file_name(path).rlike(T.FASTQ_ENDING)).agg(
+        F.count("*").alias("n_files"),
+        F.countDistinct(F.regexp_replace(path, "/?[^/]*$", "")).alias("n_folders"))
+    samples = pair_files(listing).agg(
+        F.count("*").alias("n_samples"),
+        F.coalesce(F.sum("n_conflicts"), F.lit(0)).cast("bigint").alias("n_conflicts"),
+        F.coalesce(F.sum("size_gib"), F.lit(0.0)).alias("size_gib"),
+        F.when(F.coalesce(F.bool_or("marked"), F.lit(False)), "paired-end")
+        .otherwise("single-end").alias("read_type"))
+    both = files.unionByName(samples, True)
+    return both.agg(*[F.max(c).alias(c) for c in both.columns])
+
+
 def sample_names(listing: DataFrame, ending: str = "_1.fastq.gz") -> DataFrame:
     """Distinct samples behind the first-mate files."""
     name = T.file_name(F.col("path"))

@@ -50,9 +50,13 @@ def _comparison(has_metrics: Column, missing: str, digits: int) -> list[Column]:
 
 
 def compare(groups: DataFrame, metrics: DataFrame, digits: int = 2) -> DataFrame:
-    """Per condition: samples, means, passed, failed. Every sample needs metrics."""
-    joined = groups.join(metrics, "sample_id")
-    return joined.groupBy("condition").agg(*_comparison(F.lit(True), "skip", digits))
+    """Per condition: samples, means, passed, failed.
+
+    Samples without metrics count as samples but enter no mean.
+    """
+    joined = groups.join(metrics.withColumn("_seen", F.lit(True)), "sample_id", "left")
+    return joined.groupBy("condition").agg(
+        *_comparison(F.col("_seen").isNotNull(), "skip", digits))
 
 
 def issues(qc: DataFrame) -> DataFrame:

@@ -191,7 +191,7 @@ COMPARE = """count(*) n_samples, round(avg(uniquely_mapped_pct), 2) mean_uniquel
 
 
 @register("compare_conditions", "sheet judged",
-          f"SELECT condition, {COMPARE} FROM sheet JOIN judged m USING (sample_id) GROUP BY 1")
+          f"SELECT condition, {COMPARE} FROM sheet s LEFT JOIN judged m ON s.sample_id = m.sample_id GROUP BY 1")
 def _(spark, sf):
     return Q.compare(groups(spark, sf), V.judged(spark, sf))
 

@@ -170,6 +170,14 @@ def _(spark, sf):
     return A.read_type(A.pair_files(_listing(spark, sf).drop("project_id")))
 
 
+@register("dataset_summary", "sheet", f"""WITH {LISTING} SELECT (SELECT count(*) FROM listing) n_files, 1::BIGINT n_folders,
+    (SELECT count(*) FROM sheet) n_samples, 0::BIGINT n_conflicts, round(CAST((SELECT sum(size) FROM listing) AS DOUBLE) / 1073741824, 9) size_gib,
+    'paired-end' read_type""")
+def _(spark, sf):
+    return A.dataset_summary(_listing(spark, sf).drop("project_id")).withColumn(
+        "size_gib", F.round("size_gib", 9))
+
+
 @register("second_mate_path", "sheet", """SELECT sample_id, replace(replace(fastq_1, '_1.fq', '_2.fq'), '_R1_001.', '_R2_001.') r2 FROM sheet""")
 def _(spark, sf):
     return V.sheet(spark, sf).select("sample_id", T.second_mate_path(F.col("fastq_1")).alias("r2"))

@@ -19,10 +19,12 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 def counts_long(spark: SparkSession, sf: str) -> DataFrame:
     """``(gene_id, sample_id, count)``."""
-    return table(spark, sf, "lineitem").groupBy(
+    # grouped by the numbers, named afterwards
+    cells = table(spark, sf, "lineitem").groupBy("l_partkey", "l_suppkey").agg(
+        F.sum(F.col("l_quantity").cast("bigint")).alias("count"))
+    return cells.select(
         F.col("l_partkey").cast("string").alias("gene_id"),
-        F.col("l_suppkey").cast("string").alias("sample_id"),
-    ).agg(F.sum(F.col("l_quantity").cast("bigint")).alias("count"))
+        F.col("l_suppkey").cast("string").alias("sample_id"), "count")
 
 
 def sheet(spark: SparkSession, sf: str) -> DataFrame:
@@ -67,9 +69,7 @@ def metrics(spark: SparkSession, sf: str) -> DataFrame:
     def pct(test) -> F.Column:
         return (F.lit(100) * F.count_if(test)).cast("double") / n
 
-    return table(spark, sf, "lineitem").groupBy(
-        F.col("l_suppkey").cast("string").alias("sample_id")
-    ).agg(
+    rows = table(spark, sf, "lineitem").groupBy("l_suppkey").agg(
         F.sum(F.col("l_quantity").cast("bigint")).alias("total_reads"),
         pct(F.col("l_returnflag") == "A").alias("uniquely_mapped_pct"),
         pct(F.col("l_linestatus") == "O").alias("assignment_rate"),
@@ -77,17 +77,19 @@ def metrics(spark: SparkSession, sf: str) -> DataFrame:
         pct(F.col("l_quantity") <= 2).alias("too_short_pct"),
         pct(F.col("l_tax") < 0.015).alias("unmapped_short_pct"),
     )
+    return rows.select(F.col("l_suppkey").cast("string").alias("sample_id"), *rows.columns[1:])
 
 
 def assignment_long(spark: SparkSession, sf: str) -> DataFrame:
     flag, status = F.col("l_returnflag"), F.col("l_linestatus")
-    return table(spark, sf, "lineitem").groupBy(
-        F.col("l_suppkey").cast("string").alias("sample_id"),
+    rows = table(spark, sf, "lineitem").groupBy(
+        "l_suppkey",
         F.when((flag == "N") & (status == "F"), K.MULTI_MAPPING)
         .when((flag == "R") & (status == "F"), K.NO_FEATURES)
         .when((flag == "R") & (status == "O"), K.AMBIGUITY)
         .otherwise(K.ASSIGNED).alias("category"),
     ).agg(F.sum(F.col("l_quantity").cast("bigint")).alias("reads"))
+    return rows.select(F.col("l_suppkey").cast("string").alias("sample_id"), "category", "reads")
 
 
 def events(spark: SparkSession, sf: str) -> DataFrame:

@@ -125,6 +125,8 @@ def test_questions(small, rows):
     assert rows(Q.filter_samples(axes, {"Tissue": "HPC"})) == []
     assert rows(Q.filter_samples(axes, {"tissue": "none"})) == []
     assert rows(Q.failed(metrics)) == [("b",), ("c",)]
+    groups = axes.where("axis = 'condition'").withColumnRenamed("value", "condition")
+    assert rows(Q.compare(groups, metrics)) == [("het", 2, 40.0, 20.0, 0, 1), ("wt", 2, 85.0, 65.0, 1, 1)]
     assert Q.status(metrics, "p").first().pass_rate == "33.33%"
 
 

@@ -184,6 +184,8 @@ def test_pairing(spark, rows):
         "a": ("e/a_1.fastq.gz", "d/a_R2.fq", 1), "b": ("d/b_R1_001.fastq.gz", None, 0),
         "c": (None, "d/c-2.fq.gz", 0), "single": ("d/single.fastq", None, 0), "U": ("d/U_1.FASTQ.GZ", None, 0)}
     assert A.read_type(A.pair_files(df)).first().read_type == "paired-end"
+    s = A.dataset_summary(df).first()
+    assert (s.n_files, s.n_folders, s.n_samples, s.n_conflicts, s.read_type) == (7, 2, 5, 1, "paired-end")
 
 
 @settings(max_examples=60, deadline=None)
