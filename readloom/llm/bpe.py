@@ -167,7 +167,7 @@ def encode_texts(df: DataFrame, vocabulary_path: str, text: str = "text", ids: s
     names = [f.name for f in kept]
 
     def encode(batches):
-        encoder = Encoder(table.value)
+        encoder = table.value.once(Encoder)
         for batch in batches:
             for part in _slices(batch):
                 texts = part.column(part.schema.get_field_index(text)).to_pylist()

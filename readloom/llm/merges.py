@@ -52,9 +52,17 @@ class Vocabulary:
         self.longer: dict[str, list[str]] = {}
         self.alike = self._alike()
         self.spines.clear()  # filled again in tasks, for the tokens met there
+        self.built: dict = {}
         self.bytes_of = {i: t.encode("latin-1") for t, i in ids.items()}
         self.bytes_of.update({i: s.encode() for s, i in specials.items()})
 
+    def once(self, make):
+        """What ``make`` builds from this vocabulary, built once per process: a worker's later tasks go on with it."""
+        found = self.built.get(make.__name__)
+        if found is None:
+            found = self.built[make.__name__] = make(self)
+        return found
+
     @classmethod
     def of_file(cls, path: str) -> Vocabulary:
         """Read a tokenizer file with a byte-level BPE model."""
