@@ -206,7 +206,7 @@ def count_tokens(df: DataFrame, vocabulary_path: str, text: str = "text", n_toke
     names = [f.name for f in kept]
 
     def count(batches):
-        transducer = Transducer(table.value)
+        transducer = table.value.once(Transducer)
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS_AT_ONCE):
                 part = batch.slice(at, ROWS_AT_ONCE)
