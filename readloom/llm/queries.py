@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from readloom.llm import sql_twins
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
@@ -39,8 +41,43 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.decode_ids(encoded.drop("text"), path))
 
 
+@register("op4_licenses", sql_twins.op4())
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from readloom.llm import licenses
+
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
+@register("op7_shards", sql_twins.OP7)
+def op7_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from readloom.llm import sharding
+
+    return sharding.assign_shards(table(spark, sf_dir, "documents"))
+
+
 @register("op8_token_counts")
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from readloom.llm import token_counts
 
     return token_counts.judged(table(spark, sf_dir, "documents"), vocabulary_path())
+
+
+URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
+             ("net", "/es/", "block"), ("net", "/fr/", "block")]
+
+
+@register("op9_url_rules", sql_twins.OP9)
+def op9_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from readloom.llm import url_filter
+
+    values = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
+    rules = spark.sql(f"SELECT * FROM VALUES {values} AS rules(host, path, verdict)")
+    return url_filter.judge_urls(table(spark, sf_dir, "pages"), rules)
+
+
+@register("op10_quality", sql_twins.OP10)
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from readloom.llm import quality
+
+    return quality.judge(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
