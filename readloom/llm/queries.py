@@ -48,6 +48,20 @@ def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
 
 
+@register("op5_simhash")
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from readloom.llm import simhash
+
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@register("op6_toxicity")
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from readloom.llm import toxicity
+
+    return toxicity.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @register("op7_shards", sql_twins.OP7)
 def op7_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     from readloom.llm import sharding
