@@ -24,6 +24,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from readloom.session import written
+
 BLANK = r"[\x20\x09-\x0D]"
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
@@ -31,6 +33,7 @@ MOST_REPEATED = 50
 BITS = 6
 LEAST_ROWS = 200
 RANGES = 3
+MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
 #: Measure -> margin added to both fences.
 MARGINS = {"symbols": 50, "dup_lines": 400, "repeats": 400, "word_length": 150}
 
@@ -42,69 +45,63 @@ def once(value: Column, use) -> Column:
 
 def words_of(text: Column) -> Column:
     """Runs of characters other than the six ASCII blanks; none for a null text."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), f"{BLANK}+", -1), lambda w: w != "")
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), f"{BLANK}+", -1), "")
 
 
-def n_covered(words: Column) -> Column:
-    """Words inside three-word windows found twice or more in the list.
+def n_covered(windows: Column) -> Column:
+    """Words inside three-word windows found twice or more, from the windows' hashes in the order of the text.
 
-    Windows are sorted with their places; a window that equals a neighbour is a
-    repeated one. Of repeated windows in the order of places, each covers as many
-    words as lie before the next, three at most.
+    Without equal windows there are none. Else windows are sorted with their
+    places; one that equals a neighbour is repeated. Of repeated windows in the
+    order of places, each covers as many words as lie before the next, three at
+    most.
     """
 
-    def marked(sorted_windows: Column) -> Column:
-        size = F.size(sorted_windows)
-        twice = F.filter(
-            F.transform(sorted_windows, lambda x, i: F.when(
-                ((i > 0) & (F.get(sorted_windows, i - 1)["w"] == x["w"]))
-                | ((i + 1 < size) & (F.get(sorted_windows, i + 1)["w"] == x["w"])), x["i"])), lambda p: p.isNotNull())
-        return once(F.array_sort(twice), lambda p: F.when(F.size(p) == 0, F.lit(0)).otherwise(F.aggregate(
-            F.zip_with(F.slice(p, 1, F.size(p) - 1), F.slice(p, 2, F.size(p) - 1), lambda a, b: F.least(F.lit(3), b - a)),
-            F.lit(3), lambda total, n: total + n)))
+    def marked(placed: Column) -> Column:
+        def same(i, k):
+            return F.coalesce(F.get(placed, i)["w"] == F.get(placed, k)["w"], F.lit(False))
 
-    def windows(w: Column) -> Column:
-        return F.transform(F.sequence(F.lit(0), F.size(w) - 3), lambda i: F.struct(
-            F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)).alias("w"), i.alias("i")))
+        twice = F.filter(F.transform(placed, lambda x, i: F.when(
+            ((i > 0) & same(i, i - 1)) | same(i, i + 1), x["i"])), lambda p: p.isNotNull())
+        return once(F.sort_array(twice), lambda p: F.aggregate(
+            F.zip_with(F.slice(p, 1, F.size(p) - 1), F.slice(p, 2, F.size(p) - 1), lambda a, b: F.least(F.lit(3), b - a)),
+            F.lit(3), lambda total, n: total + n))
 
-    return F.when(F.size(words) < 4, F.lit(0)).otherwise(once(F.array_sort(windows(words)), marked))
+    placed = F.transform(windows, lambda w, i: F.struct(w.alias("w"), i.alias("i")))
+    return F.when(F.size(F.array_distinct(windows)) == F.size(windows), F.lit(0)).otherwise(
+        once(F.sort_array(placed), marked))
 
 
 def measure(df: DataFrame, text: str = "text") -> DataFrame:
     """All columns and ``n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines`` (long)."""
     t = F.coalesce(F.col(text), F.lit(""))
-    lines = F.filter(F.split(t, "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    long = {
-        "n_words": once(words_of(F.col(text)), lambda w: F.struct(F.size(w).alias("n"), n_covered(w).alias("c"))),
-        "word_chars": F.length(F.regexp_replace(t, BLANK, "")),
-        "n_symbols": F.length(t) - F.length(F.translate(t, SYMBOLS, "")),
-        "n_dup_lines": once(lines, lambda x: F.struct(F.size(x).alias("n"), F.size(F.array_distinct(x)).alias("d"))),
-    }
-    out = df.withColumns(long)
-    return out.withColumns({
-        "n_lines": F.col("n_dup_lines.n").cast("long"),
-        "n_dup_lines": (F.col("n_dup_lines.n") - F.col("n_dup_lines.d")).cast("long"),
-        "n_repeat_words": F.col("n_words.c").cast("long"),
-        "n_words": F.col("n_words.n").cast("long"),
-        "word_chars": F.col("word_chars").cast("long"),
-        "n_symbols": F.col("n_symbols").cast("long"),
-    })
+    w, h, x = "_words", "_windows", "_lines"
+    three = F.transform(F.sequence(F.lit(0), F.size(w) - 3),
+                        lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)))
+    # steps of their own, so that each list is made once
+    return (
+        df.withColumns({w: words_of(F.col(text)), "n_symbols": F.length(F.regexp_replace(t, f"[^{SYMBOLS}]+", "")).cast("long"),
+                        x: F.filter(F.split(t, "\n", -1), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))})
+        .withColumns({"n_words": F.size(w).cast("long"), "word_chars": F.length(F.array_join(w, "")).cast("long"),
+                      "n_lines": F.size(x).cast("long"),
+                      "n_dup_lines": (F.size(x) - F.size(F.array_distinct(x))).cast("long"),
+                      h: F.when(F.size(w) < 3, F.array().cast("array<bigint>")).otherwise(three)})
+        .drop(w, x).withColumn("n_repeat_words", n_covered(F.col(h)).cast("long")).drop(h))
 
 
 def rates() -> dict[str, Column]:
     """The rules' measures: per thousand of characters, lines and words, and characters in a hundred words."""
-    def per(a, b, n):
-        return F.expr(f"coalesce(({n} * {a}) div {b}, 0)") if b else None
+    def per(part, whole, n):
+        return F.expr(f"coalesce(({n} * {part}) div nullif({whole}, 0), 0)")
 
-    return {"symbols": per("n_symbols", "nullif(word_chars, 0)", 1000), "dup_lines": per("n_dup_lines", "nullif(n_lines, 0)", 1000),
-            "repeats": per("n_repeat_words", "nullif(n_words, 0)", 1000),
-            "word_length": per("word_chars", "nullif(n_words, 0)", 100)}
+    return {"symbols": per("n_symbols", "word_chars", 1000), "dup_lines": per("n_dup_lines", "n_lines", 1000),
+            "repeats": per("n_repeat_words", "n_words", 1000), "word_length": per("word_chars", "n_words", 100)}
 
 
 def sketch_bin(value: Column, bits: int = BITS) -> Column:
     """The lower end of the number's bin: its ``bits`` leading bits."""
     drop = F.greatest(F.length(F.bin(value)) - F.lit(bits), F.lit(0))
-    return F.expr("1L") * F.call_function("shiftleft", F.call_function("shiftright", value, drop), drop)
+    return F.call_function("shiftleft", F.call_function("shiftright", value, drop), drop)
 
 
 def sketches(measured: DataFrame, group: list[str]) -> DataFrame:
@@ -153,9 +150,15 @@ def adaptive_fences(measured: DataFrame, least_rows: int = LEAST_ROWS) -> DataFr
         F.max(F.when(F.col("measure") == m, fence)).alias(f"{m}_fence") for m in MARGINS])
 
 
-def judge(df: DataFrame, least_rows: int = LEAST_ROWS) -> DataFrame:
-    """All columns and measures, ``base_failed`` and ``kept``."""
-    measured = measure(df)
+def judge(df: DataFrame, carry: tuple[str, ...] = ("doc_id",), least_rows: int = LEAST_ROWS) -> DataFrame:
+    """The ``carry`` columns, ``lang, source``, all measures, ``base_failed`` and ``kept`` for every row.
+
+    The measured rows are stored under the shared folder once (without texts,
+    unless carried): the sketches are made from them, then the verdicts.
+    """
+    whole = measure(df)
+    names = [c for c in whole.columns if c in {*carry, "lang", "source", *MEASURES}]
+    measured = written(whole.select(*names), "measured")
     limits = adaptive_fences(measured, least_rows).select(
         F.col("lang").alias("of_lang"), F.col("source").alias("of_source"), *[f"{m}_fence" for m in MARGINS])
     failed = (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MOST_REPEATED)
