@@ -32,6 +32,13 @@ def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+@register("op1_substring_dedup")
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from readloom.llm import substring_dedup
+
+    return substring_dedup.cut_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @register("op2_bpe")
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from readloom.llm import bpe
@@ -41,6 +48,13 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.decode_ids(encoded.drop("text"), path))
 
 
+@register("op3_decontamination")
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from readloom.llm import decontaminate
+
+    return decontaminate.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @register("op4_licenses", sql_twins.op4())
 def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     from readloom.llm import licenses
