@@ -69,9 +69,8 @@ def assign_shards(df: DataFrame, row_id: str = "doc_id", text: str = "text", sha
                      F.coalesce(F.crc32(F.col(text).cast("binary")), F.lit(0)).cast("long").alias("text_crc32"),
                      text_digest(text).alias("digest"))
     placed = written(offsets(rows, ["digest", "doc_id"], "size", ranges), "offsets")
-    total = placed.agg(F.sum("size").alias("total"))  # one row
-    cut = placed.crossJoin(F.broadcast(total)).withColumn(
-        "shard", F.expr(f"int(byte_at * {shards} div total)"))
+    total = placed.agg(F.sum("size")).first()[0] or 1
+    cut = placed.withColumn("shard", F.expr(f"int(byte_at * {shards} div {total})"))
     first = cut.groupBy("shard").agg(F.min("row_at").alias("first_row"))  # one row per shard
     return (cut.join(F.broadcast(first), "shard")
             .select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
