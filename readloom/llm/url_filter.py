@@ -54,6 +54,8 @@ def _sweep(points: DataFrame, prefixes: DataFrame, scope: str, key: str, levels:
     prefixes are distinct. A prefix opens at its own bytes and closes at these
     followed by a byte above all others.
     """
+    if levels == 0:
+        return points.withColumn("stack", F.array().cast("array<string>"))
     own = [c for c in points.columns if c not in (scope, key)]
     at = F.col(key).cast("binary")
     opens = prefixes.select(scope, at.alias("at"), F.lit(OPEN).alias("kind"), F.col(key).alias("prefix"))
@@ -86,7 +88,7 @@ def _sweep(points: DataFrame, prefixes: DataFrame, scope: str, key: str, levels:
     for n in range(1, levels + 1):
         stacked = stacked.withColumn(f"level_{n}", F.when(F.col("depth") >= n, F.coalesce(
             F.last(opened(n), ignorenulls=True).over(inside), F.col(f"from_{n}"))))
-    stack = F.array_compact(F.array(*[F.col(f"level_{n}") for n in range(1, levels + 1)])) if levels else F.array().cast("array<string>")
+    stack = F.array_compact(F.array(*[F.col(f"level_{n}") for n in range(1, levels + 1)]))
     return stacked.where(F.col("kind") == POINT).select(scope, F.col("key").alias(key), "row.*", stack.alias("stack"))
 
 
