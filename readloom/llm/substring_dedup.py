@@ -2,7 +2,7 @@
 
 A text's words (between ASCII blanks) are cut where a gear rolling hash of the
 last ``GEAR`` bytes, taken at word ends, is the least within ``REACH`` words on
-either side. Cuts depend on what lies near them only, so an insertion moves the
+either side (where words go on repeating, at each equal place). Cuts depend on what lies near them only, so an insertion moves the
 cuts around it and no others. A chunk goes from a cut to the first cut at least
 ``WORDS`` words on; chunks start at every cut, so any passage of about
 ``WORDS + 4 * REACH`` words holds a whole one wherever its ends fall. Chunks are
@@ -68,7 +68,7 @@ def cuts(words: list[bytes], joined: bytes, starts: np.ndarray, ends: np.ndarray
     padded[REACH:REACH + n] = value
     least = np.ones(n, bool)
     for d in range(1, REACH + 1):
-        least &= value < padded[REACH - d:REACH - d + n]
+        least &= value <= padded[REACH - d:REACH - d + n]
         least &= value <= padded[REACH + d:REACH + d + n]
     inner = np.flatnonzero(least) + 1
     return np.concatenate([[0], inner[(inner > 0) & (inner < n)], [n]])
