@@ -11,15 +11,10 @@ from readloom import constants as K
 from readloom.functions.ranking import first_rows
 from readloom.functions.stats import population_variance, share
 
-MAX_PIVOT_COLUMNS = 10_000
-
 
 def sample_columns(samples: DataFrame, column: str = "sample_id") -> list[str]:
-    """Sorted ids for the columns of a wide matrix; an error beyond the column bound."""
-    rows = samples.select(F.col(column).cast("string")).distinct().limit(MAX_PIVOT_COLUMNS + 1).collect()
-    if len(rows) > MAX_PIVOT_COLUMNS:
-        raise ValueError("keep matrices this wide in long form")
-    return sorted(r[0] for r in rows)
+    """Sorted ids for the columns of a wide matrix."""
+    return sorted(r[0] for r in samples.select(F.col(column).cast("string")).distinct().collect())
 
 
 def to_wide(counts: DataFrame, samples: Sequence[str], gene_col: str = "gene_id") -> DataFrame:
@@ -28,8 +23,6 @@ def to_wide(counts: DataFrame, samples: Sequence[str], gene_col: str = "gene_id"
     The sample list is an argument, so no job runs to find it and the columns
     come in its order.
     """
-    if len(samples) > MAX_PIVOT_COLUMNS:
-        raise ValueError("keep matrices this wide in long form")
     wide = counts.groupBy(F.col(gene_col).alias("Geneid")).pivot("sample_id", list(samples)).agg(
         F.sum("count").cast("bigint"))
     return wide.na.fill(0, [f"`{s}`" for s in samples])
@@ -124,7 +117,7 @@ def drop_samples(counts: DataFrame, excluded: Sequence[str]) -> DataFrame:
 def excluded_not_found(counts: DataFrame, excluded: DataFrame) -> DataFrame:
     """Listed samples the matrix does not have."""
     return excluded.select("sample_id").join(
-        counts.select("sample_id"), "sample_id", "left_anti")
+        counts.select("sample_id").distinct(), "sample_id", "left_anti")
 
 
 def zero_genes(counts: DataFrame, warn_above: float = 30) -> DataFrame:

@@ -116,7 +116,7 @@ def result_warnings(counts: DataFrame) -> DataFrame:
 
 
 def missing_pairs(configured: DataFrame, results: DataFrame) -> DataFrame:
-    return configured.select("pair").join(results.select("pair"), "pair", "left_anti")
+    return configured.select("pair").join(results.select("pair").distinct(), "pair", "left_anti")
 
 
 def result_status(configured: DataFrame, results: DataFrame) -> DataFrame:

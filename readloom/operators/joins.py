@@ -35,14 +35,14 @@ def differences(metadata: DataFrame, counts: DataFrame) -> DataFrame:
 
 
 def exclude(df: DataFrame, excluded: DataFrame, on: str = "sample_id") -> DataFrame:
-    return df.join(excluded.select(on), on, "left_anti")
+    return df.join(excluded.select(on).distinct(), on, "left_anti")
 
 
 def intersect_all(parts: Sequence[DataFrame], on: str = "sample_id") -> DataFrame:
     """Ids present in every part."""
     out = parts[0].select(on).distinct()
     for part in parts[1:]:
-        out = out.join(part.select(on), on, "left_semi")
+        out = out.join(part.select(on).distinct(), on, "left_semi")
     return out
 
 

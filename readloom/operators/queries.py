@@ -8,6 +8,8 @@ Inputs are the long tables of ``project``: ``statuses(sample_id, status)``,
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -89,14 +91,11 @@ def filter_samples(
     # the chosen spelling of every filter, one row
     chosen = axes.agg(F.array(*[F.min(F.when(t, value)) for t in tests]).alias("c")).scalar()
     spelled = axes.withColumn("_chosen", chosen)
-    bits = F.lit(0).cast("bigint")
-    for i, (name, test) in enumerate(zip(filters, tests)):
-        hit = test & (value == F.col("_chosen")[i])
-        bits = bits + F.when(hit, F.lit(1 << i)).otherwise(0)
+    hits = [test & (value == F.col("_chosen")[i]) for i, test in enumerate(tests)]
     matched = (
-        spelled.withColumn("_bits", bits).where("_bits > 0")
-        .groupBy("sample_id").agg(F.bit_or("_bits").alias("_bits"))
-        .where(F.col("_bits") == (1 << len(filters)) - 1)
+        spelled.where(reduce(or_, hits))
+        .groupBy("sample_id").agg(*[F.bool_or(hit).alias(f"_hit_{i}") for i, hit in enumerate(hits)])
+        .where(reduce(and_, [F.col(f"_hit_{i}") for i in range(len(hits))]))
         .select("sample_id")
     )
     if statuses is not None:

@@ -150,17 +150,13 @@ def stage_checklist(
     artifacts: DataFrame, runs: DataFrame, steps: Sequence[str] = tuple(K.SETUP_STEPS)
 ) -> DataFrame:
     """Per run: steps done, the next step and the bar. ``artifacts(run, step)``."""
-    rank = F.array_position(F.array(*[F.lit(s) for s in steps]), F.col("step"))
-    # one bit per step: the state of a run is one number, whatever the file count
-    bits = artifacts.withColumn("_rank", rank.cast("int")).where("_rank > 0").groupBy("run").agg(
-        F.bit_or(F.expr("shiftleft(1, _rank - 1)")).alias("bits"))
-    joined = runs.select("run").join(bits, "run", "left").withColumn(
-        "bits", F.coalesce("bits", F.lit(0)))
-    names = F.array(*[F.lit(s) for s in steps])
-    open_steps = F.filter(
-        F.transform(names, lambda s, i: F.when(F.getbit(F.col("bits"), i) == 0, s)),
-        lambda s: s.isNotNull())
-    n_done = F.bit_count("bits")
+    # one flag per step: the state of a run is one row, whatever the file count
+    flags = [f"_step_{n}" for n in range(len(steps))]
+    seen = artifacts.groupBy("run").agg(
+        *[F.bool_or(F.col("step") == s).alias(flag) for s, flag in zip(steps, flags)])
+    joined = runs.select("run").join(seen, "run", "left").na.fill(False, flags)
+    open_steps = F.array_compact(F.array(*[F.when(~F.col(flag), F.lit(s)) for s, flag in zip(steps, flags)]))
+    n_done = F.lit(len(steps)) - F.size(open_steps)
     return joined.select(
         "run", n_done.cast("int").alias("n_done"), F.lit(len(steps)).alias("n_total"),
         F.get(open_steps, F.lit(0)).alias("next_step"))

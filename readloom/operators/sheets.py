@@ -91,9 +91,9 @@ def manifest_metadata(
 
 def whole_text(value: Column) -> Column:
     """Integer-valued numbers as integers: ``"3.0"`` -> ``"3"``; other text unchanged."""
-    number = value.try_cast("double")
-    whole = value.rlike(r"^[+-]?\d+\.0*$") & (F.abs(number) < 9e15)
-    return F.when(whole, number.try_cast("bigint").cast("string")).otherwise(value)
+    whole = value.rlike(r"^[+-]?\d+\.0*$")
+    plain = F.regexp_replace(F.regexp_replace(value, r"\.0*$", ""), r"^(-?)\+?0*(?=\d)", "$1")
+    return F.when(whole, F.when(plain == "-0", "0").otherwise(plain)).otherwise(value)
 
 
 def sheet_metadata(

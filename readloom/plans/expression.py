@@ -14,11 +14,19 @@ WIDTH = 64  # bin width for features of up to 50 bases
 
 
 
-@register("clean_matrix", "counts_long", """SELECT gene_id AS "Geneid", CAST(COALESCE(COLUMNS(* EXCLUDE gene_id), 0) AS BIGINT)
-    FROM (PIVOT counts_long ON sample_id USING sum(count) GROUP BY gene_id)""")
+# the suppliers' nations: as many columns at every scale
+NATIONS = [f"NATION_{n}" for n in range(25)]
+
+
+@register("clean_matrix", "counts_long", "SELECT gene_id AS \"Geneid\", " + ", ".join(
+    f"CAST(coalesce(sum(count) FILTER (n_name = '{n}'), 0) AS BIGINT) AS \"{n}\"" for n in NATIONS) + """
+    FROM counts_long JOIN supplier ON CAST(s_suppkey AS VARCHAR) = sample_id JOIN nation ON s_nationkey = n_nationkey
+    GROUP BY gene_id""")
 def _(spark, sf):
-    ids = C.sample_columns(V.table(spark, sf, "supplier"), "s_suppkey")
-    return C.to_wide(V.counts_long(spark, sf), ids)
+    nation = V.table(spark, sf, "supplier").join(V.table(spark, sf, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+    counts = V.counts_long(spark, sf).join(
+        nation.select(F.col("s_suppkey").cast("string").alias("sample_id"), "n_name"), "sample_id")
+    return C.to_wide(counts.select("gene_id", F.col("n_name").alias("sample_id"), "count"), NATIONS)
 
 
 @register("library_size", "counts_long",

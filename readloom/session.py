@@ -2,16 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-_LOCAL_DIRS: dict[str, str] = {}
-
-
 def build_session(app: str = "readloom", master: str | None = None, **conf: str) -> SparkSession:
     """Session with the settings the library relies on (UTC, AQE).
 
@@ -34,20 +30,9 @@ def build_session(app: str = "readloom", master: str | None = None, **conf: str)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach, named by ``spark.checkpoint.dir``.
-
-    Only a local session (tests) may run without that setting; it then gets a
-    temporary folder for the life of the session.
-    """
+    """Folder every executor can reach: ``spark.checkpoint.dir``, else one in the warehouse."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    if context.applicationId not in _LOCAL_DIRS:
-        _LOCAL_DIRS[context.applicationId] = tempfile.mkdtemp(prefix="readloom-")
-    return _LOCAL_DIRS[context.applicationId]
+    return (folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work").rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -66,11 +51,11 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def broadcast_if_small(df: DataFrame, label: str, max_rows: int = 1_000_000) -> DataFrame:
-    """The table stored, and marked for broadcast when its row count is within the bound.
+def broadcast_if_small(df: DataFrame, label: str, max_bytes: int = 64 << 20) -> DataFrame:
+    """The table stored, and marked for broadcast when its rows' bytes (as text) are within the bound.
 
-    For narrow tables (a path and two numbers a row). Above the bound it is
-    joined like any other table.
+    Beyond it the table is joined like any other.
     """
     stored = written(df, label)
-    return F.broadcast(stored) if stored.limit(max_rows + 1).count() <= max_rows else stored
+    size = stored.agg(F.sum(F.octet_length(F.to_json(F.struct(*stored.columns))))).first()[0] or 0
+    return F.broadcast(stored) if size <= max_bytes else stored

@@ -31,7 +31,7 @@ def parse_fastqc(texts: DataFrame) -> DataFrame:
     return rows.select(
         "sample_id", "module", "status",
         # later sections of a repeated module follow earlier ones
-        (F.col("section_no") * 1_000_000 + F.coalesce("line_no", F.lit(0))).alias("row_no"),
+        (F.col("section_no").cast("long") * (1 << 40) + F.coalesce("line_no", F.lit(0))).alias("row_no"),
         F.when(F.col("line").isNotNull(), F.split("line", "\t"))
         .otherwise(F.array().cast("array<string>")).alias("cells"))
 

@@ -6,9 +6,10 @@ import pytest
 
 import __spark_entry__ as entry
 from oracle import compare, connect
+from readloom import plans
 
 SF = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLE = plans.queries(), plans.oracle_sql()
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
 
