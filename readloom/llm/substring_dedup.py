@@ -14,7 +14,8 @@ Chunk rows are narrow and stored once. Digests are first counted by half of
 their bits, which adds up map-side, so a passage that thousands of documents
 share is one row by the time it is shuffled; only rows whose half occurs twice
 go on. The join that tells the later occurrences can be split where a digest is
-frequent, since its other side has one row for each digest. A document's spans
+frequent: its other side has one row for each digest and is stored before, so
+that both sides are dealt out for the join alone. A document's spans
 are no more than its chunks.
 
 Null texts stay null. Texts of fewer than ``WORDS`` words have no chunk and stay.
@@ -117,10 +118,12 @@ def chunks(df: DataFrame, row_id: str = "doc_id", text: str = "text", least: int
 def later_occurrences(chunked: DataFrame) -> DataFrame:
     """``doc_id, text_hash, start, stop, first_doc`` of chunks whose digest occurs before, by id and place."""
     twice = chunked.groupBy("d1").agg(F.count("*").alias("n")).where("n > 1").select("d1")
+    twice = written(twice, "twice")
     again = written(chunked.join(twice, "d1", "left_semi"), "repeats")
     place = F.struct("doc_id", "text_hash", "start")
     first = (again.groupBy("d1", "d2").agg(F.min(place).alias("first"), F.count("*").alias("n"))
              .where("n > 1").select("d1", "d2", "first"))
+    first = written(first, "firsts")
     return (again.join(first, ["d1", "d2"]).where(~place.eqNullSafe(F.col("first")))
             .where(~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_hash") == F.col("first.text_hash"))
                      & (F.col("start") == F.col("first.start"))))
