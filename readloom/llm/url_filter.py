@@ -134,7 +134,7 @@ def judge_urls(df: DataFrame, rules: DataFrame, url: str = "url", row_id: str =
     tries = above.select("row_no", F.explode("stack").alias("scope"), F.col("path").alias("key"))
     found = _sweep(tries, paths, "scope", "key", _nested(paths, "scope", "key"), ranges)
     rank = F.struct(F.length("scope") - 1 + F.length("fits"), F.length("scope"))
-    best = (found.where(F.size("stack") > 0).withColumn("fits", F.element_at("stack", -1))
+    best = (found.where(F.size("stack") > 0).withColumn("fits", F.try_element_at(F.col("stack"), F.lit(-1)))
             .groupBy("row_no").agg(F.max_by(F.struct("scope", "fits"), rank).alias("best"))
             .select("row_no", F.col("best.scope").alias("rule_host"), F.col("best.fits").alias("rule_path")))
     named = rules.select("rule_host", F.col("path").alias("rule_path"), F.concat("host", "path").alias("rule"), "verdict")
