@@ -132,6 +132,8 @@ SETUP_STEPS = [
 
 # Adapters and trimming defaults.
 ADAPTER_R1 = "AGATCGGAAGAGCACACGTCTGAACTCCAGTCA"
+# The sequence looked for when adapter content is measured.
+ADAPTER_SEARCH = "AGATCGGAAGAG"
 ADAPTER_R2 = "AGATCGGAAGAGCGTCGTGTAGGGAAAGAGTGT"
 QUALITY_CUTOFF = 20
 MIN_READ_LENGTH = 20

@@ -13,33 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-
-def _range_bounds(df: DataFrame, key: Sequence[str], ranges: int) -> list[tuple]:
-    """At most ``ranges`` key values that cut the rows into parts of like size.
-
-    The keys with the smallest hash are a uniform, repeatable choice; each task
-    keeps ``ranges`` of them and no more come to the driver.
-    """
-    rows = df.select(*key).dropna().orderBy(F.xxhash64(*key), *key).limit(ranges).collect()
-    return sorted({tuple(r) for r in rows})
-
-
-def _at_least(key: Sequence[str], bound: tuple) -> Column:
-    """``key >= bound``, column by column."""
-    test = F.col(key[-1]) >= F.lit(bound[-1])
-    for name, value in list(zip(key, bound))[-2::-1]:
-        test = (F.col(name) > F.lit(value)) | ((F.col(name) == F.lit(value)) & test)
-    return test
-
-
-def _range_of(key: Sequence[str], bounds: list[tuple], first: int = 0) -> Column:
-    """Number of bounds not above the key, by halving the list."""
-    if not bounds:
-        return F.lit(first)
-    middle = len(bounds) // 2
-    upper = _range_of(key, bounds[middle + 1:], first + middle + 1)
-    return F.when(_at_least(key, bounds[middle]), upper).otherwise(
-        _range_of(key, bounds[:middle], first))
+from readloom.session import written
 
 
 def number_rows(
@@ -48,27 +22,19 @@ def number_rows(
     order: Sequence[str],
     out: str = "n",
     ranges: int | None = None,
-    plain_below: int = 1_000_000,
 ) -> DataFrame:
     """1-based number of each row within its group, in ``order``.
 
-    Where the largest group has fewer than ``plain_below`` rows one task can order
-    it. Else the rows are cut into key ranges: these only decide how the work is
-    split, the numbers are exact for any choice, and a group of a third of all
-    rows is spread over a third of the ranges. ``order`` must identify a row
-    within its group. Small jobs size the groups and pick the ranges when this
-    is called, by default twice as many as there are cores, up to 256.
+    The rows are dealt out by range of (group, order) and stored once, so that
+    both steps see the same ranges: a group of a third of all rows is spread
+    over a third of them. The ranges only decide how the work is split, the
+    numbers are exact for any choice. ``order`` must identify a row within its
+    group. ``ranges``: how many, by default as many as the session shuffles into.
     """
     group, order = list(group), list(order)
-    largest = df.groupBy(*group).count().agg(F.max("count")).first()[0]
-    if (largest or 0) < plain_below:
-        return df.withColumn(out, F.row_number().over(
-            W.partitionBy(*group).orderBy(*order)).cast("bigint"))
-    if ranges is None:
-        ranges = min(256, 2 * df.sparkSession.sparkContext.defaultParallelism)
-    key = [*group, *order]
-    bounds = _range_bounds(df, key, ranges)
-    cut = df.withColumn("_range", _range_of(key, bounds))
+    key = [F.col(c) for c in (*group, *order)]
+    dealt = df.repartitionByRange(*([ranges] if ranges else []), *key)
+    cut = written(dealt.withColumn("_range", F.spark_partition_id()), "ranges")
     cell = [*group, "_range"]
     local = cut.withColumn("_local", F.row_number().over(W.partitionBy(*cell).orderBy(*order)))
     # a group has at most one row per range here

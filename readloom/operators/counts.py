@@ -99,9 +99,21 @@ def gene_variance(counts: DataFrame, n_samples: Column | int | None = None) -> D
 def top_variable_genes(
     counts: DataFrame, n: int = 20, n_samples: Column | int | None = None
 ) -> DataFrame:
+    """The ``n`` genes that vary most, the smaller id first where equal."""
     return gene_variance(counts, n_samples).orderBy(F.desc("variance"), "gene_id").limit(n)
 
 
+def top_variable_counts(
+    counts: DataFrame, n: int = 20, n_samples: Column | int | None = None
+) -> DataFrame:
+    """The counts of the genes that vary most: ``(gene_id, variance, sample_id, count)``.
+
+    The ``n`` genes are sent to the counts, which are not shuffled again.
+    """
+    top = F.broadcast(top_variable_genes(counts, n, n_samples))
+    return counts.join(top, "gene_id").select("gene_id", "variance", "sample_id", "count")
+
+
 def lookup_genes(counts: DataFrame, patterns: Sequence[str]) -> DataFrame:
     """Rows whose gene id contains any pattern, without case."""
     gene, test = F.lower("gene_id"), F.lit(False)

@@ -144,19 +144,20 @@ def grade_positions(positions: DataFrame, min_median: float = 28) -> DataFrame:
     )
 
 
-def check_base_quality(positions: DataFrame, min_median: float = 28, shown: int = 5) -> DataFrame:
-    """Critical positions win over warnings; the message names the first ``shown``.
+def check_base_quality(positions: DataFrame, min_median: float = 28, shown: int | None = None) -> DataFrame:
+    """Critical positions win over warnings; the message names them all, or the first ``shown``.
 
     One pass: a sample has one row per position, however many reads it has.
     """
     worst_first = W.partitionBy("sample_id").orderBy(F.desc("grade"), "row_no")
     ranked = grade_positions(positions, min_median).withColumn(
         "rank", F.row_number().over(worst_first))
-    named = (F.col("grade") == 2) & (F.col("rank") <= shown)
+    named = F.col("grade") == 2
+    if shown is not None:
+        named = named & (F.col("rank") <= shown)
     judged = ranked.groupBy("sample_id").agg(
         F.count_if(F.col("grade") == 2).alias("n_critical"),
         F.count_if(F.col("grade") == 1).alias("n_warning"),
-        # at most ``shown`` labels enter the list
         F.array_join(F.transform(
             F.array_sort(F.collect_list(F.when(named, F.struct("rank", "label")))),
             lambda x: x["label"]), ", ").alias("labels"),
@@ -203,11 +204,11 @@ def check_n_content(rows: DataFrame, warn: float = 5.0, critical: float = 10.0)
 
 
 def check_adapter(
-    rows: DataFrame, trimmed: bool, max_trimmed: float = 1.0, warn_raw: float | None = None
+    rows: DataFrame, trimmed: bool, max_trimmed: float = 1.0, warn_raw: float = 10.0
 ) -> DataFrame:
     """Adapter left after trimming is critical.
 
-    Untrimmed reads raise nothing unless ``warn_raw`` asks for a warning.
+    Before trimming, content above ``warn_raw`` is a warning.
     """
     worst = rows.groupBy("sample_id").agg(F.max("adapter_pct").alias("adapter_pct"))
     pct = F.col("adapter_pct")
@@ -218,12 +219,11 @@ def check_adapter(
                      F.lit(f" (should be <{max_trimmed}%)")),
             pct, max_trimmed,
         )
-    raw = F.lit(False) if warn_raw is None else pct > warn_raw
     return _found(
-        worst, raw, "adapter", WARN, "adapter_content",
+        worst, pct > warn_raw, "adapter", WARN, "adapter_content",
         F.concat(F.format_string("Adapter content: %.2f%%", pct),
                  F.lit(" - Trimming recommended")),
-        pct, F.lit(warn_raw).cast("double"),
+        pct, warn_raw,
     )
 
 
@@ -262,8 +262,7 @@ def report_findings(rows: DataFrame, trimmed: bool = False, **bounds) -> DataFra
         check_modules(module_status(rows), trimmed),
         check_read_quality(read_quality(rows), bounds.get("min_q30_pct", 75)),
     ]
-    if trimmed:
-        parts.append(check_adapter(adapter_rows(rows), True, bounds.get("max_adapter", 1.0)))
+    parts.append(check_adapter(adapter_rows(rows), trimmed, bounds.get("max_adapter", 1.0), bounds.get("warn_adapter", 10.0)))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)

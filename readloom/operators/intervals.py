@@ -1,9 +1,9 @@
 """Genomic-interval operators: overlap by bins, counted per fragment.
 
 Spark has no range join, so both sides are cut into fixed bins of the genome
-and joined on (chromosome, bin). A third of all reads may sit on one gene, so
-the reads also carry a salt and each feature is repeated once per salt: the
-feature table is an annotation of fixed size, the reads are not.
+and joined on (chromosome, bin). Features of a checked size are broadcast.
+Beyond it, a third of all reads may sit on one gene, so the reads also carry a
+salt and each feature is repeated once per salt.
 """
 
 from __future__ import annotations
@@ -35,12 +35,30 @@ def bin_width(features: DataFrame, share: float = 0.95, floor: int = 1) -> int:
     return max(int(length or 0), floor)
 
 
-def _prepared(features: DataFrame, width: int, salts: int, columns: list[str]) -> DataFrame:
+def _prepared(features: DataFrame, width: int, columns: list[str]) -> DataFrame:
     return features.select(
         F.col("chrom").alias("f_chrom"), F.col("start").alias("f_start"), F.col("end").alias("f_end"),
         *[F.col(c).alias(f"f_{c}") for c in columns],
         F.explode(bins(F.col("start"), F.col("end"), width)).alias("f_bin"),
-    ).withColumn("f_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    )
+
+
+#: Features (one row per bin) up to this size are sent to every task.
+BROADCAST_BYTES = 64 << 20
+#: Reads of one bin that one task may take before the bin is salted.
+BIN_ROWS = 2_000_000
+
+
+def _binned_bytes(features: DataFrame, width: int) -> int:
+    """Bytes of the features as text, each counted once per bin: one aggregate over the annotation."""
+    size = F.octet_length(F.to_json(F.struct(*features.columns)))
+    return features.agg(F.sum(size.cast("bigint") * F.size(bins(F.col("start"), F.col("end"), width)))).first()[0] or 0
+
+
+def _salts_for(left: DataFrame) -> int:
+    """Salts that leave no more than ``BIN_ROWS`` reads of the fullest bin together."""
+    fullest = left.groupBy("chrom", "_bin").count().agg(F.max("count")).first()[0] or 0
+    return -(-fullest // BIN_ROWS) or 1
 
 
 def overlap_join(
@@ -48,7 +66,7 @@ def overlap_join(
     features: DataFrame,
     feature_columns: list[str],
     width: int,
-    salts: int = 8,
+    salts: int | None = None,
     key: list[str] | None = None,
     strand: int = 0,
     how: str = "left",
@@ -59,21 +77,31 @@ def overlap_join(
     the larger start. ``how="left"`` may repeat a pair over bins and keeps
     reads without a feature; aggregate it with idempotent functions.
     ``strand``: 0 ignores strands, 1 wants the same, 2 the opposite.
+
+    Features are measured when this is called. Up to ``BROADCAST_BYTES`` they
+    are broadcast and no read moves. Beyond, or when ``salts`` is given, both
+    sides are shuffled by bin and salt; without a number the fullest bin is
+    counted and gives it.
     """
     key = key or ["fragment_id"]
     left = reads.withColumn("_bin", F.explode(bins(F.col("start"), F.col("end"), width)))
-    left = left.withColumn("_salt", F.pmod(F.xxhash64(*key), F.lit(salts)).cast("int"))
     columns = list(dict.fromkeys([*feature_columns, *(["strand"] if strand else [])]))
-    right = _prepared(features, width, salts, columns)
+    right = _prepared(features, width, columns)
     on = (
         (F.col("chrom") == F.col("f_chrom")) & (F.col("_bin") == F.col("f_bin"))
-        & (F.col("_salt") == F.col("f_salt"))
         & (F.col("start") < F.col("f_end")) & (F.col("f_start") < F.col("end"))
     )
     if strand == 1:
         on = on & (F.col("strand") == F.col("f_strand"))
     elif strand == 2:
         on = on & (F.col("strand") != F.col("f_strand"))
+    if salts is None and _binned_bytes(features.select("chrom", "start", "end", *columns), width) <= BROADCAST_BYTES:
+        right = F.broadcast(right)
+    else:
+        salts = salts or _salts_for(left)
+        left = left.withColumn("_salt", F.pmod(F.xxhash64(*key), F.lit(salts)).cast("int"))
+        right = right.withColumn("f_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        on = on & (F.col("_salt") == F.col("f_salt"))
     joined = left.join(right, on, how)
     if how == "inner":
         joined = joined.where(
@@ -98,7 +126,7 @@ def assign_fragments(
     exons: DataFrame,
     width: int,
     strand: int = 0,
-    salts: int = 8,
+    salts: int | None = None,
 ) -> DataFrame:
     """One row per fragment: its category and, when assigned, the code of its gene.
 
@@ -149,7 +177,7 @@ def count_with_summary(assigned: DataFrame, exons: DataFrame) -> DataFrame:
 
 
 def strand_fractions(
-    alignments: DataFrame, transcripts: DataFrame, width: int, salts: int = 8
+    alignments: DataFrame, transcripts: DataFrame, width: int, salts: int | None = None
 ) -> DataFrame:
     """Per sample: share of fragments on the strand of their gene, opposite, undetermined.
 
@@ -188,7 +216,7 @@ EXONIC = ["CDS_Exons", "5'UTR_Exons", "3'UTR_Exons"]
 
 
 def read_regions(
-    alignments: DataFrame, regions: DataFrame, width: int, salts: int = 8
+    alignments: DataFrame, regions: DataFrame, width: int, salts: int | None = None
 ) -> DataFrame:
     """``(sample_id, region, tags)``: every fragment in its best region class.
 

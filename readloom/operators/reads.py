@@ -301,8 +301,7 @@ def basic_statistics(reads: DataFrame) -> DataFrame:
 
 def adapter_content(reads: DataFrame, adapters: Sequence[str] | None = None) -> DataFrame:
     """Cumulative adapter share by position. A read counts from the first start of the adapter."""
-    # Fixed value: the first twelve bases are searched.
-    return adapter_cells(read_cells(reads, ["adapter"], adapters or [K.ADAPTER_R1[:12]]))
+    return adapter_cells(read_cells(reads, ["adapter"], adapters or [K.ADAPTER_SEARCH]))
 
 
 def profile_rows(reads: DataFrame, adapters: Sequence[str] | None = None) -> DataFrame:
@@ -312,7 +311,7 @@ def profile_rows(reads: DataFrame, adapters: Sequence[str] | None = None) -> Dat
     scores, are written to the shared folder and every module is made from
     them. Module verdicts are not computed, so every module is ``pass`` here.
     """
-    cells = written(read_cells(reads, motifs=adapters or [K.ADAPTER_R1[:12]]), "read-cells")
+    cells = written(read_cells(reads, motifs=adapters or [K.ADAPTER_SEARCH]), "read-cells")
 
     def text(*cols: Column | str) -> Column:
         return F.array(*[F.col(c).cast("string") if isinstance(c, str) else c.cast("string")

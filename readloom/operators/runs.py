@@ -120,9 +120,14 @@ def run_progress(stages: DataFrame, logs: DataFrame | None = None) -> DataFrame:
 
 
 def current_stage(
-    done: DataFrame, order: Sequence[str] = tuple(K.RUN_STAGES), last: str | None = "multiqc"
+    done: DataFrame, order: Sequence[str] = tuple(K.RUN_STAGES), last: str | None = "multiqc",
+    logs: DataFrame | None = None,
 ) -> DataFrame:
-    """Furthest rule with output per run; the last rule means ``completed``."""
+    """Furthest rule with output per run; the last rule means ``completed``.
+
+    ``logs`` (of ``workflow_progress``): their rule stands in where a run has no
+    output, a finished log means ``completed``, and runs that have only a log are listed too.
+    """
     rank = F.array_position(F.array(*[F.lit(r) for r in order]), F.col("rule"))
     reached = F.when((F.col("n") > 0) & (rank > 0), rank)
     best = done.groupBy("run").agg(F.max(reached).cast("int").alias("rank"))
@@ -130,17 +135,39 @@ def current_stage(
         F.element_at(F.array(*[F.lit(r) for r in order]), F.col("rank")))
     if last:
         name = F.when(name == last, "completed").otherwise(name)
-    return best.select("run", name.alias("current_stage"))
+    if logs is None:
+        return best.select("run", name.alias("current_stage"))
+    log = logs.select(F.col("file").alias("run"), "current_rule", "is_complete")
+    stage = F.when(F.coalesce("is_complete", F.lit(False)), "completed").when(
+        F.col("rank").isNull(), F.coalesce("current_rule", F.lit("not_started"))).otherwise(name)
+    return best.join(log, "run", "full").select("run", stage.alias("current_stage"))
+
+
+def de_run_status(
+    fatal: Column, n_rule_errors: Column, complete: Column, running: Column
+) -> Column:
+    """Status of a differential-expression run: failed, completed, running.
+
+    Any failed rule is ``failed``, and so is a run that neither ended nor goes on.
+    """
+    no = F.lit(False)
+    return (
+        F.when(F.coalesce(fatal, no) | (F.coalesce(n_rule_errors, F.lit(0)) > 0), "failed")
+        .when(F.coalesce(complete, no), "completed")
+        .when(F.coalesce(running, no), "running")
+        .otherwise("failed")
+    )
 
 
 def run_status(
-    fatal: Column, complete: Column, progress_pct: Column, has_log: Column
+    fatal: Column, complete: Column, progress_pct: Column, has_log: Column, stage: Column | None = None
 ) -> Column:
-    """error, completed (from 99.5 percent), not_started, running."""
+    """error, completed (from 99.5 percent, or at stage ``completed``), not_started, running."""
     # Fixed value: 99.5.
+    ended = F.lit(False) if stage is None else stage == "completed"
     return (
         F.when(F.coalesce(fatal, F.lit(False)), "error")
-        .when(F.coalesce(complete, F.lit(False)) | (progress_pct >= 99.5), "completed")
+        .when(F.coalesce(complete, F.lit(False)) | (progress_pct >= 99.5) | F.coalesce(ended, F.lit(False)), "completed")
         .when((progress_pct == 0) & ~has_log, "not_started")
         .otherwise("running")
     )

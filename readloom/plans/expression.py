@@ -89,6 +89,12 @@ def _(spark, sf):
     return C.top_variable_genes(counts, 20, n)
 
 
+@register("top_variable_counts", "counts_long", f"""SELECT gene_id, variance, sample_id, count FROM counts_long
+    JOIN ({VARIANCE.format(n="count(*)")} ORDER BY variance DESC, gene_id LIMIT 20) USING (gene_id)""")
+def _(spark, sf):
+    return C.top_variable_counts(V.counts_long(spark, sf))
+
+
 @register("lookup_genes", "counts_long",
           "SELECT gene_id, sample_id, count FROM counts_long WHERE gene_id LIKE '%17%' OR gene_id LIKE '%99%'")
 def _(spark, sf):

@@ -191,9 +191,9 @@ def _(spark, sf):
     SELECT sample_id, 'base_quality' source, CASE WHEN max(grade) = 2 THEN 2 ELSE 1 END severity, 'base_quality' code,
            CASE WHEN max(grade) = 2 THEN 'Critical: Low quality at positions: ' || (
                SELECT string_agg(l, ', ' ORDER BY pos) FROM (
-                 SELECT pos, CASE WHEN median < 20 THEN printf('%d (Q%.1f)', CAST(pos AS BIGINT), median)
-                             ELSE printf('%d (LQ%.1f)', CAST(pos AS BIGINT), lower_quartile) END l
-                 FROM q i WHERE i.sample_id = q.sample_id AND grade = 2 ORDER BY pos LIMIT 5))
+                 SELECT pos, CASE WHEN median < 20 THEN printf('%d (Q%.1f)', CAST(pos AS BIGINT), round(median, 1))
+                             ELSE printf('%d (LQ%.1f)', CAST(pos AS BIGINT), round(lower_quartile, 1)) END l
+                 FROM q i WHERE i.sample_id = q.sample_id AND grade = 2))
              ELSE 'Warning: Quality below Q26 at ' || count(*) FILTER (grade = 1) || ' positions' END message,
            CAST(CASE WHEN max(grade) = 2 THEN count(*) FILTER (grade = 2) ELSE count(*) FILTER (grade = 1) END AS DOUBLE) AS value,
            CAST(CASE WHEN max(grade) = 2 THEN 20 ELSE 26 END AS DOUBLE) threshold
@@ -244,10 +244,19 @@ def _(spark, sf):
 
 
 @register("check_adapter", "reads", f"""
-    SELECT sample_id, 'adapter' source, 2 severity, 'adapter_content' code, max(adapter_pct) AS value, CAST(30 AS DOUBLE) threshold
+    SELECT sample_id, 'adapter' source, 2 severity, 'adapter_content' code,
+           printf('Adapter content after trimming: %.2f%% (should be <30%%)', max(adapter_pct)) message, max(adapter_pct) AS value, CAST(30 AS DOUBLE) threshold
     FROM ({_ADAPTER}) GROUP BY 1 HAVING max(adapter_pct) > 30""")
 def _(spark, sf):
-    return E.check_adapter(RD.adapter_content(V.reads(spark, sf), MOTIFS), True, 30).drop("message")
+    return E.check_adapter(RD.adapter_content(V.reads(spark, sf), MOTIFS), True, 30)
+
+
+@register("check_adapter_untrimmed", "reads", f"""
+    SELECT sample_id, 'adapter' source, 1 severity, 'adapter_content' code,
+           printf('Adapter content: %.2f%% - Trimming recommended', max(adapter_pct)) message, max(adapter_pct) AS value, CAST(10 AS DOUBLE) threshold
+    FROM ({_ADAPTER}) GROUP BY 1 HAVING max(adapter_pct) > 10""")
+def _(spark, sf):
+    return E.check_adapter(RD.adapter_content(V.reads(spark, sf), MOTIFS), False)
 
 
 @register("check_modules", "module_status", """

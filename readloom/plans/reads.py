@@ -8,7 +8,10 @@ from readloom.functions import text as T
 from readloom.operators import artifacts as A
 from readloom.operators import fastqc_checks as E
 from readloom.operators import reads as R
-from readloom.functions.ranking import number_rows
+from readloom.session import scratch_path
+from readloom.sinks import writers as K
+from readloom.sources.fastq import read_fastq
+from readloom.functions.ranking import first_rows, number_rows
 from readloom.plans import views as V
 from readloom.plans.catalog import register
 from readloom.plans.qc import BASIC, _ADAPTER, _POSITIONS, _QUANTILES, _READ_QUALITY, MOTIFS
@@ -50,9 +53,8 @@ def _(spark, sf):
 @register("subset_reads", "reads", """SELECT sample_id, header, n - 1 AS read_no FROM (
     SELECT sample_id, header, row_number() OVER (PARTITION BY sample_id ORDER BY read_no) n FROM reads) WHERE n <= 100""")
 def _(spark, sf):
-    numbered = number_rows(V.reads(spark, sf).select("sample_id", "header", "read_no"),
-                           ["sample_id"], ["read_no"], "n")
-    rows = numbered.select("sample_id", "header", (F.col("n") - 1).alias("read_no"))
+    first = first_rows(V.reads(spark, sf).select("sample_id", "header", "read_no"), ["sample_id"], ["read_no"], 100, "n")
+    rows = first.select("sample_id", "header", (F.col("n") - 1).cast("bigint").alias("read_no"))
     return R.subset_reads(rows, 100)
 
 
@@ -106,22 +108,61 @@ def _pairs(spark, sf):
         F.reverse("seq").alias("seq2"), F.reverse("qual").alias("qual2"))
 
 
-@register("trim_reads")
+# 3' quality cut: gains (20 - q) are summed from the end; beyond the last negative sum the rightmost position of the
+# largest positive one is where the read ends. Then the adapter, whole or as a prefix at the end.
+TRIMMED = """mates AS (SELECT sample_id, read_no, 1 mate, seq, qual FROM reads UNION ALL SELECT sample_id, read_no, 2, reverse(seq), reverse(qual) FROM reads),
+    gains AS (SELECT read_no, mate, pos, sum(gain) OVER (PARTITION BY read_no, mate ORDER BY pos DESC) total FROM (
+      SELECT read_no, mate, generate_subscripts(c, 1) pos, 53 - ascii(unnest(c)) gain FROM (SELECT read_no, mate, string_split(qual, '') c FROM mates))),
+    stops AS (SELECT read_no, mate, max(pos) FILTER (total < 0) stop FROM gains GROUP BY ALL),
+    cuts AS (SELECT read_no, mate, arg_max(pos, (total, pos)) cut FROM gains JOIN stops USING (read_no, mate)
+      WHERE pos > coalesce(stop, 0) AND total > 0 GROUP BY ALL),
+    short AS (SELECT m.*, substr(seq, 1, coalesce(cut - 1, length(seq))) s FROM mates m LEFT JOIN cuts USING (read_no, mate)),
+    trimmed AS (SELECT sample_id, read_no, mate, length(seq) bp, CASE mate WHEN 1 THEN regexp_extract(s, '^(.*?)(TACGTA|TAC(?:G(?:T)?)?$|$)', 1)
+      ELSE regexp_extract(s, '^(.*?)(GTCAGG|GTC(?:A(?:G)?)?$|$)', 1) END t, qual FROM short)"""
+
+
+@register("trim_reads", "reads", f"""WITH {TRIMMED} SELECT a.sample_id, read_no, a.t seq1, substr(a.qual, 1, length(a.t)) qual1,
+    b.t seq2, substr(b.qual, 1, length(b.t)) qual2, length(a.t) < 20 OR length(b.t) < 20 too_short
+    FROM trimmed a JOIN trimmed b USING (read_no) WHERE a.mate = 1 AND b.mate = 2""")
 def _(spark, sf):
     out = R.trim_pairs(_pairs(spark, sf), "TACGTA", "GTCAGG", 20, 20)
-    return out.select("sample_id", "read_no", F.length("m1.seq").alias("len1"),
-                      F.length("m2.seq").alias("len2"), "too_short")
+    return out.select("sample_id", "read_no", F.col("m1.seq").alias("seq1"), F.col("m1.qual").alias("qual1"),
+                      F.col("m2.seq").alias("seq2"), F.col("m2.qual").alias("qual2"), "too_short")
+
+
+@register("trim_counters", "reads", f"""WITH {TRIMMED} SELECT sample_id, count(*) total_pairs, count(*) FILTER (short) too_short,
+    count(*) FILTER (NOT short) passed, CAST(sum(bp) AS BIGINT) total_bp FROM (
+      SELECT sample_id, read_no, bool_or(length(t) < 20) short, sum(bp) bp FROM trimmed GROUP BY 1, 2) GROUP BY 1""")
+def _(spark, sf):
+    return R.trim_counters(R.trim_pairs(_pairs(spark, sf), "TACGTA", "GTCAGG", 20, 20))
+
 
+# --- written and read back -----------------------------------------------------------
 
-_ADAPTER_CUT = "regexp_extract({s}, '^(.*?)(TACGTA|TAC(?:G(?:T)?)?$|$)', 1)"
+
+@register("write_and_read_fastq", "reads", "SELECT header, seq, plus, qual FROM reads")
+def _(spark, sf):
+    target = scratch_path(spark, "reads")
+    K.write_fastq(V.reads(spark, sf), target, "none")
+    return read_fastq(spark, target, split_bytes=1 << 16, endings=(".txt",)).select("header", "seq", "plus", "qual")
+
+
+@register("read_wrapped_fastq", "reads", "SELECT file, header, seq, plus, qual FROM reads")
+def _(spark, sf):
+    half = F.greatest(F.floor(F.length("seq") / 2), F.lit(1)).cast("int")
+    record = F.concat_ws("\n", "header", F.substr("seq", F.lit(1), half), F.substr("seq", half + 1), "plus",
+                         F.substr("qual", F.lit(1), half), F.substr("qual", half + 1))
+    target = scratch_path(spark, "wrapped")
+    V.reads(spark, sf).select("file", record.alias("value")).write.partitionBy("file").text(target)
+    back = read_fastq(spark, target, 6, split_bytes=1 << 16, endings=(".txt",))
+    return back.select(F.regexp_extract("file", "file=([^/]*)/", 1).alias("file"), "header", "seq", "plus", "qual")
 
 
-@register("trim_counters", "reads", f"""SELECT sample_id, count(*) total_pairs, count(*) FILTER (length({_ADAPTER_CUT.format(s='seq')}) < 20) too_short,
-    count(*) FILTER (length({_ADAPTER_CUT.format(s='seq')}) >= 20) passed, CAST(sum(length(seq)) AS BIGINT) total_bp FROM reads GROUP BY 1""")
+@register("write_and_read_sheet", "sheet", "SELECT sample_id, condition, tissue, sex, fastq_1 FROM sheet")
 def _(spark, sf):
-    # a cut-off of 0 leaves the adapter step, which SQL can express
-    single = _pairs(spark, sf).withColumn("seq2", F.lit(None).cast("string"))
-    return R.trim_counters(R.trim_pairs(single, "TACGTA", "TACGTA", 0, 20))
+    target = scratch_path(spark, "sheet")
+    K.write_sheet(V.sheet(spark, sf).select("sample_id", "condition", "tissue", "sex", "fastq_1"), target)
+    return spark.read.option("sep", "\t").option("header", "true").csv(target)
 
 
 # --- files --------------------------------------------------------------------------

@@ -112,6 +112,43 @@ def _(spark, sf):
     return logs.select(F.col("file").alias("run"), "progress_pct", status.alias("status"))
 
 
+RANK = """CASE WHEN rule = 'signup' AND k < 2 THEN 1 WHEN rule = 'click' AND k < 2 THEN 2 WHEN rule = 'purchase' AND k > 97 THEN 3 END"""
+LOG_STAGE = f"""SELECT run, CASE WHEN is_complete OR r = 3 THEN 'completed' WHEN r = 2 THEN 'click' WHEN r = 1 THEN 'signup'
+    ELSE coalesce(current_rule, 'not_started') END current_stage, p.* EXCLUDE (file, current_rule)
+    FROM (SELECT run, max({RANK}) r FROM run_events GROUP BY 1) JOIN ({PROGRESS}) p ON run = file"""
+
+
+def _log_stages(spark, sf):
+    """Stages from few outputs, so that the log's rule shows too, and the logs."""
+    events = V.events(spark, sf)
+    hit = F.when(F.col("rule") == "purchase", F.col("k") > 97).otherwise(F.col("k") < 2)
+    done = events.groupBy("run", "rule").agg(F.count_if(hit).alias("n"))
+    logs = L.workflow_progress(event_lines(spark, sf))
+    return L.current_stage(done, ["signup", "click", "purchase"], "purchase", logs), logs
+
+
+@register("current_stage_with_log", "run_events", f"SELECT run, current_stage FROM ({LOG_STAGE})")
+def _(spark, sf):
+    return _log_stages(spark, sf)[0]
+
+
+@register("run_status_with_stage", "run_events", f"""SELECT run, CASE WHEN fatal_error THEN 'error'
+    WHEN is_complete OR progress_pct >= 99.5 OR current_stage = 'completed' THEN 'completed' ELSE 'running' END status FROM ({LOG_STAGE})""")
+def _(spark, sf):
+    stages, logs = _log_stages(spark, sf)
+    both = logs.withColumnRenamed("file", "run").join(stages, "run")
+    return both.select("run", L.run_status(
+        F.col("fatal_error"), F.col("is_complete"), F.col("progress_pct"), F.lit(True), F.col("current_stage")).alias("status"))
+
+
+@register("de_run_status", "run_events", f"""SELECT file AS run, CASE WHEN fatal_error OR n_rule_errors > 0 THEN 'failed' WHEN is_complete THEN 'completed'
+    WHEN finished_count > 0 THEN 'running' ELSE 'failed' END status FROM ({PROGRESS})""")
+def _(spark, sf):
+    logs = L.workflow_progress(event_lines(spark, sf))
+    return logs.select(F.col("file").alias("run"), L.de_run_status(
+        F.col("fatal_error"), F.col("n_rule_errors"), F.col("is_complete"), F.col("finished_count") > 0).alias("status"))
+
+
 @register("stage_checklist", "runs artifacts", """SELECT run, CAST(len(list_filter([s1, s2, s3, s4, s5], lambda x: x)) AS INT) n_done, 5 n_total,
       CASE WHEN NOT s1 THEN '1-URGENT' WHEN NOT s2 THEN '2-HIGH' WHEN NOT s3 THEN '3-MEDIUM' WHEN NOT s4 THEN '4-NOT SPECIFIED' WHEN NOT s5 THEN '5-LOW' END next_step
     FROM (SELECT runs.run, coalesce(bool_or(artifact LIKE '1%'), false) s1, coalesce(bool_or(artifact LIKE '2%'), false) s2,
@@ -188,14 +225,27 @@ def _(spark, sf):
     return S.drain(S.stage_windows(_event_stream(spark, sf)), "complete", "stage-windows")
 
 
-@register("session_windows", "run_events", """SELECT min(ts) window_start, max(ts) + INTERVAL 30 MINUTES window_end, run, count(*) n FROM (
+@register("stream_stage_windows_sliding", "run_events", SLIDING)
+def _(spark, sf):
+    return S.drain(S.stage_windows(_event_stream(spark, sf), "1 hour", "30 minutes"), "complete", "stage-windows-sliding")
+
+
+SESSIONS = """SELECT min(ts) window_start, max(ts) + INTERVAL 30 MINUTES window_end, run, count(*) n FROM (
     SELECT *, sum(CAST(gap AS INT)) OVER (PARTITION BY run ORDER BY ts, event_id) s FROM (
       SELECT *, coalesce(ts - lag(ts) OVER (PARTITION BY run ORDER BY ts, event_id) > INTERVAL 30 MINUTES, true) gap FROM run_events))
-    GROUP BY run, s""")
+    GROUP BY run, s"""
+
+
+@register("session_windows", "run_events", SESSIONS)
 def _(spark, sf):
     return S.session_windows(V.events(spark, sf))
 
 
+@register("stream_session_windows", "run_events", SESSIONS)
+def _(spark, sf):
+    return S.drain(S.session_windows(_event_stream(spark, sf)), "complete", "sessions")
+
+
 @register("stalled_runs", "run_events", """SELECT run, ts last_ts, epoch_us(next) - epoch_us(ts) gap_micros FROM (
     SELECT run, ts, lead(ts) OVER (PARTITION BY run ORDER BY ts, event_id) next FROM run_events) WHERE next - ts > INTERVAL 720 MINUTES""")
 def _(spark, sf):

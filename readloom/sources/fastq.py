@@ -1,193 +1,207 @@
-"""FASTQ files as a Spark data source.
-
-``spark.dataSource.register(FastqSource)`` once, then
-``spark.read.format("fastq").load(path)``. Gzip files are one task each; plain
-files are cut into byte ranges that begin and end at record starts, so ranges
-never share or lose a record. Files are opened through pyarrow's file systems,
-so the same path works on local disks, HDFS and object stores.
+"""FASTQ files as rows.
+
+A record is four lines (six for wrapped reads), counted from the start of the
+file, whatever the lines hold: damaged files give the same records however
+they are cut. Plain files are cut into byte ranges. The newlines of each range
+are counted first; their running sum says which line a range begins with, and
+so where its first record starts. Gzip files are one task each.
+
+``spark.dataSource.register(FastqSlices)`` and ``format("fastq_slices")`` list
+the ranges with their newlines; ``read_fastq`` builds the reads on it. Files
+are opened through pyarrow's file systems, so the same path works on local
+disks, HDFS and object stores.
 """
 
 from __future__ import annotations
 
 import io
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from readloom.functions.shipping import ship
-from readloom.session import broadcast_if_small
+from readloom.functions.stores import store_of
+from readloom.session import written
 
-SCHEMA = (
-    "file string, split bigint, rec bigint, header string, seq string, plus string, qual string"
-)
-COUNT_SCHEMA = "file string, split bigint, n bigint"
+SLICE_SCHEMA = "file string, root string, path string, start bigint, stop bigint, newlines bigint"
+READ_SCHEMA = "file string, read_no bigint, header string, seq string, plus string, qual string"
 
 ship(__name__)
 ENDINGS = (".fastq.gz", ".fq.gz", ".fastq", ".fq")
-BATCH = 8192
+BLOCK = 4 << 20
+
+
+def _opened(root: str, path: str) -> io.BufferedReader:
+    store, _ = store_of(root)
+    if path.lower().endswith(".gz"):
+        return io.BufferedReader(store.open_input_stream(path, compression="gzip"), 1 << 20)
+    return io.BufferedReader(store.open_input_file(path), 1 << 20)
 
 
 class Slice(InputPartition):
-    def __init__(self, uri: str, start: int, end: int | None):
-        self.uri, self.start, self.end = uri, start, end
+    def __init__(self, file: str, root: str, path: str, start: int, stop: int | None):
+        self.file, self.root, self.path, self.start, self.stop = file, root, path, start, stop
 
 
-class FastqSource(DataSource):
-    """Options: ``path``, ``lines_per_record`` (4, or 6 for wrapped reads), ``split_bytes``,
-    ``only`` (``whole`` or ``split`` files), ``counts`` (one row per slice with its records)."""
+class FastqSlices(DataSource):
+    """Byte ranges of FASTQ files. Options: ``path``, ``split_bytes`` (0: files stay whole),
+    ``endings`` (of file names, joined by commas).
+
+    ``newlines``: those that start a line within the range, the first line of a
+    file not counted; 0 for files that are not cut, which are not opened here.
+    """
 
     @classmethod
     def name(cls) -> str:
-        return "fastq"
+        return "fastq_slices"
 
     def schema(self) -> str:
-        return COUNT_SCHEMA if self.options.get("counts") == "true" else SCHEMA
+        return SLICE_SCHEMA
 
     def reader(self, schema) -> DataSourceReader:
-        return FastqReader(self.options)
-
+        return SliceReader(self.options)
 
-def _record_start(handle, offset: int) -> int:
-    """Offset of the first record that starts at or after ``offset``.
 
-    A line starting with ``@`` whose second next line starts with ``+`` is a
-    header; a quality line may start with ``@`` too, but is followed by a header
-    and a sequence. Gives the end of the file when there is none.
-    """
-    if offset == 0:
-        return 0
-    handle.seek(offset - 1)
-    handle.readline()  # to the next line start, which is ``offset`` itself after a newline
-    at = handle.tell()
-    lines, starts = [], []
-    while True:
-        starts.append(at)
-        line = handle.readline()
-        if not line:
-            return at
-        lines.append(line)
-        at += len(line)
-        if len(lines) == 3:
-            if lines[0].startswith(b"@") and lines[2].startswith(b"+"):
-                return starts[0]
-            lines.pop(0)
-            starts.pop(0)
-
-
-class FastqReader(DataSourceReader):
+class SliceReader(DataSourceReader):
     def __init__(self, options):
-        self.path = options["path"]
-        self.lines = int(options.get("lines_per_record", 4))
+        self.root = options["path"]
         self.split_bytes = int(options.get("split_bytes", 128 << 20))
-        self.only = options.get("only")
-        self.counts = options.get("counts") == "true"
+        self.endings = tuple(options.get("endings", ",".join(ENDINGS)).split(","))
 
     def partitions(self) -> list[Slice]:
         from pyarrow import fs
 
-        root = self.path if "://" in self.path else "file://" + self.path
-        store, base = fs.FileSystem.from_uri(root)
+        store, base = store_of(self.root)
         info = store.get_file_info(base)
         if info.type == fs.FileType.Directory:
             found = store.get_file_info(fs.FileSelector(base, recursive=True))
         else:
             found = [info]
-        prefix = root[: len(root) - len(base)] if root.endswith(base) else "file://"
+        prefix = "file://" if isinstance(store, fs.LocalFileSystem) else self.root[: len(self.root) - len(base)]
         out = []
         for f in sorted(found, key=lambda f: f.path):
-            if f.type != fs.FileType.File or not f.path.lower().endswith(ENDINGS):
+            if f.type != fs.FileType.File or not f.path.lower().endswith(self.endings):
                 continue
-            uri = prefix + f.path
-            # only four-line records can be found from the middle of a file
-            whole = f.path.lower().endswith(".gz") or self.lines != 4
-            if whole or f.size <= self.split_bytes:
-                if self.only != "split":
-                    out.append(Slice(uri, 0, None))
-            elif self.only != "whole":
-                cuts = list(range(0, f.size, self.split_bytes))
-                out += [Slice(uri, a, b) for a, b in zip(cuts, [*cuts[1:], f.size])]
-        return out or [Slice("", 0, 0)]
-
-    def read(self, part: Slice) -> Iterator:
-        import pyarrow as pa
-
-        if not part.uri:
+            cuts = [0]
+            if self.split_bytes and not f.path.lower().endswith(".gz"):
+                cuts = list(range(0, f.size, self.split_bytes)) or cuts
+            out += [Slice(prefix + f.path, self.root, f.path, a, b) for a, b in zip(cuts, [*cuts[1:], None])]
+        return out or [Slice("", "", "", 0, 0)]
+
+    def read(self, part: Slice) -> Iterator[tuple]:
+        if not part.file:
             return
-        if self.counts:
-            n = sum(1 for _ in self._records(part))
-            yield pa.RecordBatch.from_pydict({"file": [part.uri], "split": [part.start], "n": [n]})
+        n = 0
+        if part.start or part.stop is not None:
+            with _opened(part.root, part.path) as handle:
+                # a newline at byte p starts a line at p + 1
+                at = max(part.start - 1, 0)
+                left = float("inf") if part.stop is None else part.stop - 1 - at
+                handle.seek(at)
+                while left > 0 and (block := handle.read(int(min(BLOCK, left)))):
+                    n += block.count(b"\n")
+                    left -= len(block)
+        yield part.file, part.root, part.path, part.start, part.stop, n
+
+
+def _blocks(handle: io.BufferedReader, start: int, stop: int | None, first_line: int, lines: int) -> Iterator[tuple[int, bytes]]:
+    """``(record number, bytes)`` of whole records whose first line starts in the range.
+
+    ``first_line``: number of the first line that starts in the range.
+    """
+    at = start
+    if start:
+        handle.seek(start - 1)
+        at += len(handle.readline()) - 1
+    for _ in range(-first_line % lines):
+        at += len(handle.readline())
+    record = -(-first_line // lines)
+    while stop is None or at < stop:
+        block = handle.read(BLOCK if stop is None else min(BLOCK, stop - at))
+        if not block:
             return
-        names = ["file", "split", "rec", "header", "seq", "plus", "qual"]
-        types = [pa.string(), pa.int64(), pa.int64()] + [pa.string()] * 4
-        rows = []
-
-        def batch():
-            return pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
-
-        for rec, lines in enumerate(self._records(part)):
-            text = [x.decode("utf-8", "replace").rstrip("\r\n") for x in lines]
-            if self.lines == 6:
-                text = [text[0], text[1].strip() + text[2].strip(), text[3],
-                        text[4].strip() + text[5].strip()]
-            rows.append((part.uri, part.start, rec, *text))
-            if len(rows) == BATCH:
-                yield batch()
-                rows = []
-        if rows:
-            yield batch()
-
-    def _records(self, part: Slice) -> Iterator[list[bytes]]:
-        """Raw lines of every record of a slice."""
-        from pyarrow import fs
-
-        store, path = fs.FileSystem.from_uri(part.uri)
-        start, end = 0, None
-        if part.uri.lower().endswith(".gz"):
-            handle = io.BufferedReader(store.open_input_stream(path, compression="gzip"), 1 << 20)
-        else:
-            handle = io.BufferedReader(store.open_input_file(path), 1 << 20)
-            end = None if part.end is None else _record_start(handle, part.end)
-            start = _record_start(handle, part.start)
-            handle.seek(start)
-        with handle:
-            while end is None or start < end:
-                lines = [handle.readline() for _ in range(self.lines)]
-                if not lines[0]:
-                    return
-                start += sum(map(len, lines))
-                yield lines
+        if not block.endswith(b"\n"):
+            block += handle.readline()
+        n = block.count(b"\n") + (not block.endswith(b"\n"))
+        block += b"".join(handle.readline() for _ in range(-n % lines))
+        at += len(block)
+        yield record, block
+        record += -(-n // lines)
+
+
+def _columns(block: bytes, lines: int) -> list:
+    """Header, sequence, plus and quality of the records of a block; lines a cut-off file lacks are empty."""
+    import pyarrow.compute as pc
+
+    try:
+        block.decode()
+    except UnicodeDecodeError:
+        block = block.decode("utf-8", "replace").encode()
+    ends = np.flatnonzero(np.frombuffer(block, np.uint8) == 10) + 1
+    if not len(ends) or ends[-1] < len(block):
+        ends = np.append(ends, len(block))
+    missing = -len(ends) % lines
+    at = np.concatenate([[0], ends, np.full(missing, len(block))]).astype(np.int32)
+    whole = pa.StringArray.from_buffers(len(at) - 1, pa.py_buffer(at.tobytes()), pa.py_buffer(block))
+    line = [pc.utf8_rtrim(whole.take(pa.array(np.arange(k, len(at) - 1, lines))), characters="\r\n") for k in range(lines)]
+    if lines == 4:
+        return line
+
+    def joined(a, b):
+        return pc.binary_join_element_wise(pc.utf8_trim_whitespace(a), pc.utf8_trim_whitespace(b), "")
+
+    return [line[0], joined(line[1], line[2]), line[3], joined(line[4], line[5])]
+
+
+def _reads(lines: int, first_reads: int | None):
+    """Function for ``mapInArrow`` over slices that know their first line."""
+    names = ["file", "read_no", "header", "seq", "plus", "qual"]
+
+    def read(batches):
+        for batch in batches:
+            for s in batch.to_pylist():
+                with _opened(s["root"], s["path"]) as handle:
+                    for record, block in _blocks(handle, s["start"], s["stop"], s["first_line"], lines):
+                        columns = _columns(block, lines)
+                        n = len(columns[0])
+                        if first_reads is not None:
+                            n = min(n, max(first_reads - record, 0))
+                        if n == 0:
+                            break
+                        numbers = np.arange(record, record + n, dtype=np.int64)
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array([s["file"]] * n, pa.string()), pa.array(numbers), *(c.slice(0, n) for c in columns)], names)
+
+    return read
 
 
 def read_fastq(
-    spark: SparkSession, path: str, lines_per_record: int = 4, split_bytes: int = 128 << 20
+    spark: SparkSession, path: str, lines_per_record: int = 4, split_bytes: int = 128 << 20,
+    first_reads: int | None = None, endings: Sequence[str] = ENDINGS,
 ) -> DataFrame:
-    """``(file, read_no, header, seq, plus, qual)`` of every FASTQ file under ``path``.
+    """``(file, read_no, header, seq, plus, qual)`` of every file under ``path`` whose name has one of ``endings``.
 
-    ``read_no`` is 0-based within the file. Files read in one piece are numbered
-    as they are read. Of split files the records per slice are counted first, so
-    a slice knows where it starts; the reads themselves are never shuffled while
-    that table is within the broadcast bound.
+    ``read_no`` is 0-based within the file. Lines lose their line end only;
+    bytes that are no UTF-8 become replacement marks; lines that a cut-off last
+    record lacks are empty. The ranges are listed, and counted where a file has
+    several, when this is called; the reads are never shuffled. With
+    ``first_reads`` each file is read from its start and left after that many.
     """
-    spark.dataSource.register(FastqSource)
-
-    def load(**options: str) -> DataFrame:
-        reader = spark.read.format("fastq").option("lines_per_record", str(lines_per_record))
-        return reader.option("split_bytes", str(split_bytes)).options(**options).load(path)
-
-    record = ["header", "seq", "plus", "qual"]
-    whole = load(only="whole").select("file", F.col("rec").alias("read_no"), *record)
-    before = W.partitionBy("file").orderBy("split").rowsBetween(W.unboundedPreceding, -1)
-    starts = broadcast_if_small(
-        load(only="split", counts="true").where("file <> ''").select(
-            "file", "split", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")),
-        "fastq-starts")
-    split = load(only="split").join(starts, ["file", "split"]).select(
-        "file", (F.col("base") + F.col("rec")).alias("read_no"), *record)
-    return whole.unionByName(split)
+    spark.dataSource.register(FastqSlices)
+    found = spark.read.format("fastq_slices").option("endings", ",".join(endings)).option(
+        "split_bytes", "0" if first_reads is not None else str(split_bytes)).load(path)
+    slices = written(found, "fastq-slices")
+    before = W.partitionBy("file").orderBy("start").rowsBetween(W.unboundedPreceding, -1)
+    # the first line of a range that is not the first: one more than the lines begun by newlines before it
+    placed = slices.withColumn("first_line", F.when(F.col("start") == 0, F.lit(0)).otherwise(F.lit(1) + F.sum("newlines").over(before)).cast("bigint"))
+    # one slice per task: a few hundred bytes each are dealt out, the reads come after that
+    dealt = placed.drop("newlines").repartition(max(slices.count(), 1))
+    return dealt.mapInArrow(_reads(lines_per_record, first_reads), READ_SCHEMA)
 
 
 def with_sample(reads: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from readloom.functions.shipping import ship
+from readloom.functions.stores import store_of
 from readloom.functions.text import file_name
 
 
@@ -32,50 +33,35 @@ def read_checksums(spark: SparkSession, path: str) -> DataFrame:
         "valid", F.col("url").isNotNull())
 
 
-def _stream_md5(paths: Iterator[pd.Series]) -> Iterator[pd.Series]:
+def _digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     import hashlib
 
-    from pyarrow import fs
-
-    def digest(uri: str) -> str | None:
+    def digest(uri: str) -> tuple[str | None, str | None]:
+        md5 = hashlib.md5()
         try:
-            store, path = fs.FileSystem.from_uri(uri)
-            md5 = hashlib.md5()
-            with store.open_input_stream(path) as f:
+            store, path = store_of(uri)
+            with store.open_input_stream(path, compression=None) as f:
                 while chunk := f.read(1 << 22):
                     md5.update(chunk)
-            return md5.hexdigest()
-        except OSError:
-            return None
+        except OSError as e:
+            return None, str(e)
+        return md5.hexdigest(), None
 
-    for batch in paths:
-        yield batch.map(digest)
+    for batch in batches:
+        found = [digest(uri) for uri in batch["path"]]
+        yield batch.assign(md5=[m for m, _ in found], error=[e for _, e in found])
 
 
-def file_checksums(
-    spark: SparkSession, root: str | list[str], glob: str | None = None, large: int = 256 << 20
-) -> DataFrame:
-    """``(path, name, size, md5)`` of every file.
+def file_checksums(spark: SparkSession, root: str | list[str], glob: str | None = None) -> DataFrame:
+    """``(path, size, md5, error, name)`` of every file.
 
-    Files below ``large`` bytes are hashed in the JVM, many per task. Larger ones
-    are streamed in chunks, one file per row of a spread-out listing, so file
-    size is not limited by row size.
+    The listing is dealt out by path and every file is streamed in chunks, so
+    its size is not limited by the size of a row. A file that cannot be read
+    has no digest and says why in ``error``.
     """
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    files = reader.load(root)
-    small = files.where(F.col("length") < large).select(
-        "path", F.col("length").alias("size"), F.md5("content").alias("md5"))
-    stream = F.pandas_udf(_stream_md5, "string")
-    big = (
-        files.where(F.col("length") >= large)
-        .select(F.regexp_replace("path", "^file:/(?!/)", "file:///").alias("path"),
-                F.col("length").alias("size"))
-        .repartition("path")
-        .withColumn("md5", stream("path"))
-    )
-    return small.unionByName(big).withColumn("name", file_name(F.col("path")))
+    files = list_artifacts(spark, root, glob).select("path", "size").repartition("path")
+    return files.mapInPandas(_digests, "path string, size bigint, md5 string, error string").withColumn(
+        "name", file_name(F.col("path")))
 
 
 GTF_SCHEMA = (

@@ -112,6 +112,7 @@ def test_bad_findings(reports):
         "GC content out of range: 26% (expected: 30-70%)",
         "Total Sequences too low: 91,345 (minimum: 1,000,000)"]
     assert found(f, "b1", 1) == [
+        "Adapter content: 31.70% - Trimming recommended",
         "Low Q30+ reads: 0.0% (expected: >75%)",
         "Module FAIL: Basic Statistics", "Module FAIL: Per base N content",
         "Module FAIL: Per base sequence quality", "Module FAIL: Per sequence quality scores"]
@@ -152,11 +153,12 @@ def test_n_bounds(spark, pct, severity):
     assert [r.severity for r in got] == ([] if severity is None else [severity])
 
 
-def test_only_first_five_positions_are_named(spark):
+def test_all_positions_are_named_or_the_first_shown(spark):
     df = spark.createDataFrame([("s", i, str(i), 10.0, 5.0) for i in range(1, 9)],
                                "sample_id string, row_no int, position string, median double, lower_quartile double")
     row = E.check_base_quality(df).first()
-    assert row.message.count("(Q") == 5 and row.value == 8.0
+    assert row.message.count("(Q") == 8 and row.value == 8.0
+    assert E.check_base_quality(df, shown=5).first().message.endswith(" 4 (Q10.0), 5 (Q10.0)")
 
 
 def test_repeated_module_and_blank_adapter(spark):

@@ -1,7 +1,9 @@
 """FASTQ source, read checks, profile and trimming."""
 
 import gzip
+import io
 import random
+from unittest import mock
 
 import pytest
 from hypothesis import given, settings
@@ -11,6 +13,7 @@ from pyspark.sql import functions as F
 from readloom.operators import artifacts as A
 from readloom.operators import fastqc_checks as E
 from readloom.operators import reads as R
+from readloom.sources import fastq as Q
 from readloom.sources.fastq import read_fastq, with_sample
 
 
@@ -26,7 +29,7 @@ def fastq(n, seed=1, length=40):
     return "".join(out)
 
 
-@pytest.mark.parametrize("split", [64, 333, 5000, 1 << 20])
+@pytest.mark.parametrize("split", [1777, 5000, 1 << 20])
 def test_split_reads_lose_nothing(spark, tmp_path, split):
     text = fastq(700)
     (tmp_path / "a.fastq").write_text(text)
@@ -38,13 +41,78 @@ def test_split_reads_lose_nothing(spark, tmp_path, split):
 def test_broken_records_survive_splits(spark, tmp_path):
     records = [f"@r{i}\nACGT\n+\nIIII\n" if i % 3 else f"#r{i}\nACGT\n-\nIII\n" for i in range(300)]
     (tmp_path / "a.fastq").write_text("".join(records))
-    got = read_fastq(spark, str(tmp_path), split_bytes=100)
+    got = read_fastq(spark, str(tmp_path), split_bytes=600)
     assert got.count() == 300
     assert got.where("header like '#%'").count() == 100
     bad = R.validate_reads(got).collect()
     assert [(r.error, r.n_reads, r.first_read, r.first_header) for r in bad] == [("header", 100, 0, "#r0")]
 
 
+def straight(data, lines=4):
+    """Records as one reader from the start of the file sees them."""
+    out, at = [], io.BytesIO(data)
+    while first := at.readline():
+        rest = [at.readline() for _ in range(lines - 1)]
+        out.append(tuple(x.decode("utf-8", "replace").rstrip("\r\n") for x in [first, *rest]))
+    return out
+
+
+DAMAGED = {
+    "line lost": lambda x: x.replace(b"+\n", b"", 1),
+    "blank line": lambda x: x[:200] + x[200:].replace(b"\n", b"\n\n", 1),
+    "no plus": lambda x: x.replace(b"\n+\n", b"\n-\n", 3),
+    "cut off": lambda x: x[:-9],
+    "no end": lambda x: x[:-1],
+    "carriage returns": lambda x: x.replace(b"\n", b"\r\n"),
+    "bytes": lambda x: x.replace(b"@r3", b"@\xff\xe2\x82"),
+    "blanks at the end": lambda x: x + b"\n\n",
+    "whole": lambda x: x,
+}
+
+
+def test_records_do_not_depend_on_cuts(spark, tmp_path):
+    folder = tmp_path / "a b%20#c"
+    folder.mkdir()
+    want = {}
+    for kind, damage in DAMAGED.items():
+        data = damage(fastq(60, 3).encode())
+        want[f"{kind}.fastq"] = want[f"{kind}.fq.gz"] = straight(data)
+        (folder / f"{kind}.fastq").write_bytes(data)
+        with gzip.open(folder / f"{kind}.fq.gz", "wb") as f:
+            f.write(data)
+    for split in (400, 1 << 20):
+        got = {}
+        for r in read_fastq(spark, str(folder), split_bytes=split).orderBy("file", "read_no").collect():
+            rows = got.setdefault(r.file.rsplit("/", 1)[1], [])
+            assert r.read_no == len(rows)
+            rows.append((r.header, r.seq, r.plus, r.qual))
+        assert got == want
+    first = read_fastq(spark, f"file:{folder}", first_reads=7)
+    assert {r.file.rsplit("/", 1)[1]: r["max(read_no)"] for r in first.groupBy("file").agg({"read_no": "max"}).collect()} == dict.fromkeys(want, 6)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.binary(max_size=120).map(lambda b: bytes(b"\n@+A\r"[x % 5] for x in b)), st.integers(1, 40), st.sampled_from([4, 6]), st.integers(1, 50))
+def test_slices_cover_any_file(tmp_path_factory, data, split, lines, block):
+    path = str(tmp_path_factory.mktemp("s") / "x.fastq")
+    with open(path, "wb") as f:
+        f.write(data)
+    reader = Q.SliceReader({"path": path, "split_bytes": str(split)})
+    got, line = [], 0
+    for n, part in enumerate(reader.partitions()):
+        newlines = next(reader.read(part))[-1]
+        with open(path, "rb") as f, mock.patch.object(Q, "BLOCK", block):
+            for record, whole in Q._blocks(f, part.start, part.stop, line + 1 if n else 0, lines):
+                assert record == len(got)
+                columns = [c.to_pylist() for c in Q._columns(whole, lines)]
+                got += list(zip(*columns))
+        line += newlines
+    want = straight(data, lines)
+    if lines == 6:
+        want = [(a, b.strip() + c.strip(), d, e.strip() + f.strip()) for a, b, c, d, e, f in want]
+    assert got == want
+
+
 def test_gzip_wrapped_and_empty(spark, tmp_path, rows):
     with gzip.open(tmp_path / "s_R1.fq.gz", "wt") as f:
         f.write(fastq(50))

@@ -4,6 +4,7 @@ import gzip
 import hashlib
 import json
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -151,8 +152,7 @@ def test_listing_and_checksums(spark, tmp_path, rows):
     listing = files.list_artifacts(spark, str(tmp_path / "d"))
     assert sorted(r.size for r in listing.collect()) == [5, 400]
     want = {n: hashlib.md5(t.encode()).hexdigest() for n, t in [("a.txt", "alpha"), ("b.txt", "beta" * 100)]}
-    # a bound below the larger file sends it down the streamed way
-    got = {r.name: r.md5 for r in files.file_checksums(spark, str(tmp_path / "d"), large=100).collect()}
+    got = {r.name: r.md5 for r in files.file_checksums(spark, str(tmp_path / "d")).collect()}
     assert got == want
     write(tmp_path / "sums.tsv", f"filename\tsize\tmd5\turl\na.txt\t5\t{want['a.txt']}\tu\nb.txt\t400\tbad\tu\nc.txt\t1\tN/A\tu\nshort\n")
     sums = files.read_checksums(spark, str(tmp_path / "sums.tsv"))
@@ -161,6 +161,16 @@ def test_listing_and_checksums(spark, tmp_path, rows):
     assert rows(A.checksum_audit(actual, sums.where("valid"))) == [("a.txt", "OK"), ("b.txt", "MISMATCH"), ("c.txt", "SKIP")]
 
 
+def test_checksums_of_odd_names(spark, tmp_path):
+    names = ["a b.txt", "c%20d.txt", "e#f.txt", "é.txt"]
+    for n in names:
+        write(tmp_path / "x y" / n, n * 3)
+    got = {r.name: (r.md5, r.error) for r in files.file_checksums(spark, str(tmp_path / "x y")).collect()}
+    assert got == {n: (hashlib.md5((n * 3).encode()).hexdigest(), None) for n in names}
+    found = next(files._digests(iter([pd.DataFrame({"path": [f"file:{tmp_path}/gone"], "size": [1]})])))
+    assert found.md5[0] is None and "gone" in found.error[0]
+
+
 def test_logs_by_rule_and_sample(spark, tmp_path):
     for f in ["star/s1.log", "star/s10.log", "trim/s1.log", "trim/x.txt"]:
         write(tmp_path / f, f"{f}\nerror here\n")
