@@ -258,3 +258,43 @@ def test_quality_thresholds_follow_the_group(spark):
     got = {(r.doc_id, r.lang): r.kept for r in quality.judge(df).collect()}
     assert sum(v for (d, _), v in got.items() if d < 9000) == 600
     assert not got[9000, "en"] and not got[9001, "xx"] and got[9002, None] and not got[9003, "en"]
+
+
+def test_stage_keeps_one_of_near_copies(spark):
+    """Groups by brute force: five-word Jaccard of 0.8 or more, whatever the distance of fingerprints."""
+    r = random.Random(8)
+    texts = []
+    for g in range(12):
+        base = prose(7000 + g, r.choice([4, 30, 120, 400])).split()
+        texts.append(" ".join(base))
+        for _ in range(12):
+            w = list(base)
+            for _ in range(r.choice([0, 1, 2, 3, 8, 14])):
+                w[r.randrange(len(w))] = prose(r.random(), 1)
+            texts.append(" ".join(w))
+    texts += ["", None, " \n"]
+
+    def shingles(text):
+        w = (text or "").lower().split()
+        return {tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+    sets = [shingles(t) for t in texts]
+    root = list(range(len(texts)))
+    far = 0
+    for i, j in itertools.combinations(range(len(texts)), 2):
+        both = len(sets[i] & sets[j])
+        if sets[i] == sets[j] or 10 * both >= 8 * len(sets[i] | sets[j]):
+            far += (simhash.fingerprint(texts[i]) ^ simhash.fingerprint(texts[j])).bit_count() > 2
+            a, b = sorted((root[i], root[j]))
+            root = [a if x == b else x for x in root]
+    assert far > 20
+    got = corpus_pipeline.drop_near_copies(spark, frame(spark, texts), SF)
+    assert got.columns == frame(spark, texts).columns
+    assert sorted(x.doc_id for x in got.collect()) == sorted(set(root))
+
+
+def test_stage_with_repeated_ids(spark):
+    texts = [prose(1, 80), prose(2, 80), prose(2, 80), prose(1, 80), prose(3, 80), prose(3, 80)]
+    got = corpus_pipeline.drop_near_copies(spark, frame(spark, texts, [5, 5, 5, 6, None, None]), SF)
+    assert sorted((x.doc_id or 0, x.text) for x in got.collect()) == sorted(
+        [(5, texts[0]), (5, texts[1]), (0, texts[4]), (0, texts[4])])
