@@ -1,9 +1,12 @@
 """Benchmark questions in documents, also with other numbers, names and units.
 
-Canonical form: words are folded (A-Z in lower case, marks passed over), and
+Canonical form: words are folded (lower case, marks passed over), and
 numbers, names (a capital, then small letters) and units become typed
-placeholders. Windows of ``WINDOW`` canonical words of the benchmark and of the
-documents are joined by hash. Where a document's window meets an item's, the
+placeholders. A capitalised word may as well be the plain word, so each window has
+a form for every choice of its capitalised words as names or as plain words: the
+same word fits in any case, another one where both are capitalised. Windows of
+``WINDOW`` canonical words of the benchmark and of the documents are joined by
+the hashes of their forms. Where a document's window meets an item's, the
 two words under each placeholder are a pair of slot values; along one alignment
 of document and item, each item value must go with one document value (a share
 of ``STRAY`` exceptions is allowed). A document holds an item when the aligned,
@@ -57,6 +60,10 @@ class Tables:
         fold = np.arange(256, dtype=np.uint8)
         fold[ord("A"):ord("Z") + 1] += 32
         self.fold = fold
+        # capitals beyond A-Z whose small letter takes as many bytes
+        self.small = {c: ord(low) for c in range(0x80, 0x20000) if len(low := chr(c).lower()) == 1 and ord(low) != c
+                      and not 0xD800 <= c < 0xE000 and len(low.encode()) == len(chr(c).encode())}
+        self.small[ord("ς")] = ord("σ")
         kept = np.zeros(256, bool)
         kept[[*range(ord("0"), ord("9") + 1), *range(ord("A"), ord("Z") + 1), *range(ord("a"), ord("z") + 1), *range(128, 256)]] = True
         self.kept = kept
@@ -65,53 +72,65 @@ class Tables:
         self.units = np.sort(self.words(" ".join(UNITS).encode())[0])
 
     def words(self, raw: bytes):
-        """Hash, type and first byte of each word that has a letter or digit."""
+        """Hash, type, type apart from capitals and first byte of each word that has a letter or digit."""
         data = np.frombuffer(raw, np.uint8)
+        low = data if raw.isascii() else np.frombuffer(raw.decode().translate(self.small).encode(), np.uint8)
         at = np.flatnonzero(self.kept[data])
         if not len(at):
-            return np.empty(0, np.uint64), np.empty(0, np.int8), np.empty(0, np.int64)
+            return np.empty(0, np.uint64), np.empty(0, np.int8), np.empty(0, np.int8), np.empty(0, np.int64)
         group = np.cumsum(self.blank[data])[at]  # changes at blanks
         first = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
         size = np.diff(np.concatenate([first, [len(at)]]))
         b = data[at]
         place = np.arange(len(at)) - np.repeat(first, size)
-        h = np.add.reduceat(self.byte[self.fold[b]] * self.place[place & 63], first)
+        h = np.add.reduceat(self.byte[self.fold[low[at]]] * self.place[place & 63], first)
         h ^= h >> np.uint64(31)
         h *= np.uint64(0xBF58476D1CE4E5B9)
         digit = np.add.reduceat(((b >= 48) & (b <= 57)).astype(np.int32), first)
         upper = (b >= 65) & (b <= 90)
         uppers = np.add.reduceat(upper.astype(np.int32), first)
-        kind = np.zeros(len(first), np.int8)
-        kind[upper[first] & (uppers == 1) & (size > 1)] = 2
-        kind[digit > 0] = 1
+        folded = np.zeros(len(first), np.int8)
         if hasattr(self, "units"):
             near = np.minimum(np.searchsorted(self.units, h), len(self.units) - 1)
-            kind[(self.units[near] == h) & (kind == 0)] = 3
-        return h, kind, at[first]
+            folded[self.units[near] == h] = 3
+        folded[digit > 0] = 1
+        kind = np.where(upper[first] & (uppers == 1) & (size > 1) & (digit == 0), np.int8(2), folded)
+        return h, kind, folded, at[first]
 
     def windows(self, raws: list[bytes], size: int = WINDOW):
-        """Window hashes of several texts: owner, first word, hash, slots (0 for plain words), number of plain words."""
+        """Hashes of all forms of several texts' windows: owner, first word, hash, slots (0 for plain words), number of plain words."""
         joined = b"\n".join(raws)
-        h, kind, at = self.words(joined)
+        h, kind, folded, at = self.words(joined)
         ends = np.cumsum([len(r) + 1 for r in raws])
         owner = np.searchsorted(ends, at, side="right")
         begin = np.searchsorted(owner, np.arange(len(raws)))
         n = max(0, len(h) - size + 1)
         whole = owner[:n] == owner[size - 1:size - 1 + n]
-        canonical = np.where(kind == 0, h, self.types[kind])
-        total = np.zeros(n, np.uint64)
+        canonical = np.where(folded == 0, h, self.types[folded])
+        base = np.zeros(n, np.uint64)
         plain = np.zeros(n, np.int64)
+        names = np.zeros(n, np.int64)
         for k in range(size):
-            total += canonical[k:k + n] * self.window[k]
+            base += canonical[k:k + n] * self.window[k]
             plain += kind[k:k + n] == 0
+            names |= (kind[k:k + n] == 2).astype(np.int64) << k
+        rows, totals = [], []
+        for form in range(1 << size):  # bits of the words that stand as names
+            chosen = np.flatnonzero(whole & (names & form == form))
+            total = base[chosen]
+            for k in range(size):
+                if form >> k & 1:
+                    total += (self.types[2] - canonical[chosen + k]) * self.window[k]
+            rows.append(chosen)
+            totals.append(total)
+        row, total = np.concatenate(rows), np.concatenate(totals)
         total ^= total >> np.uint64(30)
         total *= np.uint64(0x94D049BB133111EB)
         total ^= total >> np.uint64(27)
         total += np.uint64(size)
-        row = np.flatnonzero(whole)
         counts = np.bincount(owner, minlength=len(raws))
         slots = np.where(kind == 0, np.uint64(0), h | np.uint64(1))
-        return owner[row], row - begin[owner[row]], total[row], plain[row], row, slots, counts
+        return owner[row], row - begin[owner[row]], total, plain[row], row, slots, counts
 
 
 def _rows(tables: Tables, part: pa.RecordBatch, sizes: list[int], bitmap) -> pa.RecordBatch:
@@ -151,12 +170,12 @@ def windows(df: DataFrame, row_id: str, text: str, sizes: list[int], bitmap=None
 
 
 def item_windows(items: DataFrame, item_id: str = "item_id", text: str = "text") -> DataFrame:
-    """``item_id, at, h, slots, size, total``: the windows that count for each item, and how many these are."""
+    """``item_id, at, h, slots, size, total``: forms of the windows that count for each item, and how many windows these are."""
     cut = windows(items, item_id, text, list(range(1, WINDOW + 1))).withColumn("size", F.size("slots"))
     cut = cut.where((F.col("size") == WINDOW) | (F.col("size") == F.col("words")))  # a short item is one window
     rich = cut.groupBy("doc_id", "text_hash").agg(F.count(F.when(F.col("plain") >= 2, 1)).alias("rich"))
     chosen = cut.join(rich, ["doc_id", "text_hash"]).where((F.col("plain") >= 2) | (F.col("rich") == 0))
-    total = chosen.groupBy("doc_id", "text_hash").agg(F.count("*").alias("total"))
+    total = chosen.groupBy("doc_id", "text_hash").agg(F.count_distinct("at").alias("total"))
     return chosen.join(total, ["doc_id", "text_hash"]).select(
         F.col("doc_id").alias("item_id"), F.col("text_hash").alias("item_hash"), F.col("at").alias("item_at"),
         "h", F.col("slots").alias("item_slots"), "size", "total")

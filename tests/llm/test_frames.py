@@ -298,3 +298,21 @@ def test_stage_with_repeated_ids(spark):
     got = corpus_pipeline.drop_near_copies(spark, frame(spark, texts, [5, 5, 5, 6, None, None]), SF)
     assert sorted((x.doc_id or 0, x.text) for x in got.collect()) == sorted(
         [(5, texts[0]), (5, texts[1]), (0, texts[4]), (0, texts[4])])
+
+
+def test_items_in_any_case(spark):
+    """The case of an item's words makes no difference, other names and numbers none either; other plain words do."""
+    item = "In spring Anna bought 12 baskets of ripe apples and walked 3 km to the old market where Anna sold 5 of them for a fair price"
+    names = iter(["Clara", "Dora"])
+    numbers = iter(["1", "2", "3"])
+    swapped = " ".join(next(names) if w == "Anna" else next(numbers) if w.isdigit() else w for w in item.split())
+    texts = [item.lower(), f"{prose(4, 20)} {item.upper()}", item.title(), swapped,
+             f"yes, in spring{item[9:].replace('Anna', 'Clara')}", "one day Clara and Dora met and " * 5, item.lower()[:50]]
+    items = spark.createDataFrame([(7, item), (8, "Anna Berg"), (9, "Where did Anna Berg of Kent live")], "item_id long, text string")
+    got = {r.doc_id: r.item_ids for r in decontaminate.judge(frame(spark, texts), items).collect()}
+    # two capitalised words in a row are the second item with another name
+    assert got == {0: [7], 1: [7], 2: [7, 8], 3: [7], 4: [7], 5: [], 6: []}
+    lower = [r.text.lower() for r in spark.read.parquet(f"{SF}/benchmark.parquet").orderBy("item_id").collect()]
+    bench = spark.read.parquet(f"{SF}/benchmark.parquet")
+    found = decontaminate.judge(frame(spark, lower), bench).collect()
+    assert all(r.contaminated for r in found)
