@@ -18,7 +18,10 @@ out before it is sketched. That changes no result.
 Templates are a list in code, so their bands are a broadcast of known size; no
 text is shuffled, and documents with a frequent notice meet in no group but
 their own. Rows with the same id and text count as one text. Null and empty
-texts, and those of fewer than five words, have no notices.
+texts have no notices.
+
+A template of fewer than five words is one shingle, its whole sequence of words;
+a text holds it where these follow one another.
 """
 
 from __future__ import annotations
@@ -59,6 +62,9 @@ TEMPLATES = [
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
 ]
 
+#: With notices shorter than a shingle, which the query's SQL cannot express.
+NOTICES = [*TEMPLATES, ("All-rights-reserved", "All rights reserved.")]
+
 
 def words_of(text: str) -> list[str]:
     return re.findall("[a-z0-9]+", text.lower())
@@ -102,12 +108,12 @@ def bands(hashes: Column, n: Column) -> Column:
 
 
 def template_table(spark: SparkSession, templates: Sequence[tuple[str, str]]) -> DataFrame:
-    """``template_id, license, width, n_bands, template_shingles``."""
+    """``template_id, license, width, n_bands, template_shingles`` of the templates that are not shorter than a shingle."""
     rows = []
     for n, (name, text) in enumerate(templates):
         words = words_of(text)
         if len(words) < SHINGLE:
-            raise ValueError(f"template {n} has fewer than {SHINGLE} words")
+            continue
         rows.append(F.struct(F.lit(n).alias("template_id"), F.lit(name).alias("license"),
                              F.lit(width(words)).alias("width"), F.lit(n_bands(words)).alias("n_bands"),
                              F.array(*map(F.lit, words)).alias("words")))
@@ -117,11 +123,46 @@ def template_table(spark: SparkSession, templates: Sequence[tuple[str, str]]) ->
 
 def find_notices(df: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLATES, row_id: str = "doc_id",
                  text: str = "text", least: float = LEAST) -> DataFrame:
-    """``doc_id, text_hash, template_id, license, window_no, contained`` for every notice and window that holds it."""
+    """``doc_id, text_hash, template_id, license, window_no, contained`` for every notice and window that holds it.
+
+    A notice shorter than a shingle has one row, for the window in which it first begins.
+    """
+    short = [(n, name, words_of(t)) for n, (name, t) in enumerate(templates) if len(words_of(t)) < SHINGLE]
+    if any(not words for _, _, words in short):
+        raise ValueError("a template has no words")
+    if len(short) == len(templates):
+        return find_short(df, short, row_id, text)
+    found = find_long(df, templates, row_id, text, least)
+    return found.unionByName(find_short(df, short, row_id, text)) if short else found
+
+
+def find_short(df: DataFrame, short: Sequence[tuple[int, str, list[str]]], row_id: str, text: str) -> DataFrame:
+    """The rows of ``find_notices`` for templates ``(template_id, license, words)`` shorter than a shingle."""
+    low = F.lower(F.col(text))
+    first = [words[0] for _, _, words in short]
+    spaced = F.concat(F.lit(" "), F.array_join(F.filter(F.split(low, "[^a-z0-9]+", -1), lambda w: w != ""), " "), F.lit(" "))
+
+    def hit(n: int, name: str, words: list[str], t: Column) -> Column:
+        at = F.instr(t, " " + " ".join(words) + " ")
+        before = F.substring(t, F.lit(1), at - 1)
+        word_no = F.length(before) - F.length(F.replace(before, F.lit(" "), F.lit("")))
+        return F.struct(F.lit(n).alias("template_id"), F.lit(name).alias("license"), at.alias("at"),
+                        F.floor(word_no / width(words)).alias("window_no"))
+
+    return (df.where(F.col(text).isNotNull() & once(low, lambda t: F.exists(F.array(*map(F.lit, first)), lambda a: F.contains(t, a))))
+            .select(F.col(row_id).alias("doc_id"), F.xxhash64(text).alias("text_hash"),
+                    F.inline(once(spaced, lambda t: F.filter(F.array(*[hit(*x, t) for x in short]), lambda x: x["at"] > 0))))
+            .select("doc_id", "text_hash", "template_id", "license", "window_no", F.lit(1.0).alias("contained")).distinct())
+
+
+def find_long(df: DataFrame, templates: Sequence[tuple[str, str]], row_id: str, text: str, least: float) -> DataFrame:
+    """The rows of ``find_notices`` for templates that are not shorter than a shingle."""
     spark = df.sparkSession
     table = template_table(spark, templates)
     by_width: dict[int, list[list[str]]] = {}
     for _, t in templates:
+        if len(words_of(t)) < SHINGLE:
+            continue
         by_width.setdefault(width(words_of(t)), []).append(words_of(t))
     most = {w: max(map(n_bands, ts)) for w, ts in by_width.items()}
     marks = {w: sorted({a for t in ts for a in anchors(t)}) for w, ts in by_width.items()}

@@ -316,3 +316,14 @@ def test_items_in_any_case(spark):
     bench = spark.read.parquet(f"{SF}/benchmark.parquet")
     found = decontaminate.judge(frame(spark, lower), bench).collect()
     assert all(r.contaminated for r in found)
+
+
+def test_licenses_shorter_than_a_shingle(spark):
+    texts = [f"{prose(1, 40)}\nAll rights\n reserved.", "ALL RIGHTS RESERVED", "All rights are reserved", "overall rights reserved", None, "",
+             f"{prose(2, 20)} Released under the MIT License. All rights reserved. All rights reserved."]
+    df = frame(spark, texts)
+    got = {r.doc_id: r.licenses for r in licenses.scan_licenses(df, licenses.NOTICES).collect()}
+    name = "All-rights-reserved"
+    assert got == {0: name, 1: name, 2: "", 3: "", 4: "", 5: "", 6: f"{name},MIT"}
+    alone = licenses.find_notices(df, licenses.NOTICES[-1:]).collect()
+    assert sorted((r.doc_id, r.template_id, r.window_no, r.contained) for r in alone) == [(0, 0, 5, 1.0), (1, 0, 0, 1.0), (6, 0, 3, 1.0)]
