@@ -4,8 +4,9 @@ A text's words (between ASCII blanks) are cut where a gear rolling hash of the
 last ``GEAR`` bytes, taken at word ends, is the least within ``REACH`` words on
 either side (where words go on repeating, at each equal place). Cuts depend on what lies near them only, so an insertion moves the
 cuts around it and no others. A chunk goes from a cut to the first cut at least
-``WORDS`` words on; chunks start at every cut, so any passage of about
-``WORDS + 4 * REACH`` words holds a whole one wherever its ends fall. Chunks are
+``WORDS`` words on; chunks start at every cut. Gaps between cuts have no bound,
+so a passage of a given length holds a whole chunk in most places, not in all,
+and words of it beyond its first and last shared chunk stay. Chunks are
 told apart by a 128-bit digest of their words. The first occurrence of a digest
 (by id, then place) stays; words under later occurrences are cut out, what lies
 between stays letter for letter.
@@ -130,6 +131,12 @@ def later_occurrences(chunked: DataFrame) -> DataFrame:
             .select("doc_id", "text_hash", "start", "stop", F.col("first.doc_id").alias("first_doc")))
 
 
+def spans_by_text(later: DataFrame) -> DataFrame:
+    """``doc_id, text_hash, _spans, first_docs``: each span once, however many rows have that id and text."""
+    return later.groupBy("doc_id", "text_hash").agg(
+        F.collect_set(F.struct("start", "stop")).alias("_spans"), F.array_sort(F.collect_set("first_doc")).alias("first_docs"))
+
+
 def without(text: str, spans: list[tuple[int, int]]) -> tuple[str, int, int]:
     """The text without the words in the spans, its number of words, and how many went."""
     raw = text.encode()
@@ -155,9 +162,7 @@ def cut_repeats(df: DataFrame, row_id: str = "doc_id", text: str = "text", least
     already named like these two are replaced.
     """
     chunked = written(chunks(df, row_id, text, least), "chunks")
-    spans = later_occurrences(chunked).groupBy("doc_id", "text_hash").agg(
-        F.collect_list(F.struct("start", "stop")).alias("_spans"), F.array_sort(F.collect_set("first_doc")).alias("first_docs"))
-    spans = written(spans, "spans").withColumnsRenamed({"doc_id": "_doc", "text_hash": "_hash"})
+    spans = written(spans_by_text(later_occurrences(chunked)), "spans").withColumnsRenamed({"doc_id": "_doc", "text_hash": "_hash"})
     base = df.drop("n_removed_words", "first_docs")
     marked = base.join(spans, F.col(row_id).eqNullSafe(F.col("_doc")) & (F.xxhash64(text) == F.col("_hash")), "left")
     schema = T.StructType([*base.schema.fields, T.StructField("n_removed_words", T.LongType()),

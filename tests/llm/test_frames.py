@@ -327,3 +327,14 @@ def test_licenses_shorter_than_a_shingle(spark):
     assert got == {0: name, 1: name, 2: "", 3: "", 4: "", 5: "", 6: f"{name},MIT"}
     alone = licenses.find_notices(df, licenses.NOTICES[-1:]).collect()
     assert sorted((r.doc_id, r.template_id, r.window_no, r.contained) for r in alone) == [(0, 0, 5, 1.0), (1, 0, 0, 1.0), (6, 0, 3, 1.0)]
+
+
+def test_repeated_rows_share_their_spans(spark):
+    shared = prose(5, 200)
+    texts = [f"{prose(10, 40)} {shared}"] + [f"{shared} {prose(11, 30)}"] * 300
+    df = frame(spark, texts, [1] + [None] * 300)
+    chunked = substring_dedup.chunks(df)
+    once = substring_dedup.chunks(df.dropDuplicates(["text"])).count()
+    spans = substring_dedup.spans_by_text(substring_dedup.later_occurrences(chunked)).collect()
+    assert spans and max(len(r["_spans"]) for r in spans) <= once
+    assert substring_dedup.cut_repeats(df).select("text").distinct().count() == 2
