@@ -109,3 +109,25 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     return quality.judge(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@register("op11_turns")
+def op11_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from readloom.llm import turns
+
+    conversations = table(spark, sf_dir, "conversations")
+    return turns.audit_table(turns.damaged(conversations), conversations.select("conv_id").distinct())
+
+
+@register("op12_whitening")
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from readloom.llm import whitening
+
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+@register("op13_mix", sql_twins.OP13)
+def op13_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from readloom.llm import mixing
+
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "blocks")

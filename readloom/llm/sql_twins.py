@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from readloom.llm import licenses, quality, sharding
+from readloom.llm import licenses, mixing, quality, sharding
 
 OP7 = f"""
 WITH crc_table AS (
@@ -133,3 +133,33 @@ FROM dw LEFT JOIN found USING (row_no) GROUP BY row_no, doc_id
 """
 
 
+OP13 = f"""
+WITH sized AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) size,
+         md5('{mixing.SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(md5(text), '')) place FROM documents),
+placed AS (
+  SELECT *, sum(size) OVER (PARTITION BY source ORDER BY place ROWS UNBOUNDED PRECEDING) - size word_at FROM sized),
+numbered AS (
+  SELECT source, CAST(sum(size) AS BIGINT) n, row_number() OVER (ORDER BY source NULLS LAST) o FROM sized GROUP BY source),
+weighed AS (SELECT *, [{", ".join(map(str, mixing.WEIGHTS))}][(o - 1) % {len(mixing.WEIGHTS)} + 1] w FROM numbered),
+held AS (
+  SELECT CAST(sum({mixing.MOST} * n) OVER p AS BIGINT) upto, sum(w) OVER p w_upto FROM weighed
+  WINDOW p AS (ORDER BY {mixing.MOST} * n / w ROWS UNBOUNDED PRECEDING)
+  UNION ALL SELECT 0, 0),
+whole AS (SELECT CAST(sum(n) AS BIGINT) total, CAST(sum(w) AS BIGINT) w_total FROM weighed),
+raised AS (SELECT max(CAST(total - upto AS DOUBLE) / CAST(w_total - w_upto AS DOUBLE)) v FROM held, whole WHERE w_upto < w_total),
+targets AS (SELECT source, n, o, least(CAST({mixing.MOST} * n AS DOUBLE), w * v) target FROM weighed, raised),
+block AS (
+  SELECT max(b) b FROM (SELECT CAST(pow(2, unnest(range({mixing.LARGEST_BLOCK.bit_length()}))) AS BIGINT) b)
+  WHERE b = 1 OR b <= (SELECT min(target) FROM targets WHERE target > 0) / {mixing.FINENESS}),
+quotients AS (
+  SELECT source, o, target / (2 * k - 1) q FROM (SELECT *, unnest(range(1, {mixing.MOST} * n // b + 1)) k FROM targets, block)),
+given AS (
+  SELECT source FROM (SELECT source, row_number() OVER (ORDER BY q DESC, o) r FROM quotients), whole, block
+  WHERE r <= (2 * total + b) // (2 * b)),
+quotas AS (SELECT source, count(*) blocks FROM given GROUP BY source),
+every AS (SELECT t.*, coalesce(blocks, 0) blocks, b FROM targets t CROSS JOIN block LEFT JOIN quotas q ON t.source IS NOT DISTINCT FROM q.source)
+SELECT doc_id, CAST(size AS BIGINT) size, n source_size, target,
+       CAST(blocks * b // greatest(n, 1) * size + least(greatest(blocks * b % greatest(n, 1) - word_at, 0), size) AS BIGINT) taken, blocks
+FROM placed p JOIN every e ON p.source IS NOT DISTINCT FROM e.source
+"""
