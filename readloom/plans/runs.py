@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from readloom.operators import runs as L
 from readloom.plans import views as V
 from readloom.plans.catalog import register
+from readloom.session import scratch_path
 from readloom.sources.logs import select_logs
 from readloom.streaming import progress as S
 
@@ -203,6 +204,38 @@ def _(spark, sf):
     return S.drain(S.error_lines(lines, KEYWORDS), "append", "log-errors")
 
 
+# Logs written in two goes, the second while a stream follows them: one file per log and go.
+
+
+def _follow(spark, lines, label, made, mode):
+    """The stream ``made`` of the log lines, run after each half of ``lines(log, second, pos, line)`` is there."""
+    folder, at = scratch_path(spark, f"{label}-logs"), scratch_path(spark, label)
+    for second in (False, True):
+        half = lines.where(F.col("second") == second).repartition("log").sortWithinPartitions("log", "pos")
+        half.select("second", "log", "line").write.mode("append").partitionBy("second", "log").text(folder)
+        tail = S.stream_lines(spark, folder, "part-*")
+        named = tail.select(F.regexp_extract("file", "/log=([^/]*)/", 1).alias("file"), "line",
+                            F.struct(F.col("file").contains("/second=true/").alias("second"), "pos").alias("pos"))
+        out = S.drain(made(named), mode, label, folder=at)
+    return out
+
+
+@register("stream_tail_errors", "log_lines", f"SELECT rule AS file, line FROM log_lines WHERE {KEYWORD_SQL}")
+def _(spark, sf):
+    lines = V.log_lines(spark, sf).withColumn("second", F.col("pos") > 9)
+    whole = F.struct(F.col("file").cast("bigint").alias("doc"), "pos")
+    return _follow(spark, lines.select(F.col("rule").alias("log"), "second", whole.alias("pos"), "line"), "tail-errors",
+                   lambda t: S.error_lines(t.drop("pos"), KEYWORDS), "append").select("file", "line")
+
+
+@register("stream_progress", "run_events", PROGRESS)
+def _(spark, sf):
+    lines = event_lines(spark, sf)
+    middle = lines.agg(F.max("pos") / 2).first()[0] or 0
+    return _follow(spark, lines.select(F.col("file").alias("log"), (F.col("pos") > middle).alias("second"), "pos", "line"), "tail-progress",
+                   L.workflow_progress, "complete")
+
+
 WINDOW_ROWS = """SELECT window_start, window_start + INTERVAL 1 HOUR window_end, rule, count(*) n, CAST(sum(k) AS BIGINT) total FROM (
     SELECT {w} window_start, rule, k FROM run_events) GROUP BY ALL"""
 TUMBLING = WINDOW_ROWS.format(w="date_trunc('hour', ts)")

@@ -20,18 +20,19 @@ from readloom.functions.shipping import ship
 from readloom import constants as K
 from readloom.operators.runs import has_keyword
 from readloom.session import scratch_path
+from readloom.streaming.tail import tail_lines
 
 WATERMARK = "10 minutes"
 
 ship(__name__)
 
 
-def stream_lines(spark: SparkSession, path: str, glob: str = "*.log") -> DataFrame:
-    """New lines of a folder of logs: ``(file, line)``."""
-    return (
-        spark.readStream.option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
-        .text(path).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("line"))
-    )
+def stream_lines(spark: SparkSession, path: str, glob: str = "*.log", **options: str | int | float) -> DataFrame:
+    """New lines of a folder of growing logs: ``(file, pos, line)``, also those appended to files seen before.
+
+    ``options`` are those of ``tail.LogTail``.
+    """
+    return tail_lines(spark, path, glob, **options)
 
 
 def stream_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -186,17 +187,18 @@ def late_rows(query: StreamingQuery) -> int:
 
 def drain(
     stream: DataFrame, mode: str = "complete", label: str = "stream",
-    on_end: Callable[[StreamingQuery], None] | None = None,
+    on_end: Callable[[StreamingQuery], None] | None = None, folder: str | None = None,
 ) -> DataFrame:
     """Run a stream over what is there now and give its result as a table.
 
-    ``on_end`` gets the finished query, for example to count its ``late_rows``.
-
-    Results and progress are kept under the shared folder; with ``complete`` each
-    batch replaces the table, with ``append`` the file sink adds to it.
+    ``on_end`` gets the finished query. Results and progress are kept under ``folder``: a later
+    call with the same one goes on where this one ended. Without it they go to a fresh folder
+    under the shared one. With ``complete`` each batch replaces the table, with ``append`` the
+    file sink adds to it.
     """
     spark = stream.sparkSession
-    target, progress = scratch_path(spark, label), scratch_path(spark, f"{label}-progress")
+    folder = folder or scratch_path(spark, label)
+    target, progress = f"{folder}/rows", f"{folder}/progress"
     writer = stream.writeStream.option("checkpointLocation", progress).trigger(availableNow=True)
     if mode == "append":
         query = writer.outputMode("append").format("parquet").option("path", target).start()
