@@ -10,6 +10,7 @@ from readloom.operators import fastqc_checks as E
 from readloom.operators import reads as R
 from readloom.session import scratch_path
 from readloom.sinks import writers as K
+from readloom.sinks.block_gzip import write_block_gzip
 from readloom.sources.fastq import read_fastq
 from readloom.functions.ranking import first_rows, number_rows
 from readloom.plans import views as V
@@ -147,6 +148,15 @@ def _(spark, sf):
     return read_fastq(spark, target, split_bytes=1 << 16, endings=(".txt",)).select("header", "seq", "plus", "qual")
 
 
+@register("write_and_read_block_gzip", "reads", "SELECT header, seq, plus, qual FROM reads")
+def _(spark, sf):
+    target = scratch_path(spark, "fastq-blocks")
+    record = F.concat_ws("\n", "header", "seq", "plus", "qual")
+    write_block_gzip(V.reads(spark, sf).select(record.alias("value")), target, ".fastq.gz")
+    # members cross the ranges, records cross the members
+    return read_fastq(spark, target, split_bytes=100_000).select("header", "seq", "plus", "qual")
+
+
 @register("read_wrapped_fastq", "reads", "SELECT file, header, seq, plus, qual FROM reads")
 def _(spark, sf):
     half = F.greatest(F.floor(F.length("seq") / 2), F.lit(1)).cast("int")

@@ -2,9 +2,11 @@
 
 A record is four lines (six for wrapped reads), counted from the start of the
 file, whatever the lines hold: damaged files give the same records however
-they are cut. Plain files are cut into byte ranges. The newlines of each range
-are counted first; their running sum says which line a range begins with, and
-so where its first record starts. Gzip files are one task each.
+they are cut. Plain files and block gzip files are cut into byte ranges. The
+newlines of each range are counted first; their running sum says which line a
+range begins with, and so where its first record starts. In a block gzip file a
+range holds the members that start in it; what kind a gzip file is, the
+tasks see. Other gzip files are one task each.
 
 ``spark.dataSource.register(FastqSlices)`` and ``format("fastq_slices")`` list
 the ranges with their newlines; ``read_fastq`` builds the reads on it. Files
@@ -27,8 +29,9 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from readloom.functions.shipping import ship
 from readloom.functions.stores import store_of
 from readloom.session import written
+from readloom.sources.blocks import MemberStream, first_member, is_blocked, members
 
-SLICE_SCHEMA = "file string, root string, path string, start bigint, stop bigint, newlines bigint"
+SLICE_SCHEMA = "file string, root string, path string, start bigint, stop bigint, text_bytes bigint, newlines bigint"
 READ_SCHEMA = "file string, read_no bigint, header string, seq string, plus string, qual string"
 
 ship(__name__)
@@ -36,6 +39,11 @@ ENDINGS = (".fastq.gz", ".fq.gz", ".fastq", ".fq")
 BLOCK = 4 << 20
 
 
+def _raw(root: str, path: str) -> io.BufferedReader:
+    store, _ = store_of(root)
+    return io.BufferedReader(store.open_input_file(path), 1 << 18)
+
+
 def _opened(root: str, path: str) -> io.BufferedReader:
     store, _ = store_of(root)
     if path.lower().endswith(".gz"):
@@ -53,7 +61,9 @@ class FastqSlices(DataSource):
     ``endings`` (of file names, joined by commas).
 
     ``newlines``: those that start a line within the range, the first line of a
-    file not counted; 0 for files that are not cut, which are not opened here.
+    file not counted; 0 for files that are not cut, which are not opened here. Ranges
+    of block gzip files begin at a member, and ``text_bytes`` is the size of their text; a line
+    that starts right after it is theirs too.
     """
 
     @classmethod
@@ -88,7 +98,7 @@ class SliceReader(DataSourceReader):
             if f.type != fs.FileType.File or not f.path.lower().endswith(self.endings):
                 continue
             cuts = [0]
-            if self.split_bytes and not f.path.lower().endswith(".gz"):
+            if self.split_bytes:
                 cuts = list(range(0, f.size, self.split_bytes)) or cuts
             out += [Slice(prefix + f.path, self.root, f.path, a, b) for a, b in zip(cuts, [*cuts[1:], None])]
         return out or [Slice("", "", "", 0, 0)]
@@ -96,8 +106,12 @@ class SliceReader(DataSourceReader):
     def read(self, part: Slice) -> Iterator[tuple]:
         if not part.file:
             return
+        cut = part.start or part.stop is not None
+        if cut and part.path.lower().endswith(".gz"):
+            yield from self._members(part)
+            return
         n = 0
-        if part.start or part.stop is not None:
+        if cut:
             with _opened(part.root, part.path) as handle:
                 # a newline at byte p starts a line at p + 1
                 at = max(part.start - 1, 0)
@@ -106,7 +120,27 @@ class SliceReader(DataSourceReader):
                 while left > 0 and (block := handle.read(int(min(BLOCK, left)))):
                     n += block.count(b"\n")
                     left -= len(block)
-        yield part.file, part.root, part.path, part.start, part.stop, n
+        yield part.file, part.root, part.path, part.start, part.stop, None, n
+
+    def _members(self, part: Slice) -> Iterator[tuple]:
+        """The members that start in the range; for other gzip files the first range stands for the whole file."""
+        with _raw(part.root, part.path) as handle:
+            if not is_blocked(handle):
+                if part.start == 0:
+                    yield part.file, part.root, part.path, 0, None, None, 0
+                return
+            size = handle.seek(0, io.SEEK_END)
+            stop = size if part.stop is None else part.stop
+            first = first_member(handle, part.start, stop, size)
+            if first is None:
+                return
+            n = text_bytes = 0
+            for at, text in members(handle, first):
+                if at >= stop:
+                    break
+                n += text.count(b"\n")
+                text_bytes += len(text)
+            yield part.file, part.root, part.path, first, stop, text_bytes, n
 
 
 def _blocks(handle: io.BufferedReader, start: int, stop: int | None, first_line: int, lines: int) -> Iterator[tuple[int, bytes]]:
@@ -165,8 +199,15 @@ def _reads(lines: int, first_reads: int | None):
     def read(batches):
         for batch in batches:
             for s in batch.to_pylist():
-                with _opened(s["root"], s["path"]) as handle:
-                    for record, block in _blocks(handle, s["start"], s["stop"], s["first_line"], lines):
+                start, stop, n_text = s["start"], s["stop"], s["text_bytes"]
+                if n_text is None:
+                    handle = _opened(s["root"], s["path"])
+                else:
+                    # the text of the members, as a range that begins after its first byte, but for a file's first
+                    handle = io.BufferedReader(MemberStream(_raw(s["root"], s["path"]), start), 1 << 20)
+                    start, stop = min(start, 1), n_text + 1
+                with handle:
+                    for record, block in _blocks(handle, start, stop, s["first_line"], lines):
                         columns = _columns(block, lines)
                         n = len(columns[0])
                         if first_reads is not None:
@@ -189,7 +230,7 @@ def read_fastq(
     ``read_no`` is 0-based within the file. Lines lose their line end only;
     bytes that are no UTF-8 become replacement marks; lines that a cut-off last
     record lacks are empty. The ranges are listed, and counted where a file has
-    several, when this is called; the reads are never shuffled. With
+    several, when this is called; the reads are never shuffled. Block gzip files are split like plain ones. With
     ``first_reads`` each file is read from its start and left after that many.
     """
     spark.dataSource.register(FastqSlices)
