@@ -1,17 +1,24 @@
 """Genomic-interval operators: overlap by bins, counted per fragment.
 
 Spark has no range join, so both sides are cut into fixed bins of the genome
-and joined on (chromosome, bin). Features of a checked size are broadcast.
+and joined on (chromosome, bin). Bins come in levels, each ``FAN`` times as wide as
+the one below: a feature stands in the bins of the lowest level of which it
+covers a few, so one of a million bases is no more rows than one of a hundred, and a read asks its bins of
+every level that has features. Features of a checked size are broadcast.
 Beyond it, a third of all reads may sit on one gene, so the reads also carry a
 salt and each feature is repeated once per salt.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from readloom import constants as K
+from readloom.session import written
 
 
 def bin_of(position: Column, width: int) -> Column:
@@ -35,11 +42,79 @@ def bin_width(features: DataFrame, share: float = 0.95, floor: int = 1) -> int:
     return max(int(length or 0), floor)
 
 
-def _prepared(features: DataFrame, width: int, columns: list[str]) -> DataFrame:
+#: A level's bins are so many times as wide as those of the level below; a feature covers ``FAN + 1`` of its level at most.
+FAN = 8
+
+
+@dataclass(frozen=True)
+class Layout:
+    """Bin widths, one per level, rising; and bytes that the binned features take at most, if measured."""
+
+    widths: tuple[int, ...]
+    bytes: int | None = None
+
+    def keys(self, start: Column, end: Column) -> Column:
+        """The bins of an interval on every level; a key holds bin and level."""
+        each = [self._keyed(bins(start, end, w), k) for k, w in enumerate(self.widths)]
+        return each[0] if len(each) == 1 else F.flatten(F.array(*each))
+
+    def _keyed(self, numbers: Column, k: int) -> Column:
+        n = len(self.widths)
+        return numbers if n == 1 else F.transform(numbers, lambda b: b * n + k)
+
+    def level(self, start: Column, end: Column) -> Column:
+        """The lowest level of which the interval covers ``FAN + 1`` bins at most; the highest if there is none."""
+        out = F.lit(len(self.widths) - 1)
+        for k in reversed(range(len(self.widths) - 1)):
+            out = F.when(end - start <= FAN * self.widths[k], k).otherwise(out)
+        return out
+
+    def on_level(self, level: Column, use) -> Column:
+        """``use(width, k)`` of the given level."""
+        out = use(self.widths[-1], len(self.widths) - 1)
+        for k in reversed(range(len(self.widths) - 1)):
+            out = F.when(level == k, use(self.widths[k], k)).otherwise(out)
+        return out
+
+    def feature_keys(self, start: Column, end: Column) -> Column:
+        return self.on_level(self.level(start, end), lambda w, k: self._keyed(bins(start, end, w), k))
+
+    def key_at(self, position: Column, key: Column) -> Column:
+        """The key of a position on the level of another key."""
+        n = len(self.widths)
+        return self.on_level(F.pmod(key, F.lit(n)), lambda w, k: bin_of(position, w) * n + k)
+
+
+def layout(features: DataFrame, share: float = 0.95, floor: int = 1) -> Layout:
+    """Levels for a feature table, the lowest as wide as a high percentile of feature length; and its size once binned.
+
+    One aggregate over the annotation, and one more when some features are much longer; pass the result on.
+    """
+    length = F.greatest(F.col("end") - F.col("start"), F.lit(0)).cast("bigint")
+    size = F.octet_length(F.to_json(F.struct(*features.columns))).cast("bigint")
+    r = features.agg(F.percentile_approx(length, share, 1000).alias("w"), F.max(length).alias("longest"),
+                     F.sum(size).alias("bytes"), F.sum(size * (length.cast("double"))).alias("by_length")).first()
+    width = max(int(r.w or 0), floor)
+    widths = [width]
+    while (r.longest or 0) > FAN * widths[-1]:
+        widths.append(widths[-1] * FAN)
+    if len(widths) > 1:
+        every = Layout(tuple(widths))
+        used = features.select(every.level(F.col("start"), F.col("end")).alias("k")).distinct().collect()
+        widths = [widths[x.k] for x in sorted(used)]
+    rows = min(2 + (r.by_length or 0) / width / max(r.bytes or 0, 1), FAN + 2)
+    return Layout(tuple(widths), int((r.bytes or 0) * rows))
+
+
+def as_layout(width: int | Layout) -> Layout:
+    return width if isinstance(width, Layout) else Layout((width,))
+
+
+def _prepared(features: DataFrame, levels: Layout, columns: list[str]) -> DataFrame:
     return features.select(
         F.col("chrom").alias("f_chrom"), F.col("start").alias("f_start"), F.col("end").alias("f_end"),
         *[F.col(c).alias(f"f_{c}") for c in columns],
-        F.explode(bins(F.col("start"), F.col("end"), width)).alias("f_bin"),
+        F.explode(levels.feature_keys(F.col("start"), F.col("end"))).alias("f_bin"),
     )
 
 
@@ -49,10 +124,10 @@ BROADCAST_BYTES = 64 << 20
 BIN_ROWS = 2_000_000
 
 
-def _binned_bytes(features: DataFrame, width: int) -> int:
+def _binned_bytes(features: DataFrame, levels: Layout) -> int:
     """Bytes of the features as text, each counted once per bin: one aggregate over the annotation."""
     size = F.octet_length(F.to_json(F.struct(*features.columns)))
-    return features.agg(F.sum(size.cast("bigint") * F.size(bins(F.col("start"), F.col("end"), width)))).first()[0] or 0
+    return features.agg(F.sum(size.cast("bigint") * F.size(levels.feature_keys(F.col("start"), F.col("end"))))).first()[0] or 0
 
 
 def _salts_for(left: DataFrame) -> int:
@@ -65,7 +140,7 @@ def overlap_join(
     reads: DataFrame,
     features: DataFrame,
     feature_columns: list[str],
-    width: int,
+    width: int | Layout,
     salts: int | None = None,
     key: list[str] | None = None,
     strand: int = 0,
@@ -73,20 +148,21 @@ def overlap_join(
 ) -> DataFrame:
     """Reads with the features they overlap (half-open).
 
-    ``how="inner"`` gives every pair exactly once: a pair counts in the bin of
+    ``width``: the ``layout`` of the features, or one bin width for all. ``how="inner"`` gives every pair exactly once: a pair counts in the bin of
     the larger start. ``how="left"`` may repeat a pair over bins and keeps
     reads without a feature; aggregate it with idempotent functions.
     ``strand``: 0 ignores strands, 1 wants the same, 2 the opposite.
 
-    Features are measured when this is called. Up to ``BROADCAST_BYTES`` they
+    Features are measured when this is called, unless their layout knows their size. Up to ``BROADCAST_BYTES`` they
     are broadcast and no read moves. Beyond, or when ``salts`` is given, both
     sides are shuffled by bin and salt; without a number the fullest bin is
     counted and gives it.
     """
     key = key or ["fragment_id"]
-    left = reads.withColumn("_bin", F.explode(bins(F.col("start"), F.col("end"), width)))
+    levels = as_layout(width)
+    left = reads.withColumn("_bin", F.explode(levels.keys(F.col("start"), F.col("end"))))
     columns = list(dict.fromkeys([*feature_columns, *(["strand"] if strand else [])]))
-    right = _prepared(features, width, columns)
+    right = _prepared(features, levels, columns)
     on = (
         (F.col("chrom") == F.col("f_chrom")) & (F.col("_bin") == F.col("f_bin"))
         & (F.col("start") < F.col("f_end")) & (F.col("f_start") < F.col("end"))
@@ -95,7 +171,10 @@ def overlap_join(
         on = on & (F.col("strand") == F.col("f_strand"))
     elif strand == 2:
         on = on & (F.col("strand") != F.col("f_strand"))
-    if salts is None and _binned_bytes(features.select("chrom", "start", "end", *columns), width) <= BROADCAST_BYTES:
+    size = levels.bytes
+    if salts is None and size is None:
+        size = _binned_bytes(features.select("chrom", "start", "end", *columns), levels)
+    if salts is None and size <= BROADCAST_BYTES:
         right = F.broadcast(right)
     else:
         salts = salts or _salts_for(left)
@@ -105,7 +184,7 @@ def overlap_join(
     joined = left.join(right, on, how)
     if how == "inner":
         joined = joined.where(
-            F.col("_bin") == bin_of(F.greatest(F.col("start"), F.col("f_start")), width))
+            F.col("_bin") == levels.key_at(F.greatest(F.col("start"), F.col("f_start")), F.col("_bin")))
     return joined.drop("_bin", "_salt", "f_bin", "f_salt", "f_chrom")
 
 
@@ -124,7 +203,7 @@ def gene_codes(features: DataFrame) -> DataFrame:
 def assign_fragments(
     alignments: DataFrame,
     exons: DataFrame,
-    width: int,
+    width: int | Layout,
     strand: int = 0,
     salts: int | None = None,
 ) -> DataFrame:
@@ -177,7 +256,7 @@ def count_with_summary(assigned: DataFrame, exons: DataFrame) -> DataFrame:
 
 
 def strand_fractions(
-    alignments: DataFrame, transcripts: DataFrame, width: int, salts: int | None = None
+    alignments: DataFrame, transcripts: DataFrame, width: int | Layout, salts: int | None = None
 ) -> DataFrame:
     """Per sample: share of fragments on the strand of their gene, opposite, undetermined.
 
@@ -215,16 +294,46 @@ REGION_ORDER = ["CDS_Exons", "5'UTR_Exons", "3'UTR_Exons", "Introns", "Intergeni
 EXONIC = ["CDS_Exons", "5'UTR_Exons", "3'UTR_Exons"]
 
 
+#: Regions are cut at multiples of this before they are swept, so that a chromosome is many groups.
+TILE = 1 << 20
+
+
+def flat_regions(regions: DataFrame, tile: int = TILE) -> DataFrame:
+    """Disjoint segments ``(chrom, start, end, region)``: every base that some region covers, in its best class.
+
+    A boundary sweep: starts and ends are counted per position and class; summed up along
+    a tile they say which classes are open, and a segment lasts while the best of them does.
+    """
+    rank = F.array_position(F.array(*[F.lit(r) for r in REGION_ORDER]), F.col("region")).cast("int")
+    start, end = F.col("start"), F.col("end")
+    cut = regions.select("chrom", rank.alias("rank"), "start", "end", F.explode(bins(start, end, tile)).alias("tile")).where("start < end and rank > 0")
+    low, high = F.col("tile") * tile, (F.col("tile") + 1) * tile
+    edges = F.array(F.struct(F.greatest(start, low).alias("at"), F.lit(1).alias("n")), F.struct(F.least(end, high).alias("at"), F.lit(-1).alias("n")))
+    edge = cut.select("chrom", "tile", "rank", F.explode(edges).alias("e")).select("chrom", "tile", "rank", "e.at", "e.n")
+    classes = range(1, len(REGION_ORDER) + 1)
+    met = edge.groupBy("chrom", "tile", "at").agg(*[F.sum(F.when(F.col("rank") == k, F.col("n")).otherwise(0)).alias(f"n{k}") for k in classes])
+    along = W.partitionBy("chrom", "tile").orderBy("at")
+    opened = [F.when(F.sum(f"n{k}").over(along) > 0, k) for k in classes]
+    best = met.select("chrom", "tile", "at", F.coalesce(*opened).alias("best"))
+    turns = best.withColumn("before", F.lag("best").over(along)).where(~F.col("best").eqNullSafe(F.col("before")))
+    spans = turns.withColumn("until", F.lead("at").over(along)).where("best is not null")
+    name = F.element_at(F.array(*[F.lit(r) for r in REGION_ORDER]), F.col("best"))
+    return spans.select("chrom", F.col("at").alias("start"), F.col("until").alias("end"), name.alias("region"))
+
+
 def read_regions(
-    alignments: DataFrame, regions: DataFrame, width: int, salts: int | None = None
+    alignments: DataFrame, regions: DataFrame, width: int | Layout | None = None, salts: int | None = None, flat: bool = True
 ) -> DataFrame:
     """``(sample_id, region, tags)``: every fragment in its best region class.
 
-    ``regions(chrom, start, end, region)``; fragments outside all are Intergenic.
+    ``regions(chrom, start, end, region)``; fragments outside all are Intergenic. The regions are flattened before
+    any read is joined, so a read meets each base in one class only. ``flat=False`` joins them as they are.
+    Without ``width`` the layout of what is joined is measured.
     """
     rank = F.array_position(F.array(*[F.lit(r) for r in REGION_ORDER]), F.col("f_region"))
     reads = alignments.select("sample_id", "fragment_id", "chrom", "start", "end")
-    hits = overlap_join(reads, regions, ["region"], width, salts, ["sample_id", "fragment_id"])
+    joined = written(flat_regions(regions), "flat-regions") if flat else regions
+    hits = overlap_join(reads, joined, ["region"], width if width is not None else layout(joined), salts, ["sample_id", "fragment_id"])
     best = hits.groupBy("sample_id", "fragment_id").agg(F.min(rank).alias("rank"))
     name = F.element_at(F.array(*[F.lit(r) for r in REGION_ORDER]),
                         F.coalesce(F.col("rank").cast("int"), F.lit(len(REGION_ORDER))))

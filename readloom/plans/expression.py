@@ -9,8 +9,8 @@ from readloom.operators import de as D
 from readloom.operators import intervals as I
 from readloom.plans import views as V
 from readloom.plans.catalog import register
+from readloom.session import written
 
-WIDTH = 64  # bin width for features of up to 50 bases
 
 
 
@@ -305,7 +305,8 @@ ASSIGNED = """fragments AS (
 
 
 def _assigned(spark, sf, strand=0):
-    return I.assign_fragments(V.alignments(spark, sf), V.exons(spark, sf), WIDTH, strand)
+    exons = V.exons(spark, sf)
+    return I.assign_fragments(V.alignments(spark, sf), exons, I.layout(exons), strand)
 
 
 @register("count_features", "hits", f"""WITH {ASSIGNED.format(where='')}
@@ -343,7 +344,8 @@ STRAND = """fractions AS (SELECT sample_id, count(*) n_fragments, CAST(count(*)
 @register("strandedness", "hits", f"""WITH {STRAND} SELECT *, CASE WHEN undetermined > CAST(0.75 AS DOUBLE)
     OR (forward < CAST(0.6 AS DOUBLE) AND reverse < CAST(0.6 AS DOUBLE)) THEN 0 WHEN forward >= CAST(0.6 AS DOUBLE) THEN 1 ELSE 2 END strandedness FROM fractions""")
 def _(spark, sf):
-    rows = I.strand_fractions(V.alignments(spark, sf), V.exons(spark, sf), WIDTH)
+    exons = V.exons(spark, sf)
+    rows = I.strand_fractions(V.alignments(spark, sf), exons, I.layout(exons))
     return rows.withColumn("strandedness", I.strandedness(
         F.col("undetermined"), F.col("forward"), F.col("reverse")))
 
@@ -358,13 +360,39 @@ REGIONS = """tags AS (SELECT sample_id, fragment_id, min(CASE region WHEN 'CDS_E
       round(CAST(100 * count(*) FILTER (r < 4) AS DOUBLE) / count(*), 1) exon_pct,
       round(CAST(100 * (count(*) - count(*) FILTER (r < 5)) AS DOUBLE) / count(*), 1) intergenic_pct FROM tags GROUP BY 1)""")
 def _(spark, sf):
-    return I.read_distribution(I.read_regions(V.alignments(spark, sf), V.exons(spark, sf), WIDTH))
+    return I.read_distribution(I.read_regions(V.alignments(spark, sf), V.exons(spark, sf)))
+
+
+# One base a row: the class of every base that some region covers.
+@register("region_bases", "exons", """SELECT chrom, region, count(*) bases FROM (
+    SELECT chrom, base, arg_min(region, CASE region WHEN 'CDS_Exons' THEN 1 WHEN '5''UTR_Exons' THEN 2 WHEN '3''UTR_Exons' THEN 3 ELSE 4 END) region
+    FROM (SELECT chrom, region, unnest(range("start", "end")) base FROM exons) GROUP BY 1, 2) GROUP BY 1, 2""")
+def _(spark, sf):
+    # small tiles, so that segments are cut and added up
+    flat = I.flat_regions(V.exons(spark, sf), 1000)
+    return flat.groupBy("chrom", "region").agg(F.sum(F.col("end") - F.col("start")).alias("bases"))
+
+
+# Exons, and the whole span of each gene on its chromosome: features of very different length.
+SPANS = """features AS (SELECT gene_id, chrom, "start", "end" FROM exons UNION ALL
+    SELECT 'span of ' || gene_id, chrom, min("start"), max("end") FROM exons GROUP BY gene_id, chrom)"""
+
+
+@register("count_gene_spans", "alignments exons", f"""WITH {SPANS} SELECT f.gene_id, count(*) pairs, count(DISTINCT a.fragment_id) fragments
+    FROM alignments a JOIN features f ON a.chrom = f.chrom AND a."start" < f."end" AND f."start" < a."end" GROUP BY 1""")
+def _(spark, sf):
+    exons = V.exons(spark, sf).select("gene_id", "chrom", "start", "end")
+    spans = exons.groupBy(F.concat(F.lit("span of "), "gene_id").alias("gene_id"), "chrom").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    features = written(exons.unionByName(spans), "gene-spans")
+    pairs = I.overlap_join(V.alignments(spark, sf), features, ["gene_id"], I.layout(features), how="inner")
+    return pairs.groupBy(F.col("f_gene_id").alias("gene_id")).agg(F.count("*").alias("pairs"), F.countDistinct("fragment_id").alias("fragments"))
 
 
 @register("overlap_pairs", "alignments exons", """SELECT a.sample_id, e.gene_id, count(*) n FROM alignments a JOIN exons e
     ON a.chrom = e.chrom AND a."start" < e."end" AND e."start" < a."end" GROUP BY 1, 2""")
 def _(spark, sf):
-    pairs = I.overlap_join(V.alignments(spark, sf), V.exons(spark, sf), ["gene_id"], WIDTH, how="inner")
+    exons = V.exons(spark, sf)
+    pairs = I.overlap_join(V.alignments(spark, sf), exons, ["gene_id"], I.layout(exons), how="inner")
     return pairs.groupBy("sample_id", F.col("f_gene_id").alias("gene_id")).agg(F.count("*").alias("n"))
 
 

@@ -51,6 +51,63 @@ def test_every_pair_once(spark, width, parts):
     assert got.count() == want
 
 
+def skewed_features(spark, rnd):
+    """Many short features and some up to the whole chromosome."""
+    exons = [(f"g{i}", rnd.choice("12"), (a := rnd.randint(-2000, 200_000)), a + rnd.choice([0, 1, 5, 20, 30]), rnd.choice("+-")) for i in range(300)]
+    exons += [(f"long{i}", rnd.choice("12"), (a := rnd.randint(-2000, 100_000)), a + rnd.choice([200, 3000, 40_000, 150_000]), rnd.choice("+-")) for i in range(12)]
+    return exons
+
+
+@pytest.mark.parametrize("salts", [None, 3])
+def test_long_features_stand_in_few_bins(spark, salts):
+    rnd = random.Random(8)
+    exons = skewed_features(spark, rnd)
+    reads = [("s", f"f{i}", rnd.choice("12"), (a := rnd.randint(-2500, 210_000)), a + rnd.choice([0, 1, 40, 900]), rnd.choice("+-"), 1) for i in range(1500)]
+    features, df = spark.createDataFrame(exons, EXON), spark.createDataFrame(reads, READ)
+    levels = I.layout(features)
+    assert 1 < len(levels.widths) < 8
+    kept = I._prepared(features, levels, ["gene_id"])
+    assert kept.groupBy("f_gene_id").count().agg({"count": "max"}).first()[0] <= I.FAN + 2
+    assert I._binned_bytes(features, levels) <= levels.bytes
+    want = sorted((f, g) for _, f, c, a, b, _, _ in reads for g, ec, ea, eb, _ in exons if c == ec and a < eb and ea < b)
+    got = I.overlap_join(df, features, ["gene_id"], levels, salts, how="inner")
+    assert sorted((r.fragment_id, r.f_gene_id) for r in got.collect()) == want
+    left = I.overlap_join(df, features, ["gene_id"], levels, salts)
+    assert sorted({(r.fragment_id, r.f_gene_id) for r in left.collect() if r.f_gene_id}) == sorted(set(want))
+    assert left.select("fragment_id").distinct().count() == 1500
+
+
+def test_layout_of_few_and_no_features(spark):
+    assert I.layout(spark.createDataFrame([], EXON)).widths == (1,)
+    assert I.layout(spark.createDataFrame([("x", "1", 5, 5, "+")], EXON)).widths == (1,)
+    # two lengths far apart: no level in between
+    far = [("x", "1", 0, 10, "+")] * 99 + [("y", "1", 0, 10_000_000, "+")]
+    assert len(I.layout(spark.createDataFrame(far, EXON)).widths) == 2
+
+
+@pytest.mark.parametrize("tile", [7, 100, 1 << 20])
+def test_flat_regions_by_base(spark, tile):
+    rnd = random.Random(tile)
+    regions = [(rnd.choice("12"), (a := rnd.randint(-50, 400)), a + rnd.choice([0, 1, 9, 80, 300]), rnd.choice([*I.REGION_ORDER, "else", None])) for _ in range(80)]
+    df = spark.createDataFrame(regions, "chrom string, start bigint, end bigint, region string")
+    got = I.flat_regions(df, tile).collect()
+    bases = {}
+    for r in got:
+        assert r.start < r.end
+        for p in range(r.start, r.end):
+            assert (r.chrom, p) not in bases
+            bases[r.chrom, p] = r.region
+    want = {}
+    for c, a, b, region in regions:
+        for p in range(a, b) if region in I.REGION_ORDER else ():
+            want[c, p] = min(want.get((c, p), region), region, key=I.REGION_ORDER.index)
+    assert bases == want
+    reads = [("s", f"f{i}", rnd.choice("12"), (a := rnd.randint(-60, 800)), a + rnd.choice([1, 20, 90]), "+", 1) for i in range(300)]
+    known = df.where("region <> 'else' and start < end")
+    flat, plain = (I.read_regions(spark.createDataFrame(reads, READ), known, flat=f).collect() for f in (True, False))
+    assert sorted(flat) == sorted(plain)
+
+
 def test_touching_is_not_overlap(spark):
     reads = spark.createDataFrame([("s", "f", "1", 0, 10, "+", 1), ("s", "g", "1", 0, 11, "+", 1)], READ)
     exons = spark.createDataFrame([("x", "1", 10, 20, "+")], EXON)
