@@ -10,7 +10,8 @@ from readloom.operators import project as P
 from readloom.operators import sample_qc as Q
 from readloom.plans import views as V
 from readloom.plans.catalog import register
-from readloom.session import written
+from readloom.session import scratch_path, written
+from readloom.sinks import writers as K
 from readloom.sources import fastqc, logs, matrix
 from readloom.sources.documents import ISSUES, manifest_metadata_long
 from readloom.sources.text import lines_of
@@ -164,6 +165,30 @@ def _(spark, sf):
         F.count_if(F.col("count") > 0).alias("detected"))
 
 
+MATRIX = """matrix AS (SELECT g.gene_id, s.sample_id, coalesce(c.count, 0) count, CAST(g.gene_id AS BIGINT) no
+      FROM (SELECT DISTINCT sample_id FROM counts_long) s CROSS JOIN (SELECT DISTINCT gene_id FROM counts_long) g
+      LEFT JOIN counts_long c ON c.sample_id = s.sample_id AND c.gene_id = g.gene_id)"""
+
+
+@register("clean_matrix_round_trip", "counts_long", f"""WITH {MATRIX} SELECT gene_id, sample_id, count,
+    dense_rank() OVER (ORDER BY no DESC) row FROM matrix""")
+def _(spark, sf):
+    # rows in an order that is not that of the ids, kept by one file
+    target = scratch_path(spark, "matrix")
+    counts = V.counts_long(spark, sf).withColumn("no", -F.col("gene_id").cast("bigint"))
+    K.write_clean_matrix(counts, None, target, files=1, order="no")
+    return matrix.read_clean_counts(spark, target, numbered=True)
+
+
+@register("clean_matrix_files", "counts_long", f"""WITH {MATRIX} SELECT sample_id, count(*) n_genes, CAST(sum(count) AS BIGINT) total,
+    count(*) FILTER (count = 0) zeros FROM matrix GROUP BY 1""")
+def _(spark, sf):
+    target = scratch_path(spark, "matrix-files")
+    K.write_clean_matrix(V.counts_long(spark, sf), V.counts_long(spark, sf), target, files=7)
+    return matrix.read_clean_counts(spark, target).groupBy("sample_id").agg(
+        F.count("*").alias("n_genes"), F.sum("count").alias("total"), F.count_if(F.col("count") == 0).alias("zeros"))
+
+
 @register("manifest_json_round_trip", "sheet judged", """
     SELECT sample_id, axis, value FROM (SELECT sample_id, unnest(['condition', 'genome_build']) axis, unnest([condition, genome_build]) AS value FROM sheet)
     WHERE value <> '' AND sample_id IN (SELECT sample_id FROM judged)""")
