@@ -283,3 +283,27 @@ def _(spark, sf):
     SELECT run, ts, lead(ts) OVER (PARTITION BY run ORDER BY ts, event_id) next FROM run_events) WHERE next - ts > INTERVAL 720 MINUTES""")
 def _(spark, sf):
     return S.stalled_batch(V.events(spark, sf), 720)
+
+
+@register("stream_stalled", "run_events", """SELECT run, ts last_ts FROM (
+    SELECT run, ts, lead(ts) OVER (PARTITION BY run ORDER BY ts, event_id) next, max(ts) OVER () latest FROM run_events)
+    WHERE coalesce(next - ts > INTERVAL 720 MINUTES, true) AND ts + INTERVAL 720 MINUTES < latest - INTERVAL 10 MINUTES""")
+def _(spark, sf):
+    with S.rocks(spark):
+        found = S.drain(S.stalled_stream(_event_stream(spark, sf), 720), "append", "stalled")
+    return found.withColumn("last_ts", F.col("last_ts").cast("timestamp_ntz"))
+
+
+# Events that arrive in three goes, dealt by a value that has nothing to do with their time.
+@register("stream_late_rows", "run_events", """WITH gone AS (SELECT *, k * 3 // 100 batch FROM run_events),
+    marks AS (SELECT batch, count(*) n, max(ts) latest FROM gone GROUP BY 1),
+    marked AS (SELECT *, max(date_trunc('milliseconds', latest)) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL 10 MINUTES mark FROM marks)
+    SELECT batch, any_value(n) n, count(*) FILTER (date_trunc('hour', ts) + INTERVAL 1 HOUR <= mark) n_late, any_value(mark) mark
+    FROM marked JOIN gone USING (batch) GROUP BY 1""")
+def _(spark, sf):
+    folder = scratch_path(spark, "late")
+    events = V.events(spark, sf).withColumn("go", F.expr("k * 3 div 100"))
+    for go in range(3):
+        events.where(F.col("go") == go).write.mode("append").parquet(f"{folder}/in")
+        found = S.count_late(spark.readStream.schema(events.schema).parquet(f"{folder}/in"), folder, size="1 hour")
+    return found.select("batch", "n", "n_late", "mark")

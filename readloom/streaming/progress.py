@@ -8,13 +8,13 @@ batch form with the same result.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
-from pyspark.sql import types as Ty
 
 from readloom.functions.shipping import ship
 from readloom import constants as K
@@ -134,41 +134,65 @@ def stalled_batch(events: DataFrame, timeout_minutes: int) -> DataFrame:
 
 
 class StallDetector(StatefulProcessor):
-    """Keeps the last event time of a run and a timer that fires when it is silent."""
+    """Keeps the first and last event time of each timeout-sized slot of a run, and a timer for each.
+
+    A timer fires once the watermark has passed the timeout after a slot's last event; every event up to
+    then is known, in whatever order they came. The run was silent when the next slot does not begin
+    within the timeout. Timers of a slot that got a later event since are passed over. A slot goes with its
+    timer, so a run has state for the slots of the watermark's delay and the timeout only.
+    """
 
     def __init__(self, timeout_minutes: int):
         self.timeout_ms = timeout_minutes * 60_000
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.last = handle.getValueState(
-            "last", Ty.StructType([Ty.StructField("ms", Ty.LongType())]))
-
-    def _seen(self) -> int | None:
-        return self.last.get()[0] if self.last.exists() else None
+        self.slots = handle.getMapState("slots", "slot long", "first long, last long")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        newest = max((int(pd.to_datetime(r["ts"]).max().timestamp() * 1000) for r in rows), default=None)
-        seen = self._seen()
-        if newest is not None and (seen is None or newest > seen):
-            for timer in list(self.handle.listTimers()):
-                self.handle.deleteTimer(timer)
-            self.last.update((newest,))
-            self.handle.registerTimer(newest + self.timeout_ms)
-        yield pd.DataFrame({"run": pd.Series([], dtype=str), "last_ts": pd.Series([], dtype="datetime64[ns]")})
+        for part in rows:
+            micros = part["ts"].astype("datetime64[us, UTC]" if part["ts"].dt.tz is not None else "datetime64[us]").astype("int64")
+            for slot, times in micros.groupby(micros // (self.timeout_ms * 1000)):
+                at, first, last = (int(slot),), int(times.min()), int(times.max())
+                known = self.slots.getValue(at) if self.slots.containsKey(at) else None
+                if known:
+                    first = min(first, known[0])
+                if known is None or last > known[1]:
+                    self.handle.registerTimer(last // 1000 + self.timeout_ms + 1)
+                self.slots.updateValue(at, (first, max(last, known[1]) if known else last))
+        yield _no_stalls()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        seen = self._seen()
-        yield pd.DataFrame({"run": [key[0]], "last_ts": [pd.Timestamp(seen, unit="ms")]})
+        ms = expiredTimerInfo.getExpiryTimeInMs() - self.timeout_ms - 1
+        slot = ms // self.timeout_ms
+        last = self.slots.getValue((slot,))[1] if self.slots.containsKey((slot,)) else None
+        if last is None or last // 1000 != ms:
+            yield _no_stalls()
+            return
+        after = self.slots.getValue((slot + 1,))[0] if self.slots.containsKey((slot + 1,)) else None
+        self.slots.removeKey((slot,))
+        if after is not None and after - last <= self.timeout_ms * 1000:
+            yield _no_stalls()
+        else:
+            yield pd.DataFrame({"run": [key[0]], "last_ts": [pd.Timestamp(last, unit="us")]})
 
     def close(self) -> None:
         pass
 
 
+def _no_stalls() -> pd.DataFrame:
+    return pd.DataFrame({"run": pd.Series([], dtype=str), "last_ts": pd.Series([], dtype="datetime64[us]")})
+
+
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def stalled_stream(events: DataFrame, timeout_minutes: int, watermark: str = WATERMARK) -> DataFrame:
-    """Runs that fell silent, told as soon as the watermark passes the timeout.
+    """``(run, last_ts)`` of every silence longer than the timeout, told once, as soon as the watermark passes it.
 
-    Needs the RocksDB state store: set ``spark.sql.streaming.stateStore.providerClass``.
+    Also a run's last event counts, when the watermark gets that far. Events that come later than the watermark are left out.
+    Needs the RocksDB state store (``rocks`` sets it for a while).
     """
     timed = events.select("run", F.col("ts").cast("timestamp").alias("ts")).withWatermark("ts", watermark)
     return timed.groupBy("run").transformWithStateInPandas(
@@ -179,8 +203,55 @@ def stalled_stream(events: DataFrame, timeout_minutes: int, watermark: str = WAT
     )
 
 
+@contextmanager
+def rocks(spark: SparkSession):
+    """Streams started inside keep their state in RocksDB."""
+    before = spark.conf.get(STATE_STORE, None)
+    spark.conf.set(STATE_STORE, ROCKS)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(STATE_STORE)
+        else:
+            spark.conf.set(STATE_STORE, before)
+
+
+def count_late(events: DataFrame, folder: str, watermark: str = WATERMARK, size: str | None = None) -> DataFrame:
+    """``(batch, n, n_late, max_ts, mark)`` of every batch so far, after a run over what is there now.
+
+    A row is late when its time (with ``size``: the end of its window) is not after the mark, which is the greatest
+    time of all earlier batches, in whole milliseconds, less the watermark's delay: Spark's own rule. The counts are
+    data: each batch writes its row under its number, so a batch that is run again replaces it, and a later call with
+    the same folder goes on with the same marks.
+    """
+    spark = events.sparkSession
+    target, progress = f"{folder}/late", f"{folder}/progress"
+    schema = "n long, n_late long, max_ms long, mark_ms long, batch long"
+    delay = F.unix_millis(F.lit("1970-01-01 00:00:00").cast("timestamp") + F.expr(f"interval {watermark}"))
+
+    def counted(batch: DataFrame, number: int) -> None:
+        before = spark.read.schema(schema).parquet(target).where(F.col("batch") < number) if number else None
+        mark = before.agg((F.max("max_ms") - delay).alias("mark_ms")) if before is not None else spark.range(1).select(F.lit(None).cast("long").alias("mark_ms"))
+        ts = F.col("ts").cast("timestamp")
+        end = F.unix_micros(F.window(ts, size)["end"] if size else ts)
+        row = batch.withColumn("_end", end).crossJoin(F.broadcast(mark)).agg(  # one row
+            F.count("*").alias("n"), F.count_if(F.coalesce(F.col("_end") <= F.col("mark_ms") * 1000, F.lit(False))).alias("n_late"),
+            F.unix_millis(F.max(ts)).alias("max_ms"), F.max("mark_ms").alias("mark_ms"))
+        row.write.mode("overwrite").parquet(f"{target}/batch={number}")
+
+    query = events.writeStream.option("checkpointLocation", progress).trigger(availableNow=True).foreachBatch(counted).start()
+    query.awaitTermination()
+    rows = spark.read.schema(schema).parquet(target)
+
+    def at(c):
+        return F.timestamp_millis(c).cast("timestamp_ntz")
+
+    return rows.select("batch", "n", "n_late", at("max_ms").alias("max_ts"), at("mark_ms").alias("mark"))
+
+
 def late_rows(query: StreamingQuery) -> int:
-    """Rows a query dropped as later than its watermark, over its recent batches."""
+    """Rows a query dropped as later than its watermark, over its recent batches; ``count_late`` counts all of them."""
     return sum(
         op.numRowsDroppedByWatermark for p in query.recentProgress for op in p.stateOperators)
 

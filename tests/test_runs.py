@@ -2,6 +2,7 @@
 
 import gzip
 import json
+import random
 import time
 
 import pytest
@@ -149,3 +150,68 @@ def test_sinks(spark, tmp_path, rows):
     assert rows(spark.read.option("sep", "\t").option("header", "true").csv(str(tmp_path / "tsv"))) == rows(docs)
     K.write_findings(docs, str(tmp_path / "p"), ["status"])
     assert spark.read.parquet(str(tmp_path / "p")).count() == 2
+
+
+def silences(data, timeout, mark):
+    """Every time of a run with nothing in the timeout after it, as far as the mark tells."""
+    out, runs = [], {}
+    for run, t in data:
+        runs.setdefault(run, set()).add(t)
+    for run, times in runs.items():
+        times = sorted(times)
+        for a, b in zip(times, [*times[1:], None]):
+            if a + timeout < mark and (b is None or b - a > timeout):
+                out.append((run, a))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("cuts", [[], [500], [100, 350, 351, 800]])
+def test_stalled_stream_equals_batch_in_any_order(spark, tmp_path, cuts):
+    rnd = random.Random(len(cuts))
+    # seconds; within a go events come in any order, and overlap the next go by less than the watermark
+    data = sorted({(f"r{rnd.randint(0, 9)}", rnd.choice([rnd.randint(0, 40_000), 1800 * rnd.randint(0, 20)])) for _ in range(1000)}, key=lambda x: x[1] + rnd.randint(0, 500))
+    parts = [data[a:b] for a, b in zip([0, *cuts], [*cuts, len(data)])]
+    timed = spark.createDataFrame(data, "run string, t bigint").select("run", F.timestamp_seconds("t").alias("ts"))
+    (tmp_path / "in").mkdir()
+    stream = spark.readStream.schema(timed.schema).parquet(str(tmp_path / "in"))
+    for part in parts:
+        rnd.shuffle(part)
+        spark.createDataFrame(part, "run string, t bigint").select("run", F.timestamp_seconds("t").alias("ts")).repartition(2).write.mode("append").parquet(str(tmp_path / "in"))
+        # each go is a query started anew on the state of the last
+        with S.rocks(spark):
+            got = S.drain(S.stalled_stream(stream, 30, "10 minutes"), "append", folder=str(tmp_path / "at"))
+    told = sorted((r.run, r.t) for r in got.select("run", F.unix_seconds("last_ts").alias("t")).collect())
+    assert told == silences(data, 1800, max(t for _, t in data) - 600)
+    # the batch form knows every silence that ended; the stream those that the watermark has passed
+    closed = {(r.run, r.t) for r in S.stalled_batch(timed, 30).select("run", F.unix_seconds(F.col("last_ts").cast("timestamp")).alias("t")).collect()}
+    assert {(r, t) for r, t in closed if t + 1800 < max(x for _, x in data) - 600} <= set(told) and all(t == max(x for r, x in data if r == run) for run, t in set(told) - closed)
+
+
+def test_late_rows_as_data_over_restarts(spark, tmp_path):
+    folder = str(tmp_path / "at")
+    goes = [[100, 200, 3700.0015], [3000, 2999, 3099, 3100.001, 5000], [], [4399, 4400, 4401, 4400.0, 9999], [9399.5]]
+    schema = spark.createDataFrame([], "ts timestamp, rule string").schema
+    (tmp_path / "in").mkdir()
+    stream = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
+    for go in goes:
+        spark.createDataFrame([(t,) for t in map(float, go)], "t double").select(
+            F.timestamp_micros((F.col("t") * 1_000_000).cast("bigint")).alias("ts"), F.lit("x").alias("rule")).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        got = S.count_late(stream, folder, "10 minutes")
+    rows = [(r.n, r.n_late) for r in got.orderBy("batch").collect() if r.n]
+    # marks: none, 3700.001 - 600 = 3100.001, 5000 - 600 = 4400, 9999 - 600 = 9399
+    assert rows == [(3, 0), (5, 4), (5, 3), (1, 0)]
+    # a batch that is run again replaces its row
+    before = sorted(map(tuple, got.collect()), key=repr)
+    assert sorted(map(tuple, S.count_late(stream, folder, "10 minutes").collect()), key=repr) == before
+
+
+def test_late_rows_follow_sparks_own_rule(spark, tmp_path):
+    batch = events(spark).withColumn("rule", F.concat("rule", F.col("event_id").cast("string")))  # nothing is combined before the state
+    for part in ("event_id between 150 and 249", "event_id >= 250", "event_id < 60"):
+        batch.where(part).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema(batch.schema).parquet(str(tmp_path / "in"))
+        own = []
+        S.drain(S.stage_windows(stream, "1 hour", watermark="1 minute"), "append", folder=str(tmp_path / "own"), on_end=lambda q: own.append(S.late_rows(q)))
+        got = S.count_late(stream, str(tmp_path / "late"), "1 minute", "1 hour").orderBy("batch").collect()[-1]
+        assert got.n_late == own[0]
+    assert got.n_late == 60
