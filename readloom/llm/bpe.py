@@ -14,7 +14,8 @@ repeat and carry any further columns.
 
 from __future__ import annotations
 
-import unicodedata
+import hashlib
+import re
 from array import array
 
 import ahocorasick
@@ -27,7 +28,7 @@ from pyspark.sql import types as T
 
 from readloom.functions.shipping import ship
 from readloom.llm import merges
-from readloom.llm.merges import Vocabulary, byte_letters
+from readloom.llm.merges import Vocabulary, byte_letters, kind
 
 KEPT_WORDS = 250_000
 KEPT_PAIRS = 500_000
@@ -54,7 +55,7 @@ class Encoder(dict):
         self.automaton.make_automaton()
         self.size = {i: len(t) for t, i in vocabulary.ids.items()}
         self.split = regex.compile("|".join(regex.escape(s) for s in vocabulary.specials)) if vocabulary.specials else None
-        self.plain, self.full, self.rare = word_rules()
+        self.near, self.far = word_rules()
 
     def __missing__(self, word: str) -> bytes:
         found = self.older.get(word)
@@ -103,45 +104,88 @@ class Encoder(dict):
         found = self.pairs[key] = self.v.compatible(self.spelled[left], self.spelled[right])
         return found
 
+    def words(self, text: str) -> list[str]:
+        """The words of a text without special strings."""
+        # two bytes a character: none lies beyond the first 65536 code points
+        rule = self.near if text.isascii() or len(text.encode("utf-16-le")) == 2 * len(text) else self.far
+        return rule.findall(text)
+
+    def parts(self, text: str):
+        """``(text, id)``: stretches of a text up to a special string, and its id; none after the last."""
+        at = 0
+        if self.split is not None:
+            for m in self.split.finditer(text):
+                yield text[at:m.start()], self.v.specials[m.group()]
+                at = m.end()
+        yield text[at:], None
+
     def encode(self, text: str) -> np.ndarray:
-        if self.split is None or not self.split.search(text):
-            return np.frombuffer(self._plain(text), "i4")
-        parts, at = [], 0
-        for m in self.split.finditer(text):
-            parts += [self._plain(text[at:m.start()]), array("i", [self.v.specials[m.group()]]).tobytes()]
-            at = m.end()
-        return np.frombuffer(b"".join([*parts, self._plain(text[at:])]), "i4")
-
-    def _plain(self, text: str) -> bytes:
-        rule = self.plain if len(text.encode("latin-1", "ignore")) == len(text) or not self.rare.search(text) else self.full
-        return b"".join(map(self.__getitem__, rule.findall(text)))
+        found = []
+        for part, special in self.parts(text):
+            found += map(self.__getitem__, self.words(part))
+            if special is not None:
+                found.append(array("i", [special]).tobytes())
+        return np.frombuffer(b"".join(found), "i4")
 
     def decode(self, ids) -> str:
         return b"".join(map(self.v.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
 
 
+class Decoder(dict):
+    """Ids of a word (as int32 bytes) -> their number, decimals joined by commas, and the bytes they stand for; fills itself, bounded."""
+
+    def __init__(self, vocabulary: Vocabulary, kept: int = KEPT_WORDS):
+        self.bytes_of, self.kept = vocabulary.bytes_of, kept
+
+    def __missing__(self, packed: bytes) -> tuple[int, bytes, bytes]:
+        ids = array("i", packed).tolist()
+        found = len(ids), ",".join(map(str, ids)).encode(), b"".join(map(self.bytes_of.__getitem__, ids))
+        if len(packed) <= 4 * LONGEST_KEPT:
+            if len(self) >= self.kept:
+                self.clear()
+            self[packed] = found
+        return found
+
+
+class Codec:
+    """Encodes texts and decodes their ids again, word by word: both are joins of what their words give."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        self.encoder, self.decoder = vocabulary.once(Encoder), vocabulary.once(Decoder)
+
+    def both(self, text: str) -> tuple[list[bytes], list[tuple[int, bytes, bytes]]]:
+        """The ids of each word, and what ``Decoder`` says of them."""
+        e, packed = self.encoder, []
+        for part, special in e.parts(text):
+            packed += map(e.__getitem__, e.words(part))
+            if special is not None:
+                packed.append(array("i", [special]).tobytes())
+        return packed, list(map(self.decoder.__getitem__, packed))
+
+
 def word_rules() -> tuple:
-    """The word rule of byte-level vocabularies, as it is for texts without and with ``rare`` code points.
+    """The word rule of byte-level vocabularies, for texts of the first 65536 code points and for any text.
 
-    Letters and numbers are those of ``unicodedata``; rare ones, which only the
-    regex library knows yet, count as others.
+    Classes are those of ``kind``. In the first rule they are spelt out, as the standard
+    library looks such a class up in a table; the second takes the regex library's, but for
+    letters and numbers that only it knows, which count as others.
     """
+    space, letter, number = ("".join(f"\\u{a:04x}-\\u{b:04x}" for a, b in _runs(range(0x10000), lambda c, k=k: kind(chr(c)) == k)) for k in "SLN")
+    near = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{letter}]+| ?[{number}]+| ?[^{space}{letter}{number}]+|[{space}]+(?![^{space}])|[{space}]+")
     known = regex.compile(r"[\p{L}\p{N}]")
-    runs: list[list[int]] = []
-    for c in range(128, 0x110000):
-        if not 0xD800 <= c < 0xE000 and unicodedata.category(chr(c)) == "Cn" and known.match(chr(c)):
-            if runs and runs[-1][1] == c - 1:
-                runs[-1][1] = c
-            else:
-                runs.append([c, c])
-    new = "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in runs) or "\\U0010ffff"
+    new = _runs(range(128, 0x110000), lambda c: known.match(chr(c)) and kind(chr(c)) == "O")
+    new = "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in new) or "\\U0010ffff"
+    return near, regex.compile(
+        rf"'s|'t|'re|'ve|'m|'ll|'d| ?(?:(?![{new}])\p{{L}})+| ?(?:(?![{new}])\p{{N}})+| ?(?:[{new}]|[^\s\p{{L}}\p{{N}}])+|\s+(?!\S)|\s+")
 
-    def rule(letter: str, number: str, other: str):
-        return regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?{letter}+| ?{number}+| ?{other}+|\s+(?!\S)|\s+")
 
-    return (rule(r"\p{L}", r"\p{N}", r"[^\s\p{L}\p{N}]"),
-            rule(rf"(?:(?![{new}])\p{{L}})", rf"(?:(?![{new}])\p{{N}})", rf"(?:[{new}]|[^\s\p{{L}}\p{{N}}])"),
-            regex.compile(f"[{new}]"))
+def _runs(numbers, fits) -> list[tuple[int, int]]:
+    """Runs of numbers that fit; surrogates do not count."""
+    found: list[tuple[int, int]] = []
+    for c in numbers:
+        if not 0xD800 <= c < 0xE000 and fits(c):
+            found[-1:] = [(found[-1][0], c)] if found and found[-1][1] == c - 1 else [*found[-1:], (c, c)]
+    return found
 
 
 def _slices(batch: pa.RecordBatch):
@@ -198,6 +242,50 @@ def decode_ids(df: DataFrame, vocabulary_path: str, ids: str = "ids", text: str
     return df.mapInArrow(decode, schema)
 
 
+#: What ``codes`` can give, and the types.
+CODES = {"ids": T.ArrayType(T.IntegerType(), False), "n_tokens": T.LongType(), "ids_sha256": T.StringType(), "decoded": T.StringType(),
+         "decoded_sha256": T.StringType(), "round_trip": T.BooleanType()}
+
+
+def codes(df: DataFrame, vocabulary_path: str, wanted: list[str], keep: list[str], text: str = "text") -> DataFrame:
+    """The columns ``keep`` and those ``wanted`` of ``CODES``: a text is encoded and its ids are decoded in one pass.
+
+    ``ids_sha256`` is that of the ids in decimal, joined by commas; ``round_trip`` says whether the ids decode to the
+    text. Only what is wanted leaves the Python worker, one worker per task.
+    """
+    table = df.sparkSession.sparkContext.broadcast(Vocabulary.of_file(vocabulary_path))
+    fields = [f for f in df.select(*keep).schema.fields]
+    schema = T.StructType([*fields, *(T.StructField(c, CODES[c], False) for c in wanted)])
+    spelt = bool({"decoded", "decoded_sha256", "round_trip"} & set(wanted))
+
+    def run(batches):
+        codec = table.value.once(Codec)
+        for batch in batches:
+            for part in _slices(batch):
+                out = {c: [] for c in wanted}
+                for value in part.column(part.num_columns - 1):
+                    plain = value.as_py() or ""
+                    packed, said = codec.both(plain)
+                    decoded = b"".join([x[2] for x in said]).decode("utf-8", "replace") if spelt else ""
+                    for c in wanted:
+                        if c == "ids":
+                            out[c].append(np.frombuffer(b"".join(packed), "i4"))
+                        elif c == "n_tokens":
+                            out[c].append(sum([x[0] for x in said]))
+                        elif c == "ids_sha256":
+                            out[c].append(hashlib.sha256(b",".join([x[1] for x in said])).hexdigest())
+                        elif c == "decoded":
+                            out[c].append(decoded)
+                        elif c == "decoded_sha256":
+                            out[c].append(hashlib.sha256(decoded.encode()).hexdigest())
+                        else:
+                            out[c].append(decoded == plain)
+                arrays = [_lists(v) if c == "ids" else pa.array(v, {"n_tokens": pa.int64(), "round_trip": pa.bool_()}.get(c, pa.string())) for c, v in out.items()]
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], *arrays], [*keep, *wanted])
+
+    return df.select(*keep, F.col(text).alias("_text")).mapInArrow(run, schema)
+
+
 def digests(encoded: DataFrame, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
     """``doc_id``, the number of tokens and the SHA-256 of the ids (decimal, joined by commas) and of the decoded text."""
     return encoded.select(

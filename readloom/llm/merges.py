@@ -238,12 +238,26 @@ class Matcher:
         return True
 
 
+# Letters and numbers that the tokenizers library (0.23, Unicode 16) knows beyond those of Unicode 15.1.
+NEWER_LETTERS = [
+    (0x1C89, 0x1C8A), (0xA7CB, 0xA7CD), (0xA7DA, 0xA7DC), (0x105C0, 0x105F3), (0x10D4A, 0x10D65), (0x10D6F, 0x10D85),
+    (0x10EC2, 0x10EC4), (0x11380, 0x11389), (0x1138B, 0x1138B), (0x1138E, 0x1138E), (0x11390, 0x113B5), (0x113B7, 0x113B7),
+    (0x113D1, 0x113D1), (0x113D3, 0x113D3), (0x11BC0, 0x11BE0), (0x13460, 0x143FA), (0x16100, 0x1611D), (0x16D40, 0x16D6C),
+    (0x18CFF, 0x18CFF), (0x1E5D0, 0x1E5ED), (0x1E5F0, 0x1E5F0)]
+NEWER_NUMBERS = [
+    (0x10D40, 0x10D49), (0x116D0, 0x116E3), (0x11BF0, 0x11BF9), (0x16130, 0x16139), (0x16D70, 0x16D79), (0x1CCF0, 0x1CCF9),
+    (0x1E5F1, 0x1E5FA)]
+
+
 def kind(ch: str) -> str:
-    """L letter, N number, S white space, O other."""
+    """L letter, N number, S white space, O other, as the library has them."""
     if SPACE.match(ch):
         return "S"
-    found = unicodedata.category(ch)[0]
-    return found if found in "LN" else "O"
+    found = unicodedata.category(ch)
+    if found == "Cn":
+        c = ord(ch)
+        return next((k for k, runs in (("L", NEWER_LETTERS), ("N", NEWER_NUMBERS)) if any(a <= c <= b for a, b in runs)), "O")
+    return found[0] if found[0] in "LN" else "O"
 
 
 SPACE = regex.compile(r"\s")

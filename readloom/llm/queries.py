@@ -43,9 +43,8 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from readloom.llm import bpe
 
-    path = vocabulary_path()
-    encoded = bpe.encode_texts(table(spark, sf_dir, "documents").select("doc_id", "text"), path)
-    return bpe.digests(bpe.decode_ids(encoded.drop("text"), path))
+    docs = table(spark, sf_dir, "documents")
+    return bpe.codes(docs, vocabulary_path(), ["n_tokens", "ids_sha256", "decoded_sha256"], ["doc_id"])
 
 
 @register("op3_decontamination")

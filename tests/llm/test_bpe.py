@@ -4,12 +4,13 @@ import hashlib
 import random
 
 import pytest
+import regex
 from pyspark.sql import Row
 
 tokenizers = pytest.importorskip("tokenizers")
 pytest.importorskip("ahocorasick")
 
-from readloom.llm import bpe, queries, token_counts  # noqa: E402
+from readloom.llm import bpe, merges, queries, token_counts  # noqa: E402
 from readloom.llm.merges import Matcher, Vocabulary  # noqa: E402
 
 PIECES = ["a", "b", "the", " ", "  ", "\n", "\t", "\r", "'", "'s", "'re", "'r", "'ll", "'l", "'v", "'d", "'t", "1",
@@ -75,6 +76,42 @@ def test_every_code_point_has_the_librarys_class(vocabulary, library):
         assert counter.of_text(t) == len(ids), hex(low)
 
 
+def test_endings_after_every_code_point(vocabulary, library):
+    """After a letter or number an apostrophe opens an ending; after another character it does not. Newer letters too."""
+    encoder, counter = bpe.Encoder(vocabulary), token_counts.Transducer(vocabulary)
+    step = 64
+    for low in range(0, 0x110000, step):
+        chars = [chr(c) for c in range(low, low + step) if not 0xD800 <= c < 0xE000]
+        if low > 0x33480 and not any(merges.kind(c) in "LN" or regex.match(r"[\p{L}\p{N}]", c) for c in chars) and low % 0x4000:
+            continue  # planes without letters: one step in 256
+        for t in ("".join(f"{c}'re" for c in chars), "".join(f" {c}'re!a{c}1" for c in chars)):
+            ids = want(library, t)
+            assert encoder.encode(t).tolist() == ids, hex(low)
+            assert counter.of_text(t) == len(ids), hex(low)
+
+
+def test_both_rules_give_the_same_words(vocabulary):
+    encoder = bpe.Encoder(vocabulary)
+    for t in texts(3000, 11):
+        assert encoder.far.findall(t) == encoder.words(t)
+        if all(ord(c) < 0x10000 for c in t):
+            assert encoder.near.findall(t) == encoder.far.findall(t)
+
+
+def test_codes_in_one_pass(spark, path, library):
+    df = rows_of(spark).union(spark.createDataFrame([(9, "né \U00016d40's 😀 <|endoftext|><|endoftext|> x", "", 0, "")], rows_of(spark).schema))
+    got = bpe.codes(df, path, list(bpe.CODES), ["doc_id", "text"]).collect()
+    assert len(got) == 7
+    for r in got:
+        ids = want(library, r.text)
+        decoded = library.decode(ids, skip_special_tokens=False)
+        assert (r.ids, r.n_tokens, r.decoded, r.round_trip) == (ids, len(ids), decoded, True)
+        assert r.ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+        assert r.decoded_sha256 == hashlib.sha256(decoded.encode()).hexdigest()
+    few = bpe.codes(df, path, ["n_tokens"], ["doc_id"])
+    assert few.columns == ["doc_id", "n_tokens"] and few.count() == 7
+
+
 def test_counts_do_not_depend_on_chunks(vocabulary, library):
     counter = token_counts.Transducer(vocabulary)
     for n, t in enumerate(texts(1500, 8)):
