@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from readloom.operators import counts as C
 from readloom.operators import de as D
 from readloom.operators import intervals as I
+from readloom.operators import sketches as K
 from readloom.plans import views as V
 from readloom.plans.catalog import register
 from readloom.session import written
@@ -410,3 +411,20 @@ def _(spark, sf):
         F.lit("+").alias("strand"), F.concat("p_brand", F.lit("_"), "p_type").alias("transcript_id"),
         F.lit("").alias("gene_name"))
     return I.transcripts_bed12(rows, span="union")
+
+
+# Distinct orders and parts per supplier and return flag, as sketches; then put together per flag and for all.
+@register("distinct_sketches", "", """SELECT flag, orders, parts, true near_orders, true near_parts FROM (
+    SELECT l_returnflag flag, count(DISTINCT l_orderkey) orders, count(DISTINCT l_partkey) parts FROM lineitem GROUP BY 1
+    UNION ALL SELECT NULL, count(DISTINCT l_orderkey), count(DISTINCT l_partkey) FROM lineitem)""")
+def _(spark, sf):
+    rows = V.table(spark, sf, "lineitem").select(F.col("l_returnflag").alias("flag"), "l_suppkey", F.col("l_orderkey").alias("orders"), F.col("l_partkey").alias("parts"))
+    names = ["orders", "parts"]
+    stored = written(K.distinct_sketches(rows, ["flag", "l_suppkey"], names), "sketches")
+    unions = K.merged(stored, ["flag"], names).unionByName(K.merged(stored, [], names).withColumn("flag", F.lit(None).cast("string")))
+    exact = rows.groupBy("flag").agg(*[F.countDistinct(c).alias(c) for c in names]).unionByName(
+        rows.agg(*[F.countDistinct(c).alias(c) for c in names]).withColumn("flag", F.lit(None).cast("string")))
+    guess = K.estimates(unions, names).select(F.col("flag").alias("_flag"), *[F.col(c).alias(f"{c}_guess") for c in names])
+    both = exact.join(guess, F.col("flag").eqNullSafe(F.col("_flag")))
+    near = [(F.abs(F.col(f"{c}_guess") - F.col(c)) <= 0.02 * F.col(c)).alias(f"near_{c}") for c in names]
+    return both.select("flag", *names, *near)

@@ -12,6 +12,7 @@ from readloom.session import scratch_path
 from readloom.sinks import writers as K
 from readloom.sinks.block_gzip import write_block_gzip
 from readloom.sources.fastq import read_fastq
+from readloom.sources.files import update_manifest
 from readloom.functions.ranking import first_rows, number_rows
 from readloom.plans import views as V
 from readloom.plans.catalog import register
@@ -262,6 +263,18 @@ def _(spark, sf):
     return V.table(spark, sf, "documents").select("doc_id", F.md5("text").alias("md5"))
 
 
+# One file per source, digested in a first run and found unchanged by a second.
+@register("checksum_manifest", "", """SELECT source, md5(string_agg(text, chr(10) ORDER BY doc_id) || chr(10)) md5, 'new' first_run, 'unchanged' second_run
+    FROM documents GROUP BY 1""")
+def _(spark, sf):
+    at = scratch_path(spark, "manifest")
+    docs = V.table(spark, sf, "documents").repartition("source").sortWithinPartitions("source", "doc_id")
+    docs.select("source", "text").write.partitionBy("source").text(f"{at}/files")
+    first, second = (update_manifest(spark, f"{at}/files", f"{at}/manifest", "part-*") for _ in range(2))
+    both = first.select("path", F.col("state").alias("first_run")).join(second.select("path", "md5", F.col("state").alias("second_run")), "path")
+    return both.select(F.regexp_extract("path", "/source=([^/]*)/", 1).alias("source"), "md5", "first_run", "second_run")
+
+
 # --- artifacts ----------------------------------------------------------------------
 
 
