@@ -44,6 +44,8 @@ def bin_width(features: DataFrame, share: float = 0.95, floor: int = 1) -> int:
 
 #: A level's bins are so many times as wide as those of the level below; a feature covers ``FAN + 1`` of its level at most.
 FAN = 8
+#: A floor for the lowest level: bins shorter than a usual read only make more rows of each read.
+READ_BASES = 64
 
 
 @dataclass(frozen=True)
@@ -333,7 +335,7 @@ def read_regions(
     rank = F.array_position(F.array(*[F.lit(r) for r in REGION_ORDER]), F.col("f_region"))
     reads = alignments.select("sample_id", "fragment_id", "chrom", "start", "end")
     joined = written(flat_regions(regions), "flat-regions") if flat else regions
-    hits = overlap_join(reads, joined, ["region"], width if width is not None else layout(joined), salts, ["sample_id", "fragment_id"])
+    hits = overlap_join(reads, joined, ["region"], width if width is not None else layout(joined, floor=READ_BASES), salts, ["sample_id", "fragment_id"])
     best = hits.groupBy("sample_id", "fragment_id").agg(F.min(rank).alias("rank"))
     name = F.element_at(F.array(*[F.lit(r) for r in REGION_ORDER]),
                         F.coalesce(F.col("rank").cast("int"), F.lit(len(REGION_ORDER))))

@@ -307,7 +307,7 @@ ASSIGNED = """fragments AS (
 
 def _assigned(spark, sf, strand=0):
     exons = V.exons(spark, sf)
-    return I.assign_fragments(V.alignments(spark, sf), exons, I.layout(exons), strand)
+    return I.assign_fragments(V.alignments(spark, sf), exons, I.layout(exons, floor=I.READ_BASES), strand)
 
 
 @register("count_features", "hits", f"""WITH {ASSIGNED.format(where='')}
@@ -346,7 +346,7 @@ STRAND = """fractions AS (SELECT sample_id, count(*) n_fragments, CAST(count(*)
     OR (forward < CAST(0.6 AS DOUBLE) AND reverse < CAST(0.6 AS DOUBLE)) THEN 0 WHEN forward >= CAST(0.6 AS DOUBLE) THEN 1 ELSE 2 END strandedness FROM fractions""")
 def _(spark, sf):
     exons = V.exons(spark, sf)
-    rows = I.strand_fractions(V.alignments(spark, sf), exons, I.layout(exons))
+    rows = I.strand_fractions(V.alignments(spark, sf), exons, I.layout(exons, floor=I.READ_BASES))
     return rows.withColumn("strandedness", I.strandedness(
         F.col("undetermined"), F.col("forward"), F.col("reverse")))
 
@@ -385,7 +385,7 @@ def _(spark, sf):
     exons = V.exons(spark, sf).select("gene_id", "chrom", "start", "end")
     spans = exons.groupBy(F.concat(F.lit("span of "), "gene_id").alias("gene_id"), "chrom").agg(F.min("start").alias("start"), F.max("end").alias("end"))
     features = written(exons.unionByName(spans), "gene-spans")
-    pairs = I.overlap_join(V.alignments(spark, sf), features, ["gene_id"], I.layout(features), how="inner")
+    pairs = I.overlap_join(V.alignments(spark, sf), features, ["gene_id"], I.layout(features, floor=I.READ_BASES), how="inner")
     return pairs.groupBy(F.col("f_gene_id").alias("gene_id")).agg(F.count("*").alias("pairs"), F.countDistinct("fragment_id").alias("fragments"))
 
 
@@ -393,7 +393,7 @@ def _(spark, sf):
     ON a.chrom = e.chrom AND a."start" < e."end" AND e."start" < a."end" GROUP BY 1, 2""")
 def _(spark, sf):
     exons = V.exons(spark, sf)
-    pairs = I.overlap_join(V.alignments(spark, sf), exons, ["gene_id"], I.layout(exons), how="inner")
+    pairs = I.overlap_join(V.alignments(spark, sf), exons, ["gene_id"], I.layout(exons, floor=I.READ_BASES), how="inner")
     return pairs.groupBy("sample_id", F.col("f_gene_id").alias("gene_id")).agg(F.count("*").alias("n"))
 
 
