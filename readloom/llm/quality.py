@@ -4,11 +4,15 @@ Every text is measured (words, symbols, repeated lines, words in repeated
 three-word windows). For each language and source, and each rule's measure, a
 quantile sketch is kept: counts in log-linear bins (a number keeps its
 ``BITS`` leading bits, so quantiles are right within 1 / 32). Sketches merge by
-adding counts and do not depend on how rows are dealt out. Small groups use
-their language's merged sketch, small languages that of all rows. From the
-sketch come the lower and upper fences (quartiles, widened by three
-interquartile ranges and a margin), the fences are joined to the rows, and
-rows outside are not kept.
+adding counts and do not depend on how rows are dealt out.
+
+The fences come from the sketch alone: the quartiles widened by three
+interquartile ranges; where both quartiles fall into one bin, as in measures
+that are zero for most texts, the outermost 2 % quantiles and one bin more. A
+fence is then shrunk towards the one of the merged sketches: a group of n rows
+counts n, its language ``PRIOR``, and a language towards all rows likewise. So
+groups of any size follow one rule; a small one mostly stands by its language.
+The fences are joined to the rows, and rows outside are not kept.
 
 The measures stay inside one row's functions, so no text is shuffled; the
 sketches are added up map-side before any shuffle, and a group that holds a
@@ -31,11 +35,13 @@ SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
 MOST_REPEATED = 50
 BITS = 6
-LEAST_ROWS = 200
 RANGES = 3
+#: Percent of rows within the outermost quantile, on either side.
+TAIL = 98
+#: Rows that the coarser group counts for.
+PRIOR = 200
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
-#: Measure -> margin added to both fences.
-MARGINS = {"symbols": 50, "dup_lines": 400, "repeats": 400, "word_length": 150}
+RULES = ("symbols", "dup_lines", "repeats", "word_length")
 
 
 def once(value: Column, use) -> Column:
@@ -98,9 +104,14 @@ def rates() -> dict[str, Column]:
             "repeats": per("n_repeat_words", "n_words", 1000), "word_length": per("word_chars", "n_words", 100)}
 
 
+def bin_width(value: Column, bits: int = BITS) -> Column:
+    """Width of the number's bin, as a power of two's exponent."""
+    return F.greatest(F.length(F.bin(value)) - F.lit(bits), F.lit(0))
+
+
 def sketch_bin(value: Column, bits: int = BITS) -> Column:
     """The lower end of the number's bin: its ``bits`` leading bits."""
-    drop = F.greatest(F.length(F.bin(value)) - F.lit(bits), F.lit(0))
+    drop = bin_width(value, bits)
     return F.call_function("shiftleft", F.call_function("shiftright", value, drop), drop)
 
 
@@ -116,41 +127,43 @@ def merged(sketch: DataFrame, group: list[str]) -> DataFrame:
     return sketch.groupBy(*group, "measure", "bin").agg(F.sum("n").alias("n"))
 
 
-def fences(sketch: DataFrame, group: list[str], n_ranges: int = RANGES) -> DataFrame:
-    """``group, measure, n, low, high`` from the quartiles of each sketch."""
+def fences(sketch: DataFrame, group: list[str], n_ranges: int = RANGES, tail: int = TAIL) -> DataFrame:
+    """``group, measure, n, fence`` (``low, high``, 0 at least) from the quantiles of each sketch."""
     keys = [*group, "measure"]
     whole, upto = Window.partitionBy(*keys), Window.partitionBy(*keys).orderBy("bin")
     ranked = sketch.withColumn("total", F.sum("n").over(whole)).withColumn("upto", F.sum("n").over(upto))
-    q = ranked.groupBy(*keys).agg(
-        F.max("total").alias("n"),
-        F.min(F.when(F.col("upto") * 4 >= F.col("total"), F.col("bin"))).alias("q1"),
-        F.min(F.when(F.col("upto") * 4 >= F.col("total") * 3, F.col("bin"))).alias("q3"))
-    margin = F.create_map(*[F.lit(x) for pair in MARGINS.items() for x in pair])[F.col("measure")]
-    reach = (F.col("q3") - F.col("q1")) * n_ranges + margin
-    return q.select(*keys, "n", (F.col("q1") - reach).alias("low"), (F.col("q3") + reach).alias("high"))
-
-
-def adaptive_fences(measured: DataFrame, least_rows: int = LEAST_ROWS) -> DataFrame:
-    """One row per language and source: ``lang, source`` and an array of ``low, high`` per measure.
-
-    Groups of fewer than ``least_rows`` rows take the fences of their language,
-    and languages of fewer those of all rows.
-    """
+    q = ranked.groupBy(*keys).agg(F.max("total").alias("n"), *[
+        F.min(F.when(F.col("upto") * 100 >= F.col("total") * share, F.col("bin"))).alias(name)
+        for name, share in (("lowest", 100 - tail), ("q1", 25), ("q3", 75), ("highest", tail))])
+    one = F.lit(1).cast("long")
+    step = {c: F.call_function("shiftleft", one, bin_width(F.col(c))) for c in ("lowest", "highest")}
+    reach, flat = (F.col("q3") - F.col("q1")) * n_ranges, F.col("q1") == F.col("q3")
+    low = F.when(flat, F.col("lowest") - step["lowest"]).otherwise(F.col("q1") - reach)
+    high = F.when(flat, F.col("highest") + step["highest"]).otherwise(F.col("q3") + reach)
+    return q.select(*keys, "n", F.struct(F.greatest(low, F.lit(0)).alias("low"), high.alias("high")).alias("fence"))
+
+
+def shrunk(own: str, n: str, coarser: str, prior: int = PRIOR) -> Column:
+    """The fence ``own`` of ``n`` rows drawn towards ``coarser``, which counts for ``prior`` rows; rounded outwards."""
+    low = f"({n} * {own}.low + {prior} * {coarser}.low) div ({n} + {prior})"
+    high = f"({n} * {own}.high + {prior} * {coarser}.high + {n} + {prior} - 1) div ({n} + {prior})"
+    return F.struct(F.expr(low).alias("low"), F.expr(high).alias("high"))
+
+
+def adaptive_fences(measured: DataFrame, prior: int = PRIOR) -> DataFrame:
+    """One row per language and source: ``lang, source`` and ``low, high`` per measure (``symbols_fence`` ...)."""
     by_group = sketches(measured, ["lang", "source"])
     by_lang = merged(by_group, ["lang"])
     own = fences(by_group, ["lang", "source"])
-    lang = fences(by_lang, ["lang"]).select("measure", F.col("lang").alias("of_lang"), F.col("n").alias("lang_n"),
-                                             F.struct("low", "high").alias("lang_fence"))
-    every = fences(merged(by_lang, []), []).select("measure", F.struct("low", "high").alias("all_fence"))
-    fence = F.when(F.col("n") >= least_rows, F.struct("low", "high")).when(
-        F.col("lang_n") >= least_rows, F.col("lang_fence")).otherwise(F.col("all_fence"))
-    joined = own.join(lang.withColumnRenamed("measure", "m"),
-                      (F.col("measure") == F.col("m")) & F.col("lang").eqNullSafe(F.col("of_lang"))).join(every, "measure")
+    every = fences(merged(by_lang, []), []).select("measure", F.col("fence").alias("all_fence"))
+    lang = fences(by_lang, ["lang"]).join(every, "measure").select(
+        F.col("measure").alias("m"), F.col("lang").alias("of_lang"), shrunk("fence", "n", "all_fence", prior).alias("lang_fence"))
+    joined = own.join(lang, (F.col("measure") == F.col("m")) & F.col("lang").eqNullSafe(F.col("of_lang")))
     return joined.groupBy("lang", "source").agg(*[
-        F.max(F.when(F.col("measure") == m, fence)).alias(f"{m}_fence") for m in MARGINS])
+        F.max(F.when(F.col("measure") == m, shrunk("fence", "n", "lang_fence", prior))).alias(f"{m}_fence") for m in RULES])
 
 
-def judge(df: DataFrame, carry: tuple[str, ...] = ("doc_id",), least_rows: int = LEAST_ROWS) -> DataFrame:
+def judge(df: DataFrame, carry: tuple[str, ...] = ("doc_id",), prior: int = PRIOR) -> DataFrame:
     """The ``carry`` columns, ``lang, source``, all measures, ``base_failed`` and ``kept`` for every row.
 
     The measured rows are stored under the shared folder once (without texts,
@@ -159,8 +172,8 @@ def judge(df: DataFrame, carry: tuple[str, ...] = ("doc_id",), least_rows: int =
     whole = measure(df)
     names = [c for c in whole.columns if c in {*carry, "lang", "source", *MEASURES}]
     measured = written(whole.select(*names), "measured")
-    limits = adaptive_fences(measured, least_rows).select(
-        F.col("lang").alias("of_lang"), F.col("source").alias("of_source"), *[f"{m}_fence" for m in MARGINS])
+    limits = adaptive_fences(measured, prior).select(
+        F.col("lang").alias("of_lang"), F.col("source").alias("of_source"), *[f"{m}_fence" for m in RULES])
     failed = (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MOST_REPEATED)
     inside = F.lit(True)
     for m, c in rates().items():
@@ -168,4 +181,4 @@ def judge(df: DataFrame, carry: tuple[str, ...] = ("doc_id",), least_rows: int =
         inside = inside & c.between(fence["low"], fence["high"])
     return (measured.join(limits, F.col("lang").eqNullSafe(F.col("of_lang")) & F.col("source").eqNullSafe(F.col("of_source")), "left")
             .withColumn("base_failed", failed).withColumn("kept", ~failed & F.coalesce(inside, F.lit(False)))
-            .drop("of_lang", "of_source", *[f"{m}_fence" for m in MARGINS]))
+            .drop("of_lang", "of_source", *[f"{m}_fence" for m in RULES]))

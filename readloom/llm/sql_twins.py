@@ -41,15 +41,27 @@ FROM u LEFT JOIN (SELECT * FROM best WHERE n = 1) USING (row_no)
 
 
 def _fences(source: str, keys: str) -> str:
-    margin = " ".join(f"WHEN '{m}' THEN {v}" for m, v in quality.MARGINS.items())
     by = f"{keys}, measure" if keys else "measure"
+
+    def at(share: int) -> str:
+        return f"min(bin) FILTER (upto * 100 >= total * {share})"
+
+    def width(v: str) -> str:
+        return f"(CAST(1 AS BIGINT) << greatest(length(bin({v})) - {quality.BITS}, 0))"
+
     return f"""
-  SELECT {by}, max(total) n, min(bin) FILTER (upto * 4 >= total) q1, min(bin) FILTER (upto * 4 >= total * 3) q3,
-         {quality.RANGES} * (min(bin) FILTER (upto * 4 >= total * 3) - min(bin) FILTER (upto * 4 >= total))
-           + CASE measure {margin} END reach
-  FROM (SELECT {by}, bin, sum(count(*)) OVER (PARTITION BY {by}) total,
-               sum(count(*)) OVER (PARTITION BY {by} ORDER BY bin) upto
-        FROM {source} GROUP BY {by}, bin) GROUP BY {by}"""
+  SELECT {by}, n, greatest(CASE WHEN q1 = q3 THEN lowest - {width("lowest")} ELSE q1 - {quality.RANGES} * (q3 - q1) END, 0) low,
+         CASE WHEN q1 = q3 THEN highest + {width("highest")} ELSE q3 + {quality.RANGES} * (q3 - q1) END high
+  FROM (SELECT {by}, max(total) n, {at(100 - quality.TAIL)} lowest, {at(25)} q1, {at(75)} q3, {at(quality.TAIL)} highest
+        FROM (SELECT {by}, bin, sum(count(*)) OVER (PARTITION BY {by}) total,
+                     sum(count(*)) OVER (PARTITION BY {by} ORDER BY bin) upto
+              FROM {source} GROUP BY {by}, bin) GROUP BY {by})"""
+
+
+def _shrunk(own: str, coarser: str) -> str:
+    k = quality.PRIOR
+    return (f"({own}.n * {own}.low + {k} * {coarser}.low) // ({own}.n + {k}) low, "
+            f"({own}.n * {own}.high + {k} * {coarser}.high + {own}.n + {k} - 1) // ({own}.n + {k}) high")
 
 
 OP10 = f"""
@@ -82,16 +94,16 @@ long AS (
   FROM (SELECT row_no, lang, source, n_words, unnest(['symbols', 'dup_lines', 'repeats', 'word_length']) measure,
                unnest([symbols, dup_lines, repeats, word_length]) v FROM rate) WHERE n_words > 0),
 own AS ({_fences("long", "lang, source")}),
-by_lang AS ({_fences("long", "lang")}),
+of_lang AS ({_fences("long", "lang")}),
 every AS ({_fences("long", "")}),
+by_lang AS (SELECT o.lang, measure, {_shrunk("o", "e")} FROM of_lang o JOIN every e USING (measure)),
+fence AS (
+  SELECT o.lang, o.source, o.measure, {_shrunk("o", "l")} FROM own o
+  JOIN by_lang l ON o.lang IS NOT DISTINCT FROM l.lang AND o.measure = l.measure),
 judged AS (
-  SELECT row_no, bool_and(CASE WHEN o.n >= {quality.LEAST_ROWS} THEN v BETWEEN o.q1 - o.reach AND o.q3 + o.reach
-           WHEN l.n >= {quality.LEAST_ROWS} THEN v BETWEEN l.q1 - l.reach AND l.q3 + l.reach
-           ELSE v BETWEEN e.q1 - e.reach AND e.q3 + e.reach END) inside
-  FROM long JOIN own o ON long.lang IS NOT DISTINCT FROM o.lang AND long.source IS NOT DISTINCT FROM o.source
-         AND long.measure = o.measure
-  JOIN by_lang l ON long.lang IS NOT DISTINCT FROM l.lang AND long.measure = l.measure
-  JOIN every e ON long.measure = e.measure GROUP BY row_no),
+  SELECT row_no, bool_and(v BETWEEN low AND high) inside
+  FROM long JOIN fence f ON long.lang IS NOT DISTINCT FROM f.lang AND long.source IS NOT DISTINCT FROM f.source
+         AND long.measure = f.measure GROUP BY row_no),
 base AS (
   SELECT *, n_words < {quality.MIN_WORDS} OR 100 * n_repeat_words > {quality.MOST_REPEATED} * n_words base_failed FROM rate)
 SELECT doc_id, CAST(n_words AS BIGINT) n_words, CAST(word_chars AS BIGINT) word_chars,

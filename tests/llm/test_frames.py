@@ -260,6 +260,39 @@ def test_quality_thresholds_follow_the_group(spark):
     assert not got[9000, "en"] and not got[9001, "xx"] and got[9002, None] and not got[9003, "en"]
 
 
+def test_quality_fences_by_brute_force(spark):
+    r = random.Random(11)
+    groups = {("en", "a"): 400, ("en", "b"): 7, (None, None): 90, ("de", "a"): 1}
+    rows = [(n, " ".join([prose(r.random(), 60), "#" * (r.random() < 0.2) * r.randint(1, 90)]), *g)
+            for g, size in groups.items() for n in range(size)]
+    measured = quality.measure(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"))
+    values = {}
+    for x in measured.select("lang", "source", *[c.alias(m) for m, c in quality.rates().items()]).collect():
+        for m in quality.RULES:
+            for key in ((x.lang, x.source), (x.lang,), ()):
+                values.setdefault((m, key), []).append(x[m])
+
+    def width(v):
+        return 1 << max(v.bit_length() - quality.BITS, 0)
+
+    def fence(m, key):
+        bins = sorted(v // width(v) * width(v) for v in values[m, key])
+        n = len(bins)
+        lowest, q1, q3, highest = (bins[-(-n * share // 100) - 1] for share in (100 - quality.TAIL, 25, 75, quality.TAIL))
+        low, high = (lowest - width(lowest), highest + width(highest)) if q1 == q3 else (q1 - 3 * (q3 - q1), q3 + 3 * (q3 - q1))
+        low = max(low, 0)
+        if not key:
+            return low, high
+        upper, k = fence(m, key[:-1]), quality.PRIOR
+        return (n * low + k * upper[0]) // (n + k), -(-(n * high + k * upper[1]) // (n + k))
+
+    got = quality.adaptive_fences(measured).collect()
+    assert {(x.lang, x.source) for x in got} == set(groups)
+    for x in got:
+        for m in quality.RULES:
+            assert tuple(x[f"{m}_fence"]) == fence(m, (x.lang, x.source)), (m, x.lang, x.source)
+
+
 def test_stage_keeps_one_of_near_copies(spark):
     """Groups by brute force: five-word Jaccard of 0.8 or more, whatever the distance of fingerprints."""
     r = random.Random(8)
