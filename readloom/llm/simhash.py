@@ -3,19 +3,21 @@
 Fingerprints: 64 bits over the XXH64 values of a text's three-word shingles.
 
 Search for pairs with at most two differing bits: a fingerprint is two segments
-of 32 bits. In each segment the ball of radius one is enumerated (the segment
-itself and each of its 32 single-bit changes) and looked up together with the
-other segment as it stands. Two fingerprints at distance two meet there: if both
-differing bits lie in one segment, at the value that has one of them changed; if
-they lie in two, at the value that has the one's first and the other's second
-segment. Values met that way are at distance two at most, which is verified on
-whole fingerprints.
-
-Keeping the other segment in the key bounds a bucket: it has no more than 65
-different fingerprints, whatever group of copies is behind them. A bucket is
-therefore held as a bit set (which single bits lead to it), added up map-side,
-and each gives links to its least member only: as many as members, never all
-pairs, and connecting the same documents.
+of 32 bits, each with a table from segment values to fingerprints. Of two such
+fingerprints one segment differs by one bit at most, so each fingerprint
+enumerates the ball of radius one around each of its segments, fetches what the
+table holds there, and the whole distance is verified inside the join. A changed
+bit is set in one of the two only; it is enough that this one looks the other
+up, so a ball holds the segment and its set bits' changes, 17 values on average.
+
+A slot of more than ``CROWD`` fingerprints (they share 32 bits and may all be
+far apart) is not gone through by each that asks. Whoever meets one is put
+aside, and among these the other segment joins the key: each enumerates the
+radius-one ball around its whole value, and values at distance two meet there,
+in buckets of no more than 65 fingerprints. Such a bucket is a bit set, added up
+map-side, and links its members to the least of them. Two balls of radius one
+share exactly two values if their centres are one or two bits apart and none
+otherwise, so half of what a fingerprint meets there is its number of links.
 
 Equal fingerprints are one node from the start. Components come from rounds of
 min-label hooking and pointer jumping over stored tables in the shared folder;
@@ -37,6 +39,8 @@ from readloom.session import written
 SEED = 42
 SHINGLE = 3
 DISTANCE = 2
+#: Fingerprints in a slot of a segment table that are looked up one by one.
+CROWD = 256
 SLICE = 1 << 16
 
 
@@ -86,24 +90,66 @@ def _bit(i: Column) -> Column:
     return F.call_function("shiftleft", F.lit(1).cast("long"), i)
 
 
-def links(nodes: DataFrame, fp: str = "fp", distance: int = DISTANCE) -> DataFrame:
-    """``(a, b)``: pairs of different fingerprints at most ``distance`` (2) apart, a star for each bucket, that connect all such."""
+def _slots(fp: Column) -> list[Column]:
+    """Keys of both segments: 32 bits of the fingerprint and the table's number."""
+    low = fp.bitwiseAND(F.lit(0xFFFFFFFF))
+    return [low, F.call_function("shiftrightunsigned", fp, F.lit(32)).bitwiseOR(F.lit(1 << 32))]
+
+
+def lookups(nodes: DataFrame, fp: str = "fp", distance: int = DISTANCE, crowd: int = CROWD) -> DataFrame:
+    """``(a, b)``: what the fingerprints meet in the segment tables, at ``distance`` (2) or less; ``b`` null for a crowded slot.
+
+    ``a`` is the fingerprint that asks. Pairs that differ in one segment by one
+    bit may come from both tables.
+    """
     if distance != DISTANCE:
         raise ValueError("the balls are those for two differing bits")
     whole = F.col(fp)
-    # -1 stands for the segments as they are; 0-31 and 32-63 are the single-bit changes of each segment
-    points = nodes.select(whole, F.explode(F.sequence(F.lit(-1), F.lit(63))).alias("i")).select(
+    table = nodes.select(F.explode(F.array(*_slots(whole))).alias("slot"), whole.alias("b"))
+    hot = written(table.groupBy("slot").count().where(F.col("count") > crowd).select("slot"), "crowded")
+    held = table.join(hot, "slot", "left_anti").unionByName(hot.select("slot", F.lit(None).cast("long").alias("b")))
+
+    def ball(slot: Column) -> Column:
+        return F.transform(F.filter(F.sequence(F.lit(-1), F.lit(31)), lambda i: (i < 0) | (slot.bitwiseAND(_bit(i)) != 0)),
+                           lambda i: F.when(i < 0, slot).otherwise(slot.bitwiseXOR(_bit(i))))
+
+    asked = nodes.select(whole.alias("a"), F.explode(F.concat(*map(ball, _slots(whole)))).alias("slot"))
+    near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance
+    return asked.join(held, "slot").where(F.col("b").isNull() | ((F.col("a") != F.col("b")) & near)).select("a", "b")
+
+
+def crowd_links(nodes: DataFrame, fp: str = "fp", copies: str = "copies") -> DataFrame:
+    """``(a, b, weight)``: each member ``b`` of a shared bucket of whole-value balls, the least member, the copies of all."""
+    whole = F.col(fp)
+    # -1 stands for the value as it is
+    points = nodes.select(whole, copies, F.explode(F.sequence(F.lit(-1), F.lit(63))).alias("i")).select(
         F.when(F.col("i") < 0, whole).otherwise(whole.bitwiseXOR(_bit(F.col("i")))).alias("point"),
-        F.when(F.col("i") < 0, F.lit(0).cast("long")).otherwise(_bit(F.col("i"))).alias("bit"), (F.col("i") < 0).alias("own"))
-    buckets = points.groupBy("point").agg(F.bit_or("bit").alias("bits"), F.max("own").alias("own"))
+        F.when(F.col("i") < 0, F.lit(0).cast("long")).otherwise(_bit(F.col("i"))).alias("bit"), (F.col("i") < 0).alias("own"), copies)
+    buckets = points.groupBy("point").agg(F.bit_or("bit").alias("bits"), F.max("own").alias("own"), F.sum(copies).alias("weight"))
     members = F.concat(
         F.when(F.col("own"), F.array("point")).otherwise(F.array().cast("array<bigint>")),
         F.transform(F.filter(F.sequence(F.lit(0), F.lit(63)), lambda i: F.col("bits").bitwiseAND(_bit(i)) != 0),
                     lambda i: F.col("point").bitwiseXOR(_bit(i))))
     shared = buckets.where(F.bit_count("bits") + F.col("own").cast("int") > 1)
-    stars = shared.select(members.alias("m")).select(F.array_min("m").alias("a"), F.explode("m").alias("b"))
-    near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance
-    return stars.where((F.col("a") != F.col("b")) & near).distinct()
+    return shared.select(members.alias("m"), "weight").select(F.array_min("m").alias("a"), F.explode("m").alias("b"), "weight")
+
+
+def links(nodes: DataFrame, fp: str = "fp", copies: str = "copies", crowd: int = CROWD) -> tuple[DataFrame, DataFrame]:
+    """Edges ``(a, b)`` that connect all fingerprints two bits apart or less, and ``(fp, near)``: documents at the others within two bits."""
+    met = written(lookups(nodes, fp, crowd=crowd), "lookups")
+    pairs = met.where(F.col("b").isNotNull()).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    aside = written(met.where(F.col("b").isNull()).select(F.col("a").alias(fp)).distinct().join(nodes.select(fp, copies), fp), "aside")
+    stars = written(crowd_links(aside, fp, copies), "stars")
+    edges = pairs.unionByName(stars.where(F.col("a") != F.col("b")).select("a", "b").distinct())
+    # pairs of two that were put aside are counted by their buckets
+    both = (pairs.join(aside.select(F.col(fp).alias("a"), F.lit(True).alias("a_aside")), "a", "left")
+            .join(aside.select(F.col(fp).alias("b"), F.lit(True).alias("b_aside")), "b", "left")
+            .where(F.col("a_aside").isNull() | F.col("b_aside").isNull()))
+    ways = both.select("a", "b").unionByName(both.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    single = ways.join(nodes.select(F.col(fp).alias("b"), copies), "b").groupBy(F.col("a").alias(fp)).agg(F.sum(copies).alias("near"))
+    in_crowd = stars.groupBy(F.col("b").alias(fp)).agg(F.sum("weight").alias("weight"), F.count("*").alias("shared")).join(aside, fp).select(
+        fp, F.expr(f"(weight - shared * {copies}) div 2").alias("near"))
+    return edges, single.unionByName(in_crowd).groupBy(fp).agg(F.sum("near").alias("near"))
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b", label: str = "root") -> DataFrame:
@@ -133,19 +179,17 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", label: str = "root"
             return labels.withColumnRenamed("root", label)
 
 
-def near_duplicates(df: DataFrame, row_id: str = "doc_id", text: str = "text") -> DataFrame:
+def near_duplicates(df: DataFrame, row_id: str = "doc_id", text: str = "text", crowd: int = CROWD) -> DataFrame:
     """``doc_id, fingerprint`` (16 hex digits), ``component_id`` and ``n_links`` for every row.
 
     ``component_id`` is the least id among documents connected by links; ties
-    and repeated rows share it. ``n_links``: documents with the same
-    fingerprint, the row itself not counted, plus other fingerprints it is
-    joined to by a bucket's star. Rows without an id never lend theirs to a component.
+    and repeated rows share it. ``n_links``: other rows whose fingerprint
+    differs in two bits at most. Rows without an id never lend theirs to a component.
     """
     prints = written(with_fingerprints(df.select(F.col(row_id).alias("doc_id"), F.col(text).alias("text"))), "fingerprints")
     nodes = written(prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies")), "nodes")
-    edges = written(links(nodes), "links")
-    degree = edges.select("a").unionByName(edges.select(F.col("b").alias("a"))).groupBy(
-        F.col("a").alias("fp")).agg(F.count("*").alias("near"))
+    found, degree = links(nodes, crowd=crowd)
+    edges = written(found, "links")
     roots = components(edges).withColumnRenamed("node", "fp")
     placed = nodes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     heads = placed.groupBy("root").agg(F.min("least").alias("component_id"))

@@ -135,12 +135,52 @@ def test_simhash_by_brute_force(spark):
         if (want[i] ^ want[j]).bit_count() <= 2:
             a, b = sorted((find(i), find(j)))
             parent[b] = a
-    got = {r.doc_id: r for r in simhash.near_duplicates(frame(spark, texts)).collect()}
-    for i, f in enumerate(want):
-        assert (got[i].fingerprint, got[i].component_id) == (f"{f:016x}", find(i))
+    # whatever is put aside as crowded: nothing, all that meets two, everything
+    for crowd in (simhash.CROWD, 1, 0):
+        got = {r.doc_id: r for r in simhash.near_duplicates(frame(spark, texts), crowd=crowd).collect()}
+        for i, f in enumerate(want):
+            n_links = sum((f ^ g).bit_count() <= 2 for g in want) - 1
+            assert (got[i].fingerprint, got[i].component_id, got[i].n_links) == (f"{f:016x}", find(i), n_links), crowd
     assert sorted(r.doc_id for r in simhash.keep_one(frame(spark, texts)).collect()) == sorted({find(i) for i in range(len(want))})
 
 
+def test_links_of_close_fingerprints(spark):
+    """Fingerprints of zero to four changed bits around few centres, many sharing a whole segment."""
+    r = random.Random(12)
+    centres = [r.getrandbits(64) for _ in range(4)]
+    prints = {0, (1 << 64) - 1, 1 << 63, *centres}
+    for _ in range(300):
+        f = r.choice(centres)
+        for _ in range(r.randint(0, 4)):
+            f ^= 1 << r.randrange(64)
+        prints.add(f)
+        prints.add(centres[0] & 0xFFFFFFFF | r.getrandbits(32) << 32)
+    prints = [f - (f >> 63 << 64) for f in sorted(prints)]
+    copies = {f: r.randint(1, 3) for f in prints}
+    near = {(a, b) for a, b in itertools.combinations(sorted(prints), 2) if ((a ^ b) & (1 << 64) - 1).bit_count() <= 2}
+    want = {f: sum(copies[b] if a == f else copies[a] for a, b in near if f in (a, b)) for f in prints}
+    nodes = spark.createDataFrame(list(copies.items()), "fp long, copies long")
+    met = {tuple(sorted(p)) for p in simhash.lookups(nodes, crowd=10_000).collect()}
+    assert met == near
+    for crowd in (10_000, 40, 3):
+        edges, degree = simhash.links(nodes, crowd=crowd)
+        got = {r.fp: r.near for r in degree.collect()}
+        assert {f: n for f, n in want.items() if n} == {f: n for f, n in got.items() if n}, crowd
+        linked = {tuple(sorted(e)) for e in edges.collect()}
+        assert linked <= near
+        for pairs in (near, linked):
+            root = {f: f for f in prints}
+            for _ in range(len(prints)):
+                before = dict(root)
+                for a, b in pairs:
+                    root[a] = root[b] = min(root[a], root[b])
+                if root == before:
+                    break
+            if pairs is near:
+                whole = root
+        assert root == whole, crowd
+
+
 def test_components_of_chains(spark):
     edges = [(i, i + 1) for i in range(0, 60)] + [(100, 90), (90, 95), (200, 201)]
     got = {r.node: r.root for r in simhash.components(spark.createDataFrame(edges, "a long, b long")).collect()}
