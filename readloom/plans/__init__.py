@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ["qc", "project", "sheets", "expression", "reads", "runs", "sources"]
+_MODULES = ["qc", "project", "sheets", "expression", "reads", "runs", "sources", "stored"]
 
 
 def _load():
