@@ -12,13 +12,17 @@ are its kernel values with the landmarks times the inverse root of the
 landmarks' own kernel; a linear machine with squared hinge loss is trained on
 them. Its decision is linear in the subsequences, so it folds into one table of
 weights, and a string is scored by looking its subsequences up, whatever the
-number of landmarks. A sentence is as toxic as its worst word, a document as its
-worst sentence; a logistic curve turns that margin into a score.
-
-Labels are those of documents. Letter quadruples that occur in several toxic
-training documents and almost no other point to the words that make a document
-toxic; words of clean documents, first at random and then those that score
-highest, are the other class.
+number of landmarks. There are two such machines. By the first, a sentence is as
+toxic as its worst word, a document as its worst sentence; a logistic curve turns
+that margin into a score. The second knows rarer words, some of which clean texts
+hold now and then by chance: its curve takes its highest margin and the share of
+words above its bound. The higher of the two scores stands.
+
+Labels are those of documents. Letter quadruples that occur in a part of the toxic
+training documents and almost no other point to the words of the first machine;
+words of clean documents, first at random and then those that score highest, are
+the other class. Words of the second are found by stretches of four to nine letters
+(with a mark where a word begins) in more toxic documents than chance would give.
 
 Training sees at most ``MAX_TOXIC`` and ``MAX_CLEAN`` labelled documents, those
 with the least hash of the id; all else is measured on all rows. Scoring needs
@@ -104,12 +108,19 @@ def kinds_of(word: str) -> np.ndarray:
 
 @dataclass
 class Model:
-    """``weights`` by subsequence number, ``bias``, and the curve ``1 / (1 + exp(-(slope * margin + shift)))``."""
+    """``weights`` by subsequence number, ``bias``, and the curve ``1 / (1 + exp(-(slope * margin + shift)))``.
+
+    ``common`` and ``common_bias`` are those of the second machine, if there is one; ``curve`` weighs its highest margin
+    and the logarithm of the share of words above 0, and ends with the shift.
+    """
 
     weights: np.ndarray
     bias: float
     slope: float = 1.0
     shift: float = 0.0
+    common: np.ndarray | None = None
+    common_bias: float = 0.0
+    curve: tuple[float, float, float] = (0.0, 0.0, 0.0)
 
 
 def _pieces(data: np.ndarray):
@@ -130,8 +141,8 @@ def _pieces(data: np.ndarray):
 BLANKS = np.array([0x20, *range(0x09, 0x0E)], np.uint8)
 
 
-def word_margins(data: np.ndarray, model: Model, tables: tuple) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``(start, end, margin)`` of the words in bytes of text; words without letters are left out.
+def word_margins(data: np.ndarray, model: Model, tables: tuple) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """``(start, end, margins)`` of the words in bytes of text, margins by each machine; words without letters are left out.
 
     Neighbouring words of one letter count as one word. Of words longer than
     ``LONGEST`` letters every stretch of that length is part of the sum, which
@@ -158,39 +169,53 @@ def word_margins(data: np.ndarray, model: Model, tables: tuple) -> tuple[np.ndar
     word = np.cumsum(hard)[letter]  # a number that changes at hard blanks
     place = at[letter]
     k = kinds[place].astype(np.int32)
+    machines = [(model.weights, model.bias)] + ([] if model.common is None else [(model.common, model.common_bias)])
     if not len(k):
-        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.float32)
+        return np.empty(0, np.int64), np.empty(0, np.int64), [np.empty(0, np.float32) for _ in machines]
     word = word.astype(np.int32)
-    total = np.zeros(len(k), np.float32)
+    totals = [np.zeros(len(k), np.float32) for _ in machines]
     for d, e, w in offsets():
         n = len(k) - d - e
         if n <= 0:
             continue
         number = (k[:n] * KINDS + k[d:d + n]) * KINDS + k[d + e:d + e + n]
-        part = model.weights[number]
-        part *= np.float32(w)
-        part *= word[:n] == word[d + e:d + e + n]
-        total[:n] += part
+        weight = (word[:n] == word[d + e:d + e + n]) * np.float32(w)
+        for total, (weights, _) in zip(totals, machines):
+            part = weights[number]
+            part *= weight
+            total[:n] += part
     starts = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
     size = np.diff(np.concatenate([starts, [len(k)]]))
-    margin = np.add.reduceat(total, starts) / norm[np.minimum(size, LONGEST)] + np.float32(model.bias)
+    by = norm[np.minimum(size, LONGEST)]
+    margin = [np.add.reduceat(total, starts) / by + np.float32(bias) for total, (_, bias) in zip(totals, machines)]
     begin = place[starts]
     begin = begin - ((begin > 0) & (data[np.maximum(begin - 1, 0)] >= 0xC0))  # the first byte of a letter of several
     return begin, place[starts + size - 1] + 1, margin
 
 
-def worst_words(texts: pa.Array, model: Model, tables: tuple, most: int = 1) -> list:
-    """For each text its highest margins and their words: a list of ``(margin, word)``, ``most`` at most."""
+def worst_words(texts: pa.Array, model: Model, tables: tuple, most: int = 1) -> list[dict]:
+    """For each text: ``worst``, the ``most`` highest margins and their words, and ``words``, how many it has.
+
+    By the second machine: ``over``, the words above 0, and ``common``, the highest margin and its word.
+    """
     out = []
     for value in texts:
         data = np.frombuffer((value.as_py() or "").encode(), np.uint8)
-        best = []
+        best, words, over, common = [], 0, 0, None
+
+        def named(margin, i):
+            return {"margin": float(margin[i]), "word": bytes(data[a + start[i]:a + end[i]]).decode("utf-8", "replace")}
+
         for a, b in _pieces(data):
-            start, end, margin = word_margins(data[a:b], model, tables)
-            top = np.argsort(-margin, kind="stable")[:most]
-            best += [(float(margin[i]), bytes(data[a + start[i]:a + end[i]]).decode("utf-8", "replace")) for i in top]
-        best.sort(key=lambda x: -x[0])
-        out.append(best[:most])
+            start, end, found = word_margins(data[a:b], model, tables)
+            best += [named(found[0], i) for i in np.argsort(-found[0], kind="stable")[:most]]
+            words += len(start)
+            if len(found) > 1 and len(start):
+                over += int((found[1] > 0).sum())
+                top = named(found[1], int(np.argmax(found[1])))
+                common = top if common is None or top["margin"] > common["margin"] else common
+        best.sort(key=lambda x: -x["margin"])
+        out.append({"worst": best[:most], "words": words, "over": over, "common": common})
     return out
 
 
@@ -216,18 +241,21 @@ def is_held_out(row_id: str = "doc_id", folds: int = 3, held_out: int = 1):
     return F.crc32(F.col(row_id).cast("string").cast("binary")) % folds == held_out
 
 
-def telling_quadruples(train: DataFrame, part: float = 0.02, share: float = 0.95, most: int = 2000) -> list[str]:
-    """Four-letter stretches that occur in a ``part`` of the toxic documents and, ``share`` of the time, in such only.
+def telling_stretches(train: DataFrame, sizes: tuple[int, ...] = (4,), mark: str = "", part: float | None = 0.02,
+                      share: float = 0.95, most: int = 2000) -> list[str]:
+    """Stretches of words (after ``mark``) that occur in a ``part`` of the toxic documents and, ``share`` of the time, in such only.
 
     At least in so many that chance would give less than one such stretch among
-    a million (if stretches fell on documents of either class alike).
+    a million (if stretches fell on documents of either class alike), or, with a
+    ``part``, in a quarter of them. Without a ``part`` that chance alone decides.
     """
 
-    def quadruples(batches):
+    def stretches(batches):
         for batch in batches:
             counts: dict[str, list[int]] = {}
             for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                seen = {w[i:i + 4] for w in set((text or "").lower().split()) for i in range(len(w) - 3)}
+                words = {mark + w for w in set((text or "").lower().split())}
+                seen = {w[i:i + n] for w in words if len(w) <= LONGEST for n in sizes for i in range(len(w) - n + 1)}
                 for q in seen:
                     counts.setdefault(q, [0, 0])[toxic] += 1
             yield pa.RecordBatch.from_arrays(
@@ -235,32 +263,42 @@ def telling_quadruples(train: DataFrame, part: float = 0.02, share: float = 0.95
                  pa.array([c[0] for c in counts.values()], pa.int64())], ["q", "toxic", "clean"])
 
     counted = (train.select("text", F.col("toxic").cast("int").alias("toxic")).repartition(32, "toxic", F.xxhash64("text"))
-               .mapInArrow(quadruples, "q string, toxic long, clean long")
+               .mapInArrow(stretches, "q string, toxic long, clean long")
                .groupBy("q").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")))
     n = train.agg(F.count(F.when(F.col("toxic") == 1, 1)), F.count(F.when(F.col("toxic") == 0, 1))).first()
     if not n[0]:
         return []
     rate = F.col("toxic") / n[0]
     odds = (n[0] + 1) / (n[0] + n[1] + 2)
-    least_docs = max(part * n[0], min(math.log(1e6) / -math.log(odds), n[0] / 4))
+    by_chance = math.log(1e6) / -math.log(odds)
+    least_docs = by_chance if part is None else max(part * n[0], min(by_chance, n[0] / 4))
     picked = (counted.where((F.col("toxic") >= least_docs) & (rate >= share * (rate + F.col("clean") / max(n[1], 1))))
               .orderBy(F.col("toxic").desc(), "q").limit(most).select("q").collect())
     return [r.q for r in picked]
 
 
-def training_words(train: DataFrame, telling: list[str], most: int = MAX_WORDS) -> tuple[dict, dict]:
-    """Words of toxic documents with a telling quadruple, and words of clean documents by the least hash and by frequency.
+def training_words(train: DataFrame, telling: list[str], mark: str = "", most: int = MAX_WORDS) -> tuple[dict, dict]:
+    """Words of toxic documents with a telling stretch, and words of clean documents by the least hash and by frequency.
 
     Both with the number of training documents that hold them.
     """
     word = F.explode(F.array_distinct(F.split(F.lower(F.coalesce("text", F.lit(""))), r"[\x20\x09-\x0D]+", -1)))
     words = train.select("toxic", word.alias("word")).where(F.length("word").between(3, LONGEST))
-    found = F.exists(F.array(*map(F.lit, telling)), lambda q: F.contains(F.col("word"), q)) if telling else F.lit(False)
-    marked = words.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.count("*").alias("n"))
-    bad = (marked.where((F.col("toxic") > 0) & found & (F.col("toxic") * 2 > F.col("n")))
+    known, sizes = frozenset(telling), sorted({len(q) for q in telling})
+
+    def tell(batches):
+        for batch in batches:
+            marks = [mark + w for w in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array([any(w[i:i + n] in known for n in sizes for i in range(len(w) - n + 1)) for w in marks],
+                                          pa.bool_())], ["word", "toxic", "n", "found"])
+
+    marked = written(words.groupBy("word").agg(F.sum("toxic").cast("long").alias("toxic"), F.count("*").alias("n"))
+                     .mapInArrow(tell, "word string, toxic long, n long, found boolean"), "toxic-words")
+    bad = (marked.where((F.col("toxic") > 0) & F.col("found") & (F.col("toxic") * 2 > F.col("n")))
            .orderBy(F.col("toxic").desc(), "word").limit(most).select("word", "toxic").collect())
     good = marked.where(F.col("toxic") == 0).orderBy(F.xxhash64("word")).limit(most).select("word", "n").collect()
-    often = marked.where(~found).orderBy(F.col("n").desc(), "word").limit(most // 4).select("word", "n").collect()
+    often = marked.where(~F.col("found")).orderBy(F.col("n").desc(), "word").limit(most // 4).select("word", "n").collect()
     return {r.word: r.toxic for r in bad}, {r.word: r.n for r in [*good, *often]}
 
 
@@ -321,77 +359,124 @@ def train_words(toxic: dict[str, int], clean: dict[str, int], landmarks: int = L
     return Model(table, float(beta[-1]))
 
 
-def fit_curve(margins: np.ndarray, toxic: np.ndarray) -> tuple[float, float]:
-    """Slope and shift of the logistic curve, with smoothed targets (so that even parted classes have a finite curve)."""
+def fit_curve(measures: np.ndarray, toxic: np.ndarray) -> np.ndarray:
+    """Weights and shift of the logistic curve, with smoothed targets (so that even parted classes have a finite curve)."""
     n1, n0 = toxic.sum(), (1 - toxic).sum()
+    beta = np.zeros(measures.shape[1] + 1)
+    beta[0] = 1.0
     if not n1 or not n0:
-        return 1.0, 0.0
+        return beta
     target = np.where(toxic == 1, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
-    x = np.stack([margins, np.ones(len(margins))], axis=1)
-    beta = np.array([1.0, 0.0])
-    for _ in range(100):
+    middle = measures.mean(axis=0)
+    x = np.hstack([measures - middle, np.ones((len(measures), 1))])
+
+    def loss(b):
+        z = x @ b
+        return np.sum(np.logaddexp(0, z) - target * z) + 0.5e-4 * b @ b
+
+    for _ in range(100):  # Newton steps, halved until they lower the loss
         p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
-        step = np.linalg.solve((x * np.maximum(p * (1 - p), 1e-9)[:, None]).T @ x + 1e-4 * np.eye(2),
+        step = np.linalg.solve((x * np.maximum(p * (1 - p), 1e-9)[:, None]).T @ x + 1e-4 * np.eye(len(beta)),
                                x.T @ (target - p) - 1e-4 * beta)
-        beta = beta + np.clip(step, -5, 5)
+        now = loss(beta)
+        while np.abs(step).max() > 1e-8 and loss(beta + step) > now:
+            step = step / 2
+        beta = beta + step
         if np.abs(step).max() < 1e-8:
             break
-    return max(float(beta[0]), 1e-3), float(beta[1])
+    beta[-1] -= beta[:-1] @ middle
+    return beta
+
+
+def log_share(over, words):
+    """The logarithm of the share of words above the bound, drawn towards little in short texts."""
+    return F.log((over + 0.3) / (words + 50))
+
+
+MARGIN = T.StructType([T.StructField("margin", T.DoubleType()), T.StructField("word", T.StringType())])
+MARGINS = {"worst": T.ArrayType(MARGIN), "words": T.LongType(), "over": T.LongType(), "common": MARGIN}
 
 
 def margins(df: DataFrame, model: Model, text: str = "text", most: int = 1) -> DataFrame:
-    """All columns but the text, and ``worst``: the ``most`` highest margins of the text and their words, highest first."""
-    kept = [f for f in df.schema.fields if f.name not in (text, "worst")]
-    names = [f.name for f in kept]
-    item = T.StructType([T.StructField("margin", T.DoubleType()), T.StructField("word", T.StringType())])
-    schema = T.StructType([*kept, T.StructField("worst", T.ArrayType(item))])
-    kind = pa.list_(pa.struct([("margin", pa.float64()), ("word", pa.string())]))
-    sent = df.sparkSession.sparkContext.broadcast(model)  # a table of KINDS ** 3 weights
-
-    def score(batches):
+    """All columns but the text in ``row``, and those of ``MARGINS`` as ``worst_words`` gives them."""
+    rows = df.select(F.struct(*(c for c in df.columns if c != text)).alias("row") if len(df.columns) > 1
+                     else F.struct(F.lit(0).alias("none")).alias("row"), F.col(text).alias("text"))
+    schema = T.StructType([rows.schema["row"], *(T.StructField(n, t) for n, t in MARGINS.items())])
+    kind = pa.struct([("margin", pa.float64()), ("word", pa.string())])
+    kinds = {"worst": pa.list_(kind), "words": pa.int64(), "over": pa.int64(), "common": kind}
+    # one or two tables of KINDS ** 3 weights; as plain values, so that executors need no class of this package
+    sent = df.sparkSession.sparkContext.broadcast((model.weights, model.bias, model.common, model.common_bias))
+
+    def measure(batches):
         tables = letter_kinds(), lengths().astype(np.float32)
+        weights, bias, common, common_bias = sent.value
+        known = Model(weights, bias, common=common, common_bias=common_bias)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                found = worst_words(part.column(part.schema.get_field_index(text)), sent.value, tables, most)
-                rows = pa.array([[{"margin": m, "word": w} for m, w in f] for f in found], kind)
+                found = worst_words(part.column(1), known, tables, most)
                 yield pa.RecordBatch.from_arrays(
-                    [*(part.column(part.schema.get_field_index(n)) for n in names), rows], [*names, "worst"])
+                    [part.column(0), *(pa.array([f[n] for f in found], k) for n, k in kinds.items())], ["row", *kinds])
 
-    return df.mapInArrow(score, schema)
+    return rows.mapInArrow(measure, schema)
 
 
-def fit(docs: DataFrame, labels: DataFrame, rounds: int = 2) -> Model:
-    """Train on the labelled documents that are not held out."""
-    train = written(training_rows(docs, labels), "toxic-train")
-    toxic, clean = training_words(train, telling_quadruples(train))
+def fit_words(train: DataFrame, toxic: dict[str, int], clean: dict[str, int], rounds: int, most: int) -> Model:
+    """A machine for these words; in each round, words of clean documents that score high join the other class."""
     for _ in range(rounds):
         model = train_words(toxic, clean)
-        hard = (margins(train.where(F.col("toxic") == 0).select("text"), model, most=3)
+        hard = (margins(train.where(F.col("toxic") == 0).select("text"), model, most=most)
                 .select(F.explode("worst").alias("x")).where(F.col("x.margin") > -1)
                 .groupBy(F.lower("x.word").alias("word")).agg(F.max("x.margin").alias("margin"), F.count("*").alias("n"))
                 .orderBy(F.col("margin").desc(), "word").limit(MAX_WORDS // 3).collect())
-        clean = {**{r.word: r.n for r in hard if len(r.word) <= LONGEST}, **clean}
-    model = train_words(toxic, clean)
+        clean = {**{r.word: r.n for r in hard if len(r.word) <= LONGEST and r.word not in toxic}, **clean}
+    return train_words(toxic, clean)
+
+
+def fit(docs: DataFrame, labels: DataFrame, rounds: int = 2) -> Model:
+    """Train on the labelled documents that are not held out."""
+    train = written(training_rows(docs, labels), "toxic-train")
+    model = fit_words(train, *training_words(train, telling_stretches(train)), rounds, 3)
+    rare = training_words(train, telling_stretches(train, tuple(range(4, 10)), "^", None), "^")
+    if rare[0] and rare[1]:
+        second = fit_words(train, *rare, rounds, 8)
+        model.common, model.common_bias = second.weights, second.bias
+    # bounded like the training rows
     seen = margins(train.select("toxic", "text"), model).select(
-        "toxic", F.coalesce(F.get("worst", F.lit(0))["margin"], F.lit(NO_WORD))).collect()  # bounded like the training rows
-    model.slope, model.shift = fit_curve(np.array([float(r[1]) for r in seen]), np.array([float(r[0]) for r in seen]))
+        F.col("row.toxic").cast("double"), F.coalesce(F.get("worst", F.lit(0))["margin"], F.lit(NO_WORD)),
+        F.coalesce("common.margin", F.lit(NO_WORD)), log_share(F.col("over"), F.col("words"))).collect()
+    seen = np.array([list(r) for r in seen], float).reshape(-1, 4)
+    slope, shift = fit_curve(seen[:, 1:2], seen[:, 0])
+    model.slope, model.shift = max(float(slope), 1e-3), float(shift)
+    curve = fit_curve(seen[:, 2:], seen[:, 0])
+    if curve[1] > 0:
+        model.curve = tuple(map(float, curve))
+    else:  # words that are no more frequent in toxic texts
+        model.common = None
     return model
 
 
 def score(df: DataFrame, model: Model, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """All columns but the text, ``score`` (0 to 1), ``predicted`` (0 or 1), ``margin`` and ``word`` (the worst one)."""
+    """``row`` (all columns but the text), ``score`` (0 to 1), ``predicted`` (0 or 1), ``margin`` and ``word``.
+
+    The last two are of the machine that gives the score: its highest margin and that margin's word.
+    """
     worst = F.get("worst", F.lit(0))
-    z = F.lit(model.slope) * F.col("margin") + F.lit(model.shift)
-    return (margins(df, model, text).withColumns({"margin": F.coalesce(worst["margin"], F.lit(NO_WORD)), "word": worst["word"]})
-            .drop("worst").withColumn("score", F.lit(1.0) / (F.lit(1.0) + F.exp(-z)))
+    first = F.lit(model.slope) * F.coalesce(worst["margin"], F.lit(NO_WORD)) + F.lit(model.shift)
+    a, b, c = map(F.lit, model.curve)
+    second = F.when(F.col("over") > 0, a * F.col("common.margin") + b * log_share(F.col("over"), F.col("words")) + c)
+    higher = F.coalesce(second > first, F.lit(False))
+    return (margins(df, model, text)
+            .select("row", (F.lit(1.0) / (F.lit(1.0) + F.exp(-F.when(higher, second).otherwise(first)))).alias("score"),
+                    F.when(higher, F.col("common.margin")).otherwise(F.coalesce(worst["margin"], F.lit(NO_WORD))).alias("margin"),
+                    F.when(higher, F.col("common.word")).otherwise(worst["word"]).alias("word"))
             .withColumn("predicted", (F.col("score") >= threshold).cast("int")))
 
 
 def judge(docs: DataFrame, labels: DataFrame, model: Model | None = None) -> DataFrame:
     """``doc_id, held_out, score, predicted, margin, word`` for every document."""
     model = model or fit(docs, labels)
-    return score(docs.select("doc_id", "text"), model).select(
+    return score(docs.select("doc_id", "text"), model).select("row.doc_id", "score", "predicted", "margin", "word").select(
         "doc_id", F.coalesce(is_held_out(), F.lit(False)).alias("held_out"), "score", "predicted", "margin", "word")
 
 
@@ -400,7 +485,7 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD)
     model = fit(docs, labels)
     scored = score(docs.select(F.struct(*docs.columns).alias("row"), F.col("text").alias("scored_text")), model,
                    "scored_text", threshold)
-    return scored.where(F.col("predicted") == 0).select("row.*")
+    return scored.where(F.col("predicted") == 0).select("row.row.*")
 
 
 ship(__name__)

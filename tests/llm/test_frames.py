@@ -3,6 +3,8 @@
 import itertools
 import os
 import random
+import subprocess
+import sys
 import zlib
 
 import pytest
@@ -233,6 +235,46 @@ def test_toxic_words_are_learnt_and_gaps_tolerated(spark):
     assert sum(got[plain + 5 + n].predicted for n in range(40)) <= 1
 
 
+def test_rare_insults_are_learnt_and_chance_words_pass(spark):
+    ends = ["ane", "obi", "ule", "ist", "arp", "enk", "oft", "udi", "emo", "irg"]
+    r = random.Random(9)
+    texts, labels = [], []
+    for d in range(1500):
+        n = r.randrange(80, 400)
+        words = prose(20_000 + d, n).split()
+        if d % 10 == 0:  # each word is in few toxic documents, but a toxic document holds several
+            for at in r.sample(range(n), max(2, n // 40)):
+                words[at] = "grovv" + r.choice(ends)
+        elif d % 10 == 5:  # one such word by chance, or the stem alone
+            words[r.randrange(n)] = "grovv" + r.choice([*ends, "", ""])
+        texts.append(" ".join(words))
+        labels.append((d, 1, int(d % 10 == 0)))
+    got = {x.doc_id: x for x in toxicity.judge(frame(spark, texts), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()}
+    held = [d for d in range(1500) if got[d].held_out]
+    toxic = [d for d in held if labels[d][2]]
+    assert sum(got[d].predicted for d in toxic) >= 0.9 * len(toxic)
+    assert sum(got[d].predicted for d in held if not labels[d][2]) <= 0.02 * len(held)
+
+
+def test_scores_need_no_package_on_executors(tmp_path):
+    code = """
+import sys
+sys.path.insert(0, {root!r})
+from readloom.session import build_session
+from readloom.llm import toxicity
+import numpy as np
+spark = build_session(master="local[2]", **{{"spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "2"}})
+table = np.zeros(toxicity.KINDS ** 3, np.float32)
+got = toxicity.score(spark.createDataFrame([(1, "a text"), (2, None)], "doc_id long, text string"), toxicity.Model(table, -1.0))
+print("RESULT", got.count(), got.where("predicted = 0").count())
+"""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", code.format(root=root)], cwd=tmp_path, env=env, capture_output=True, text=True,
+                         timeout=300)
+    assert "RESULT 2 2" in out.stdout, out.stderr[-2000:]
+
+
 def test_shards_are_contiguous_and_even(spark):
     texts = [prose(n % 37, 5 + n % 50) for n in range(900)] + ["same text"] * 500
     rows = sharding.assign_shards(frame(spark, texts), ranges=7).collect()
