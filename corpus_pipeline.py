@@ -23,7 +23,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (0.8 of their five-word shingles in common) stays."""
+    """One document of each group of near copies (fingerprints two bits apart, or 0.8 of their five-word shingles in common) stays."""
     return near_copies.keep_one(docs)
 
 

@@ -1,21 +1,26 @@
-"""Near copies by word shingles: MinHash bands bring pairs together, exact Jaccard similarity decides.
+"""Near copies: SimHash fingerprints two bits apart or less, and texts that share most of their word shingles.
 
-A text's words (between ASCII blanks, A-Z as a-z) give the set of its five-word
-shingles, as XXH64 values; a shorter text is one shingle, a text without words
-has none. Texts with the same set are one node from the start. Two nodes are
-near copies when their sets have a Jaccard similarity of ``LEAST`` or more.
+SimHash comes first: the fingerprints of ``simhash``, looked up in its segment
+tables, link texts that differ in two bits at most, as in ``op5``. Copies with more
+changes lie farther apart: a text's words (between ASCII blanks, A-Z as a-z) give the
+set of its five-word shingles, as XXH64 values; a shorter text is one shingle, a text
+without words has none. Texts with the same set are one node from the start. Two nodes
+are near copies, too, when their sets have a Jaccard similarity of ``LEAST`` or more.
 
-Candidates: ``BANDS`` bands of ``ROWS`` MinHash values each. A pair of
+Candidates for that: ``BANDS`` bands of ``ROWS`` MinHash values each. A pair of
 similarity 0.8 meets in none of them with probability ``(1 - 0.8 ** ROWS) **
-BANDS``, 3e-6; a more similar one less often. A SimHash fingerprint does not
-reach such pairs: they differ by about ten of its 64 bits, and an index for ten
+BANDS``, 3e-6; a more similar one less often. Fingerprints alone do not
+reach such pairs: they differ by about ten of the 64 bits, and an index for ten
 bits has segments of so few bits that everything meets.
 
-Each bucket first links its members to its least one. Pairs that such stars
-leave in different components are then tried one by one, so that a large group
-of copies costs as many tries as it has members, and no candidate that could
-connect two components goes untried. Sets are compared whole; only texts that
-met another are cut into shingles again for that.
+Each bucket first links its members to one centre, the one that meets most others in all
+its buckets; a large group of copies has the same centre in nearly all of them. What
+such stars leave in different components of a bucket is tried one by one, but only
+where the sets can still reach the bound: a shingle that just one component holds
+is in common with nothing, a text with too few others is near to none of
+the rest, and two that share only what most share, after too many rare ones of their own, are not near.
+That leaves out no pair that could be near. Sets are compared whole; only
+texts that met another are cut into shingles again for that.
 """
 
 from __future__ import annotations
@@ -23,10 +28,11 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from readloom.functions.shipping import ship
-from readloom.llm.simhash import components
+from readloom.llm.simhash import components, fingerprint, links
 from readloom.session import written
 
 SHINGLE = 5
@@ -84,7 +90,7 @@ def band_values(shingles: np.ndarray, numbers: np.ndarray) -> np.ndarray:
 
 
 def sketches(df: DataFrame, row_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, text_hash, node, n, bands``: each text's set of shingles, as its number, size and band values."""
+    """``doc_id, text_hash, node, n, bands, fp``: each text's set of shingles, as its number, size and band values, and its fingerprint."""
     rows = df.select(F.col(row_id).alias("doc_id"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("text"))
     of_id = rows.schema["doc_id"].dataType.simpleString()
 
@@ -93,13 +99,14 @@ def sketches(df: DataFrame, row_id: str = "doc_id", text: str = "text") -> DataF
         for batch in batches:
             for low in range(0, batch.num_rows, PART):
                 part = batch.slice(low, PART)
-                sets = [shingle_set(t.as_py()) for t in part.column(2)]
+                texts = part.column(2).to_pylist()
+                sets = [shingle_set(t) for t in texts]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), pa.array(map(node_of, sets), pa.int64()), pa.array(map(len, sets), pa.int64()),
-                     pa.array([band_values(s, numbers) for s in sets], pa.list_(pa.int64()))],
-                    ["doc_id", "text_hash", "node", "n", "bands"])
+                     pa.array([band_values(s, numbers) for s in sets], pa.list_(pa.int64())), pa.array(map(fingerprint, texts), pa.int64())],
+                    ["doc_id", "text_hash", "node", "n", "bands", "fp"])
 
-    return rows.mapInArrow(compute, f"doc_id {of_id}, text_hash long, node long, n long, bands array<long>")
+    return rows.mapInArrow(compute, f"doc_id {of_id}, text_hash long, node long, n long, bands array<long>, fp long")
 
 
 def sets_of(df: DataFrame, wanted: DataFrame, text: str = "text") -> DataFrame:
@@ -129,26 +136,94 @@ def _sizes_fit(a: str, b: str, least: int):
     return F.least(a, b) * 100 >= F.greatest(a, b) * least
 
 
+def fingerprint_links(rows: DataFrame) -> DataFrame:
+    """``(a, b)``: nodes connected by fingerprints two bits apart or less; ``rows`` as from ``sketches``."""
+    of_text = written(rows.select("node", "fp").distinct(), "node-prints")
+    prints = written(of_text.groupBy("fp").agg(F.min("node").alias("least"), F.count("*").alias("copies")), "prints")
+    found, _ = links(prints)
+    first = [prints.select(F.col("fp").alias(c), F.col("least").alias(f"least_{c}")) for c in "ab"]
+    apart = found.join(first[0], "a").join(first[1], "b").select(F.col("least_a").alias("a"), F.col("least_b").alias("b"))
+    same = of_text.join(prints, "fp").select(F.col("least").alias("a"), F.col("node").alias("b"))
+    return apart.unionByName(same).where(F.col("a") != F.col("b"))
+
+
+def stars(met: DataFrame) -> DataFrame:
+    """Members ``bucket, node, n, text_hash`` of buckets shared by several, each with its bucket's ``centre`` and ``centre_n``.
+
+    The centre is the member that meets most in all its buckets.
+    """
+    shared = met.join(met.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1"), "bucket")
+    shared = written(shared, "shared")
+    weighed = written(shared.join(shared.groupBy("node").agg(F.sum("members").alias("weight")), "node"), "weighed")
+    centres = weighed.groupBy("bucket").agg(F.max(F.struct("weight", "node", "n")).alias("centre"))
+    return weighed.join(centres, "bucket").select(
+        "bucket", "node", "n", "text_hash", F.col("centre.node").alias("centre"), F.col("centre.n").alias("centre_n"))
+
+
+def _split(apart: DataFrame) -> DataFrame:
+    """The rows ``(bucket, root, ...)`` of buckets with several roots."""
+    several = apart.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
+    return apart.join(several.select("bucket"), "bucket", "left_semi")
+
+
+#: How often the texts that cannot be near to any of the rest are taken out.
+ROUNDS = 3
+
+
+def contenders(apart: DataFrame, sets: DataFrame, least: int = LEAST, rounds: int = ROUNDS) -> DataFrame:
+    """Rows ``bucket, root, node, n``: those of ``apart`` that may still be near one of another root in their bucket.
+
+    A shingle is usable that nodes of several roots hold. Two sets of similarity ``least`` have
+    ``least / (100 + least)`` of both their sizes in common, so a node with fewer usable ones than that, with the smallest that may
+    be its mate, goes. Others then lose shingles, so that is done ``rounds`` times; any number gives all pairs.
+    """
+    apart = written(_split(apart), "apart")
+    for _ in range(rounds):
+        held = apart.select("node", "root").distinct().join(sets, "node").select("node", "root", F.explode("shingles").alias("shingle"))
+        several = held.groupBy("shingle").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
+        usable = held.join(several.select("shingle"), "shingle").groupBy("node").agg(F.count("*").alias("usable"))
+        smallest = apart.groupBy("bucket").agg(F.min("n").alias("smallest"))
+        mate = F.greatest(F.col("smallest") * 100, F.col("n") * least)
+        kept = (apart.select("bucket", "root", "node", "n").join(usable, "node").join(smallest, "bucket")
+                .where(F.col("usable") * (100 + least) * 100 >= (F.col("n") * 100 + mate) * least))
+        apart = written(_split(written(kept.select("bucket", "root", "node", "n"), "kept")), "apart")
+    return apart
+
+
+def tries(apart: DataFrame, sets: DataFrame, least: int = LEAST) -> DataFrame:
+    """``(a, b)``: all pairs of different roots among the nodes of ``contenders`` that may be near.
+
+    The shingles of each set stand in one order, those that one root alone holds first, then the rare ones. What two sets have in
+    common lies behind the first shingle they share, in both; so only places are joined behind which enough is left.
+    """
+    held = apart.select("node", "root", "n").distinct().join(sets, "node").select("node", "root", "n", F.explode("shingles").alias("shingle"))
+    known = held.groupBy("shingle").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("holders"))
+    order = W.partitionBy("node").orderBy(F.col("low") < F.col("high"), "holders", "shingle")
+    placed = held.join(known, "shingle").withColumn("rest", F.col("n") + 1 - F.row_number().over(order))
+    first = written(placed.where((F.col("low") < F.col("high")) & (F.col("rest") * 100 >= F.col("n") * least))
+                    .select("shingle", "root", "node", "n", "rest"), "prefixes")
+    left, right = (first.select("shingle", *(F.col(c).alias(f"{c}_{s}") for c in ("root", "node", "n", "rest"))) for s in "ab")
+    tried = left.join(right, "shingle").where(
+        (F.col("root_a") < F.col("root_b")) & _sizes_fit("n_a", "n_b", least)
+        & (F.least("rest_a", "rest_b") * (100 + least) >= (F.col("n_a") + F.col("n_b")) * least))
+    return tried.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
+
+
 def near_copies(df: DataFrame, row_id: str = "doc_id", text: str = "text", least: int = LEAST) -> DataFrame:
     """``doc_id, text_hash, root`` for every row: rows connected by near copies have the same root."""
     rows = written(sketches(df, row_id, text), "sketches")
+    close = written(fingerprint_links(rows), "close")
     nodes = rows.groupBy("node").agg(F.min("text_hash").alias("text_hash"), F.first("n").alias("n"), F.first("bands").alias("bands"))
-    met = written(nodes.select("node", "n", "text_hash", F.explode("bands").alias("bucket")), "bands")
-    centres = met.groupBy("bucket").agg(F.min(F.struct("node", "n")).alias("centre"), F.count("*").alias("members")).where("members > 1")
-    met = written(met.join(centres, "bucket").select("bucket", "node", "n", "text_hash", F.col("centre.node").alias("centre"),
-                                                     F.col("centre.n").alias("centre_n")), "candidates")
+    met = written(stars(nodes.select("node", "n", "text_hash", F.explode("bands").alias("bucket"))), "candidates")
     sets = written(sets_of(df, met.select("text_hash").distinct(), text), "sets")
-    stars = met.where((F.col("node") != F.col("centre")) & _sizes_fit("n", "centre_n", least))
-    edges = written(alike(stars.select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct(), sets, least), "stars")
+    to_centre = met.where((F.col("node") != F.col("centre")) & _sizes_fit("n", "centre_n", least))
+    near = alike(to_centre.select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct(), sets, least)
+    edges = written(close.unionByName(near), "stars")
 
-    placed = written(met.join(components(edges), "node", "left").withColumn("root", F.coalesce("root", "node")), "placed")
-    split = placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("bucket")
+    placed = met.join(components(edges), "node", "left").withColumn("root", F.coalesce("root", "node"))
     # the centre has been tried with every member
-    apart = written(placed.join(split, "bucket", "left_semi").where(F.col("node") != F.col("centre"))
-                    .select("bucket", "root", "node", "n"), "apart")
-    left, right = (apart.select("bucket", *(F.col(c).alias(f"{c}_{s}") for c in ("root", "node", "n"))) for s in "ab")
-    tried = left.join(right, "bucket").where((F.col("root_a") < F.col("root_b")) & _sizes_fit("n_a", "n_b", least))
-    more = alike(tried.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct(), sets, least)
+    apart = placed.where(F.col("node") != F.col("centre")).select("bucket", "root", "node", "n")
+    more = alike(tries(contenders(apart, sets, least), sets, least), sets, least)
     roots = components(written(edges.unionByName(more), "near"))
     return (rows.join(roots, "node", "left")
             .select("doc_id", "text_hash", F.coalesce("root", "node").alias("root")))

@@ -13,7 +13,7 @@ xxhash = pytest.importorskip("xxhash")
 
 import corpus_pipeline  # noqa: E402
 from oracle import compare, connect  # noqa: E402
-from readloom.llm import decontaminate, licenses, quality, queries, sharding, simhash, substring_dedup, toxicity, url_filter  # noqa: E402
+from readloom.llm import decontaminate, licenses, near_copies, quality, queries, sharding, simhash, substring_dedup, toxicity, url_filter  # noqa: E402
 
 SF = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, shard string, item_id string, fp string, margin string, h string"
@@ -408,6 +408,35 @@ def test_stage_keeps_one_of_near_copies(spark):
     assert sorted(x.doc_id for x in got.collect()) == sorted(set(root))
 
 
+def test_stage_links_close_fingerprints(spark):
+    """Texts of one fingerprint are one group, however few five-word shingles they share."""
+    texts = [" ".join([prose(31, 5)] * 60 + [prose(40 + n, 20)]) for n in range(3)] + [prose(50, 90)]
+    assert len({simhash.fingerprint(t) for t in texts[:3]}) == 1
+    got = corpus_pipeline.drop_near_copies(spark, frame(spark, texts), SF)
+    assert sorted(x.doc_id for x in got.collect()) == [0, 3]
+
+
+def test_large_group_is_not_tried_pair_by_pair(spark):
+    """Variants too far from all others are told by their shingles; pairs that are near stay."""
+    r = random.Random(4)
+    base = prose(8000, 150).split()
+
+    def variant(words, n):
+        w = list(words)
+        for at in r.sample(range(len(w)), n):
+            w[at] = prose(r.random(), 3).replace(" ", "")
+        return w
+
+    # up to 3 words off the base; 7 and more off it; two of those once more, so that they are near each other only
+    far = [variant(base, r.choice([7, 8, 12])) for _ in range(60)]
+    every = [variant(base, r.choice([1, 2, 3])) for _ in range(60)] + far + [variant(w, 1) for w in far[:2]]
+    sets = spark.createDataFrame([(n, near_copies.shingle_set(" ".join(w)).view("int64").tolist()) for n, w in enumerate(every)], "node long, shingles array<long>")
+    rows = [("x", 0 if n < 60 else n, n, len(near_copies.shingle_set(" ".join(w)))) for n, w in enumerate(every)]
+    left = near_copies.contenders(spark.createDataFrame(rows, "bucket string, root long, node long, n long"), sets)
+    pairs = {(x.a, x.b) for x in near_copies.tries(left, sets).collect()}
+    assert {(60, 120), (61, 121)} <= pairs and len(pairs) < 20  # of 5,600
+
+
 def test_stage_with_repeated_ids(spark):
     texts = [prose(1, 80), prose(2, 80), prose(2, 80), prose(1, 80), prose(3, 80), prose(3, 80)]
     got = corpus_pipeline.drop_near_copies(spark, frame(spark, texts, [5, 5, 5, 6, None, None]), SF)
