@@ -22,6 +22,8 @@ from readloom.sources.blocks import LAST, MOST, member_of
 
 ship(__name__)
 
+PART = 1 << 10
+
 
 @dataclass
 class Written(WriterCommitMessage):
@@ -57,13 +59,13 @@ class BlockWriter(DataSourceArrowWriter):
         held = bytearray()
         with store.open_output_stream(done.hidden) as out:
             for batch in batches:
-                for value in batch.column(0):
-                    held += (value.as_py() or "").encode() + b"\n"
-                    if len(held) >= MOST:
-                        whole = len(held) - len(held) % MOST
-                        for at in range(0, whole, MOST):
-                            out.write(member_of(bytes(held[at:at + MOST]), self.level))
-                        del held[:whole]
+                values = batch.column(0).to_pylist()
+                for low in range(0, len(values), PART):
+                    held += "".join(f"{v or ''}\n" for v in values[low:low + PART]).encode()
+                    whole = len(held) - len(held) % MOST
+                    for at in range(0, whole, MOST):
+                        out.write(member_of(bytes(held[at:at + MOST]), self.level))
+                    del held[:whole]
             if held:
                 out.write(member_of(bytes(held), self.level))
             out.write(LAST)

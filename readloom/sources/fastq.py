@@ -37,6 +37,9 @@ READ_SCHEMA = "file string, read_no bigint, header string, seq string, plus stri
 ship(__name__)
 ENDINGS = (".fastq.gz", ".fq.gz", ".fastq", ".fq")
 BLOCK = 4 << 20
+#: Ranges beyond this number share tasks, as far as a task gets no more than ``TASK_BYTES`` of the files.
+TASKS = 512
+TASK_BYTES = 128 << 20
 
 
 def _raw(root: str, path: str) -> io.BufferedReader:
@@ -56,6 +59,18 @@ class Slice(InputPartition):
         self.file, self.root, self.path, self.start, self.stop = file, root, path, start, stop
 
 
+class Slices(InputPartition):
+    """Ranges that one task goes through."""
+
+    def __init__(self, slices: list[Slice]):
+        self.slices = slices
+
+
+def tasks_of(ranges: int, split_bytes: int) -> int:
+    """Tasks for so many ranges: one for each, or fewer where the ranges are small and many."""
+    return min(ranges, max(TASKS, -(-ranges * split_bytes // TASK_BYTES))) if split_bytes else ranges
+
+
 class FastqSlices(DataSource):
     """Byte ranges of FASTQ files. Options: ``path``, ``split_bytes`` (0: files stay whole),
     ``endings`` (of file names, joined by commas).
@@ -101,9 +116,18 @@ class SliceReader(DataSourceReader):
             if self.split_bytes:
                 cuts = list(range(0, f.size, self.split_bytes)) or cuts
             out += [Slice(prefix + f.path, self.root, f.path, a, b) for a, b in zip(cuts, [*cuts[1:], None])]
-        return out or [Slice("", "", "", 0, 0)]
-
-    def read(self, part: Slice) -> Iterator[tuple]:
+        if not out:
+            return [Slice("", "", "", 0, 0)]
+        n = tasks_of(len(out), self.split_bytes)
+        if n == len(out):
+            return out
+        return [Slices(out[len(out) * k // n:len(out) * (k + 1) // n]) for k in range(n)]
+
+    def read(self, part: Slice | Slices) -> Iterator[tuple]:
+        for each in part.slices if isinstance(part, Slices) else [part]:
+            yield from self._newlines(each)
+
+    def _newlines(self, part: Slice) -> Iterator[tuple]:
         if not part.file:
             return
         cut = part.start or part.stop is not None
@@ -240,8 +264,10 @@ def read_fastq(
     before = W.partitionBy("file").orderBy("start").rowsBetween(W.unboundedPreceding, -1)
     # the first line of a range that is not the first: one more than the lines begun by newlines before it
     placed = slices.withColumn("first_line", F.when(F.col("start") == 0, F.lit(0)).otherwise(F.lit(1) + F.sum("newlines").over(before)).cast("bigint"))
-    # one slice per task: a few hundred bytes each are dealt out, the reads come after that
-    dealt = placed.drop("newlines").repartition(max(slices.count(), 1))
+    # a few hundred bytes for each slice are dealt out, the reads come after that
+    n = slices.count()
+    whole = 0 if first_reads is not None else split_bytes
+    dealt = placed.drop("newlines").repartition(max(tasks_of(n, whole), 1))
     return dealt.mapInArrow(_reads(lines_per_record, first_reads), READ_SCHEMA)
 
 

@@ -113,6 +113,22 @@ def test_slices_cover_any_file(tmp_path_factory, data, split, lines, block):
     assert got == want
 
 
+def test_many_small_ranges_share_tasks(spark, tmp_path):
+    path = tmp_path / "x.fastq"
+    path.write_text(fastq(500))
+    size = path.stat().st_size
+    parts = Q.SliceReader({"path": str(path), "split_bytes": "10"}).partitions()
+    assert len(parts) == Q.TASKS < size // 10
+    whole = [row for part in parts for row in Q.SliceReader({"path": str(path)}).read(part)]
+    assert len(whole) == -(-size // 10) and sum(row[-1] for row in whole) == 4 * 500 - (not fastq(500).endswith("\n"))
+    got = read_fastq(spark, str(path), split_bytes=10)
+    assert got.rdd.getNumPartitions() == Q.TASKS
+    want = read_fastq(spark, str(path))
+    assert got.count() == 500 and got.exceptAll(want).isEmpty()
+    # ranges of a full task's size stay alone
+    assert Q.tasks_of(2000, Q.TASK_BYTES) == 2000 and Q.tasks_of(2000, Q.TASK_BYTES // 2) == 1000 and Q.tasks_of(300, 1) == 300
+
+
 def test_gzip_wrapped_and_empty(spark, tmp_path, rows):
     with gzip.open(tmp_path / "s_R1.fq.gz", "wt") as f:
         f.write(fastq(50))
