@@ -12,6 +12,7 @@ salt and each feature is repeated once per salt.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -158,7 +159,7 @@ def overlap_join(
     Features are measured when this is called, unless their layout knows their size. Up to ``BROADCAST_BYTES`` they
     are broadcast and no read moves. Beyond, or when ``salts`` is given, both
     sides are shuffled by bin and salt; without a number the fullest bin is
-    counted and gives it.
+    counted and gives it. With ``inner`` the levels of a layout are then joined one by one, each in its own way.
     """
     key = key or ["fragment_id"]
     levels = as_layout(width)
@@ -176,6 +177,12 @@ def overlap_join(
     size = levels.bytes
     if salts is None and size is None:
         size = _binned_bytes(features.select("chrom", "start", "end", *columns), levels)
+    if how == "inner" and salts is None and size > BROADCAST_BYTES and len(levels.widths) > 1:
+        # few long features are broadcast by themselves, so that the many short ones need no salt for their reads
+        at = levels.level(F.col("start"), F.col("end"))
+        each = [overlap_join(reads, features.where(at == k), feature_columns, Layout((w,)), None, key, strand, how)
+                for k, w in enumerate(levels.widths)]
+        return reduce(DataFrame.unionByName, each)
     if salts is None and size <= BROADCAST_BYTES:
         right = F.broadcast(right)
     else:
@@ -190,6 +197,36 @@ def overlap_join(
     return joined.drop("_bin", "_salt", "f_bin", "f_salt", "f_chrom")
 
 
+def with_before(features: DataFrame, gene: str = "gene_id") -> DataFrame:
+    """The features, each with ``before``: the largest end of those of its gene and chromosome that stand before it.
+
+    A read that overlaps a feature overlaps none before it exactly when it starts at ``before`` or later. The
+    order is by start; that of equal features makes no difference once the result is stored.
+    """
+    earlier = W.partitionBy(gene, "chrom").orderBy("start", "end").rowsBetween(W.unboundedPreceding, -1)
+    return features.withColumn("before", F.max("end").over(earlier))
+
+
+def count_pairs(alignments: DataFrame, features: DataFrame, gene: str = "gene_id", floor: int = READ_BASES) -> DataFrame:
+    """``gene, pairs, fragments``: alignments on features of each gene, and the fragments among them, each once.
+
+    Alignments are shuffled by fragment, not what they overlap: the only alignment of a fragment counts
+    with the first feature of a gene that it overlaps, and needs no name any more. Only the genes of fragments
+    with several alignments are made distinct.
+    """
+    known = written(with_before(features, gene), "features-before")
+    reads = alignments.select("fragment_id", "chrom", "start", "end").withColumn("_n", F.count("fragment_id").over(W.partitionBy("fragment_id")))
+    reads = reads.withColumn("fragment_id", F.when(F.col("_n") > 1, F.col("fragment_id")))
+    hits = overlap_join(reads, known, [gene, "before"], layout(known, floor=floor), key=["start", "fragment_id"], how="inner")
+    first = F.col("f_before").isNull() | (F.col("f_before") <= F.col("start"))
+    # one row per gene and partition leaves for a fragment's only alignment
+    rows = hits.select(F.col(f"f_{gene}").alias(gene), "fragment_id", ((F.col("_n") == 1) & first).cast("int").alias("one"), first.alias("first"))
+    alone = rows.groupBy(gene).agg(F.count("*").alias("pairs"), F.sum("one").alias("fragments"))
+    several = rows.where(F.col("first") & F.col("fragment_id").isNotNull()).select(gene, "fragment_id").distinct().groupBy(gene).agg(
+        F.lit(0).cast("bigint").alias("pairs"), F.count("*").alias("fragments"))
+    return alone.unionByName(several).groupBy(gene).agg(F.sum("pairs").alias("pairs"), F.sum("fragments").alias("fragments"))
+
+
 def gene_codes(features: DataFrame) -> DataFrame:
     """``(gene_code, gene_id)``: a number per gene, so aggregates over genes stay in
     hash maps (Spark sorts for a minimum of texts).

@@ -385,8 +385,7 @@ def _(spark, sf):
     exons = V.exons(spark, sf).select("gene_id", "chrom", "start", "end")
     spans = exons.groupBy(F.concat(F.lit("span of "), "gene_id").alias("gene_id"), "chrom").agg(F.min("start").alias("start"), F.max("end").alias("end"))
     features = written(exons.unionByName(spans), "gene-spans")
-    pairs = I.overlap_join(V.alignments(spark, sf), features, ["gene_id"], I.layout(features, floor=I.READ_BASES), how="inner")
-    return pairs.groupBy(F.col("f_gene_id").alias("gene_id")).agg(F.count("*").alias("pairs"), F.countDistinct("fragment_id").alias("fragments"))
+    return I.count_pairs(V.alignments(spark, sf), features)
 
 
 @register("overlap_pairs", "alignments exons", """SELECT a.sample_id, e.gene_id, count(*) n FROM alignments a JOIN exons e

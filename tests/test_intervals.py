@@ -168,3 +168,23 @@ def test_bed12(spark, tmp_path):
     write_bed12(I.transcripts_bed12(ann), str(tmp_path / "out"))
     lines = [x for p in (tmp_path / "out").glob("*.csv") for x in p.read_text().splitlines()]
     assert "1\t100\t400\tAlpha\t0\t+\t100\t400\t0\t2\t50,100,\t0,200," in lines
+
+
+@pytest.mark.parametrize("most", [0, 64 << 20])
+def test_pairs_and_fragments_by_brute_force(spark, monkeypatch, most):
+    """Repeated fragments, features that nest, repeat, touch and are empty; with and without broadcasts."""
+    monkeypatch.setattr(I, "BROADCAST_BYTES", most)
+    r = random.Random(12)
+    exons = [(r.choice(["g1", "g2", None]), r.choice("12"), a, a + r.choice([0, 1, 7, 30])) for a in (r.randint(0, 400) for _ in range(60))]
+    exons += exons[:5] + [("g1", "1", 0, 5000), ("g3", "2", 100, 4000)]
+    reads = [(r.choice([None, *map(str, range(120))]), r.choice("12"), a, a + r.choice([0, 1, 20])) for a in (r.randint(0, 600) for _ in range(200))]
+    want = {}
+    for gene, chrom, start, end in exons:
+        for fragment, c, a, b in reads:
+            if c == chrom and a < end and start < b:
+                pairs = want.setdefault(gene, [0, set()])
+                pairs[0] += 1
+                pairs[1] |= {fragment} - {None}
+    got = I.count_pairs(spark.createDataFrame(reads, "fragment_id string, chrom string, start bigint, end bigint"),
+                        spark.createDataFrame(exons, "gene_id string, chrom string, start bigint, end bigint"))
+    assert {x.gene_id: (x.pairs, x.fragments) for x in got.collect()} == {g: (n, len(f)) for g, (n, f) in want.items()}
