@@ -151,7 +151,7 @@ class Codec:
     """Encodes texts and decodes their ids again, word by word: both are joins of what their words give."""
 
     def __init__(self, vocabulary: Vocabulary):
-        self.encoder, self.decoder = vocabulary.once(Encoder), vocabulary.once(Decoder)
+        self.v, self.encoder, self.decoder = vocabulary, vocabulary.once(Encoder), vocabulary.once(Decoder)
 
     def both(self, text: str) -> tuple[list[bytes], list[tuple[int, bytes, bytes]]]:
         """The ids of each word, and what ``Decoder`` says of them."""
@@ -257,21 +257,28 @@ def codes(df: DataFrame, vocabulary_path: str, wanted: list[str], keep: list[str
     fields = [f for f in df.select(*keep).schema.fields]
     schema = T.StructType([*fields, *(T.StructField(c, CODES[c], False) for c in wanted)])
     spelt = bool({"decoded", "decoded_sha256", "round_trip"} & set(wanted))
+    # the decoder's table of words pays where ids are spelt out in decimal; their bytes alone are looked up id by id
+    worded = "ids_sha256" in wanted
 
     def run(batches):
-        codec = table.value.once(Codec)
+        codec = table.value.once(Codec if worded else Encoder)
         for batch in batches:
             for part in _slices(batch):
                 out = {c: [] for c in wanted}
                 for value in part.column(part.num_columns - 1):
                     plain = value.as_py() or ""
-                    packed, said = codec.both(plain)
-                    decoded = b"".join([x[2] for x in said]).decode("utf-8", "replace") if spelt else ""
+                    if worded:
+                        packed, said = codec.both(plain)
+                        ids = np.frombuffer(b"".join(packed), "i4")
+                        decoded = b"".join([x[2] for x in said]).decode("utf-8", "replace") if spelt else ""
+                    else:
+                        ids = codec.encode(plain)
+                        decoded = codec.decode(ids.tolist()) if spelt else ""
                     for c in wanted:
                         if c == "ids":
-                            out[c].append(np.frombuffer(b"".join(packed), "i4"))
+                            out[c].append(ids)
                         elif c == "n_tokens":
-                            out[c].append(sum([x[0] for x in said]))
+                            out[c].append(len(ids))
                         elif c == "ids_sha256":
                             out[c].append(hashlib.sha256(b",".join([x[1] for x in said])).hexdigest())
                         elif c == "decoded":
@@ -282,6 +289,7 @@ def codes(df: DataFrame, vocabulary_path: str, wanted: list[str], keep: list[str
                             out[c].append(decoded == plain)
                 arrays = [_lists(v) if c == "ids" else pa.array(v, {"n_tokens": pa.int64(), "round_trip": pa.bool_()}.get(c, pa.string())) for c, v in out.items()]
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], *arrays], [*keep, *wanted])
+        pa.default_memory_pool().release_unused()  # else the worker keeps them while it waits, or runs other tasks
 
     return df.select(*keep, F.col(text).alias("_text")).mapInArrow(run, schema)
 

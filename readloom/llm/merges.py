@@ -11,6 +11,7 @@ from __future__ import annotations
 import bisect
 import json
 import unicodedata
+import weakref
 
 import regex
 
@@ -57,10 +58,14 @@ class Vocabulary:
         self.bytes_of.update({i: s.encode() for s, i in specials.items()})
 
     def once(self, make):
-        """What ``make`` builds from this vocabulary, built once per process: a worker's later tasks go on with it."""
+        """What ``make`` builds from this vocabulary, built once per process: a worker's later tasks go on with it.
+
+        It refers to the vocabulary weakly, so that both go as soon as a worker lets the vocabulary go (a
+        cycle of that size would wait for the garbage collector, beside what the worker's next tasks need).
+        """
         found = self.built.get(make.__name__)
         if found is None:
-            found = self.built[make.__name__] = make(self)
+            found = self.built[make.__name__] = make(weakref.proxy(self))
         return found
 
     @classmethod

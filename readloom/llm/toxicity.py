@@ -54,6 +54,8 @@ THRESHOLD = 0.7
 KINDS = 64
 LONGEST = 24
 BLOCK = 1 << 20
+#: Stretches that a task counts before it hands their counts on.
+KEPT_STRETCHES = 150_000
 #: The margin of a text without any word.
 NO_WORD = -4.0
 
@@ -250,17 +252,26 @@ def telling_stretches(train: DataFrame, sizes: tuple[int, ...] = (4,), mark: str
     ``part``, in a quarter of them. Without a ``part`` that chance alone decides.
     """
 
+    def counted_batch(counts: dict[str, int], toxic: int) -> pa.RecordBatch:
+        n, none = pa.array(list(counts.values()), pa.int64()), pa.array(np.zeros(len(counts), np.int64))
+        return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), *((n, none) if toxic else (none, n))], ["q", "toxic", "clean"])
+
     def stretches(batches):
+        found: tuple[dict[str, int], dict[str, int]] = ({}, {})
         for batch in batches:
-            counts: dict[str, list[int]] = {}
-            for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                words = {mark + w for w in set((text or "").lower().split())}
+            for value, toxic in zip(batch.column(0), batch.column(1).to_pylist()):
+                words = {mark + w for w in set((value.as_py() or "").lower().split())}
                 seen = {w[i:i + n] for w in words if len(w) <= LONGEST for n in sizes for i in range(len(w) - n + 1)}
+                counts = found[toxic]
                 for q in seen:
-                    counts.setdefault(q, [0, 0])[toxic] += 1
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(counts), pa.string()), pa.array([c[1] for c in counts.values()], pa.int64()),
-                 pa.array([c[0] for c in counts.values()], pa.int64())], ["q", "toxic", "clean"])
+                    counts[q] = counts.get(q, 0) + 1
+                if len(counts) >= KEPT_STRETCHES:
+                    yield counted_batch(counts, toxic)
+                    counts.clear()
+        for toxic, counts in enumerate(found):
+            if counts:
+                yield counted_batch(counts, toxic)
+        pa.default_memory_pool().release_unused()
 
     counted = (train.select("text", F.col("toxic").cast("int").alias("toxic")).repartition(32, "toxic", F.xxhash64("text"))
                .mapInArrow(stretches, "q string, toxic long, clean long")
@@ -397,10 +408,13 @@ MARGIN = T.StructType([T.StructField("margin", T.DoubleType()), T.StructField("w
 MARGINS = {"worst": T.ArrayType(MARGIN), "words": T.LongType(), "over": T.LongType(), "common": MARGIN}
 
 
-def margins(df: DataFrame, model: Model, text: str = "text", most: int = 1) -> DataFrame:
-    """All columns but the text in ``row``, and those of ``MARGINS`` as ``worst_words`` gives them."""
-    rows = df.select(F.struct(*(c for c in df.columns if c != text)).alias("row") if len(df.columns) > 1
-                     else F.struct(F.lit(0).alias("none")).alias("row"), F.col(text).alias("text"))
+def margins(df: DataFrame, model: Model, text: str = "text", most: int = 1, whole: bool = False) -> DataFrame:
+    """All columns but the text (``whole``: with it) in ``row``, and those of ``MARGINS`` as ``worst_words`` gives them."""
+    if whole:  # the text goes to the task once, inside the row
+        rows, at_text = df.select(F.struct(*df.columns).alias("row")), df.columns.index(text)
+    else:
+        rows = df.select(F.struct(*(c for c in df.columns if c != text)).alias("row") if len(df.columns) > 1
+                         else F.struct(F.lit(0).alias("none")).alias("row"), F.col(text).alias("text"))
     schema = T.StructType([rows.schema["row"], *(T.StructField(n, t) for n, t in MARGINS.items())])
     kind = pa.struct([("margin", pa.float64()), ("word", pa.string())])
     kinds = {"worst": pa.list_(kind), "words": pa.int64(), "over": pa.int64(), "common": kind}
@@ -414,9 +428,10 @@ def margins(df: DataFrame, model: Model, text: str = "text", most: int = 1) -> D
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                found = worst_words(part.column(1), known, tables, most)
+                found = worst_words(part.column(0).field(at_text) if whole else part.column(1), known, tables, most)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), *(pa.array([f[n] for f in found], k) for n, k in kinds.items())], ["row", *kinds])
+        pa.default_memory_pool().release_unused()  # else the worker keeps them while it waits, or runs other tasks
 
     return rows.mapInArrow(measure, schema)
 
@@ -456,8 +471,8 @@ def fit(docs: DataFrame, labels: DataFrame, rounds: int = 2) -> Model:
     return model
 
 
-def score(df: DataFrame, model: Model, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """``row`` (all columns but the text), ``score`` (0 to 1), ``predicted`` (0 or 1), ``margin`` and ``word``.
+def score(df: DataFrame, model: Model, text: str = "text", threshold: float = THRESHOLD, whole: bool = False) -> DataFrame:
+    """``row`` (all columns but the text, or with it if ``whole``), ``score`` (0 to 1), ``predicted`` (0 or 1), ``margin`` and ``word``.
 
     The last two are of the machine that gives the score: its highest margin and that margin's word.
     """
@@ -466,7 +481,7 @@ def score(df: DataFrame, model: Model, text: str = "text", threshold: float = TH
     a, b, c = map(F.lit, model.curve)
     second = F.when(F.col("over") > 0, a * F.col("common.margin") + b * log_share(F.col("over"), F.col("words")) + c)
     higher = F.coalesce(second > first, F.lit(False))
-    return (margins(df, model, text)
+    return (margins(df, model, text, whole=whole)
             .select("row", (F.lit(1.0) / (F.lit(1.0) + F.exp(-F.when(higher, second).otherwise(first)))).alias("score"),
                     F.when(higher, F.col("common.margin")).otherwise(F.coalesce(worst["margin"], F.lit(NO_WORD))).alias("margin"),
                     F.when(higher, F.col("common.word")).otherwise(worst["word"]).alias("word"))
@@ -482,10 +497,8 @@ def judge(docs: DataFrame, labels: DataFrame, model: Model | None = None) -> Dat
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents that score below the threshold, with all their columns."""
-    model = fit(docs, labels)
-    scored = score(docs.select(F.struct(*docs.columns).alias("row"), F.col("text").alias("scored_text")), model,
-                   "scored_text", threshold)
-    return scored.where(F.col("predicted") == 0).select("row.row.*")
+    scored = score(docs, fit(docs, labels), threshold=threshold, whole=True)
+    return scored.where(F.col("predicted") == 0).select("row.*")
 
 
 ship(__name__)

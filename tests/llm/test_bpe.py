@@ -1,7 +1,9 @@
 """Encoding, decoding and counting against the tokenizers library."""
 
+import gc
 import hashlib
 import random
+import weakref
 
 import pytest
 import regex
@@ -181,3 +183,27 @@ def test_queries_equal_the_library(spark, library):
     counts = {r.doc_id: r for r in queries.QUERIES["op8_token_counts"](spark, sf).collect()}
     assert {d: (r.n_bytes, r.n_tokens, r.over_limit) for d, r in counts.items()} == {
         d: (len(t.encode()), len(ids[d]), len(ids[d]) > 1024) for d, t in docs.items()}
+
+
+def test_what_is_built_goes_with_its_vocabulary(path):
+    """A worker that lets the vocabulary go has its tables back at once, without the garbage collector."""
+    vocabulary = Vocabulary.of_file(path)
+    vocabulary.once(bpe.Codec).both("words to keep")
+    vocabulary.once(token_counts.Transducer).of_text("words to keep", 64)
+    gone = [weakref.ref(x) for x in (vocabulary, vocabulary.once(bpe.Encoder), vocabulary.once(bpe.Decoder))]
+    gc.disable()
+    try:
+        del vocabulary
+        assert [x() for x in gone] == [None] * 3
+    finally:
+        gc.enable()
+    assert bpe.Codec(Vocabulary.of_file(path)).both("a word")[0]
+
+
+def test_codes_without_digests(spark, path, library):
+    rows = [(n, t) for n, t in enumerate([*texts(60), "", None])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in bpe.codes(df, path, ["ids", "n_tokens", "decoded", "round_trip"], ["doc_id"]).collect()}
+    for n, text in rows:
+        ids = want(library, text)
+        assert got[n].ids == ids and got[n].n_tokens == len(ids) and got[n].decoded == (text or "") and got[n].round_trip

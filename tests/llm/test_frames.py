@@ -256,6 +256,27 @@ def test_rare_insults_are_learnt_and_chance_words_pass(spark):
     assert sum(got[d].predicted for d in held if not labels[d][2]) <= 0.02 * len(held)
 
 
+def test_stretches_counted_in_parts(spark, monkeypatch):
+    """A task hands its counts on when it holds so many; the sums stay."""
+    texts = [prose(40 + n, 40) + (" gravvik" if n % 3 == 0 else "") for n in range(60)]
+    train = spark.createDataFrame([(n, t, int(n % 3 == 0)) for n, t in enumerate([*texts, None, ""])], "doc_id long, text string, toxic int")
+    whole = [toxicity.telling_stretches(train), toxicity.telling_stretches(train, (4, 5, 6), "^", None)]
+    assert "ravv" in whole[0] and "^grav" in whole[1]
+    monkeypatch.setattr(toxicity, "KEPT_STRETCHES", 30)
+    assert [toxicity.telling_stretches(train), toxicity.telling_stretches(train, (4, 5, 6), "^", None)] == whole
+
+
+def test_rows_with_their_text_score_alike(spark):
+    """The text goes to a task once, inside the row; batches of more than 256 rows are cut."""
+    model = toxicity.train_words({"grumblor": 3, "snarfik": 2}, {w: 1 for w in set(prose(3, 60).split())})
+    df = frame(spark, [*(f"{prose(n, 5)} {'grumblor' if n % 7 == 0 else ''}" for n in range(600)), None, ""]).coalesce(1)
+    apart = {r.doc_id: (r.score, r.word) for r in toxicity.score(df, model).select("row.doc_id", "score", "word").collect()}
+    whole = toxicity.score(df, model, whole=True)
+    assert {r.doc_id: (r.score, r.word) for r in whole.select("row.doc_id", "score", "word").collect()} == apart
+    assert whole.select("row.*").columns == df.columns
+    assert {r.doc_id: r.text for r in whole.select("row.*").collect()} == {r.doc_id: r.text for r in df.collect()}
+
+
 def test_scores_need_no_package_on_executors(tmp_path):
     code = """
 import sys
