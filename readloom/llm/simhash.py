@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from readloom.functions.shipping import ship
-from readloom.session import written
+from readloom.session import by_shuffle, written
 
 SEED = 42
 SHINGLE = 3
@@ -115,7 +115,7 @@ def lookups(nodes: DataFrame, fp: str = "fp", distance: int = DISTANCE, crowd: i
 
     asked = nodes.select(whole.alias("a"), F.explode(F.concat(*map(ball, _slots(whole)))).alias("slot"))
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance
-    return asked.join(held, "slot").where(F.col("b").isNull() | ((F.col("a") != F.col("b")) & near)).select("a", "b")
+    return asked.join(by_shuffle(held), "slot").where(F.col("b").isNull() | ((F.col("a") != F.col("b")) & near)).select("a", "b")
 
 
 def crowd_links(nodes: DataFrame, fp: str = "fp", copies: str = "copies") -> DataFrame:
@@ -138,7 +138,7 @@ def links(nodes: DataFrame, fp: str = "fp", copies: str = "copies", crowd: int =
     """Edges ``(a, b)`` that connect all fingerprints two bits apart or less, and ``(fp, near)``: documents at the others within two bits."""
     met = written(lookups(nodes, fp, crowd=crowd), "lookups")
     pairs = met.where(F.col("b").isNotNull()).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    aside = written(met.where(F.col("b").isNull()).select(F.col("a").alias(fp)).distinct().join(nodes.select(fp, copies), fp), "aside")
+    aside = written(met.where(F.col("b").isNull()).select(F.col("a").alias(fp)).distinct().join(by_shuffle(nodes.select(fp, copies)), fp), "aside")
     stars = written(crowd_links(aside, fp, copies), "stars")
     edges = pairs.unionByName(stars.where(F.col("a") != F.col("b")).select("a", "b").distinct())
     # pairs of two that were put aside are counted by their buckets
@@ -146,7 +146,7 @@ def links(nodes: DataFrame, fp: str = "fp", copies: str = "copies", crowd: int =
             .join(aside.select(F.col(fp).alias("b"), F.lit(True).alias("b_aside")), "b", "left")
             .where(F.col("a_aside").isNull() | F.col("b_aside").isNull()))
     ways = both.select("a", "b").unionByName(both.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    single = ways.join(nodes.select(F.col(fp).alias("b"), copies), "b").groupBy(F.col("a").alias(fp)).agg(F.sum(copies).alias("near"))
+    single = ways.join(by_shuffle(nodes.select(F.col(fp).alias("b"), copies)), "b").groupBy(F.col("a").alias(fp)).agg(F.sum(copies).alias("near"))
     in_crowd = stars.groupBy(F.col("b").alias(fp)).agg(F.sum("weight").alias("weight"), F.count("*").alias("shared")).join(aside, fp).select(
         fp, F.expr(f"(weight - shared * {copies}) div 2").alias("near"))
     return edges, single.unionByName(in_crowd).groupBy(fp).agg(F.sum("near").alias("near"))
@@ -191,11 +191,11 @@ def near_duplicates(df: DataFrame, row_id: str = "doc_id", text: str = "text", c
     found, degree = links(nodes, crowd=crowd)
     edges = written(found, "links")
     roots = components(edges).withColumnRenamed("node", "fp")
-    placed = nodes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    placed = nodes.join(by_shuffle(roots), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     heads = placed.groupBy("root").agg(F.min("least").alias("component_id"))
     known = (placed.join(heads, "root").join(degree, "fp", "left")
              .select("fp", "component_id", (F.col("copies") - 1 + F.coalesce("near", F.lit(0))).alias("n_links")))
-    return (prints.join(written(known, "components"), "fp")
+    return (prints.join(by_shuffle(written(known, "components")), "fp")
             .select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "n_links"))
 
 

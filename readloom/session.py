@@ -51,6 +51,15 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def by_shuffle(df: DataFrame) -> DataFrame:
+    """The table, marked to be shuffled and sorted where it is joined, whatever size Spark takes it for.
+
+    For a table that grows with the texts: a broadcast is planned before anything is measured, by the compressed
+    bytes of stored columns, and rows made by an explode are not counted; the driver then builds the whole table.
+    """
+    return df.hint("merge")
+
+
 def broadcast_if_small(df: DataFrame, label: str, max_bytes: int = 64 << 20) -> DataFrame:
     """The table stored, and marked for broadcast when its rows' bytes (as text) are within the bound.
 

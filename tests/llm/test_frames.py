@@ -503,3 +503,14 @@ def test_repeated_rows_share_their_spans(spark):
     spans = substring_dedup.spans_by_text(substring_dedup.later_occurrences(chunked)).collect()
     assert spans and max(len(r["_spans"]) for r in spans) <= once
     assert substring_dedup.cut_repeats(df).select("text").distinct().count() == 2
+
+
+def test_lookups_are_not_broadcast(spark):
+    """Spark takes the rows of an exploded ball for as few as the fingerprints; all of them were built in the driver."""
+    nodes = near_copies.written(spark.range(3000).selectExpr("xxhash64(id) fp", "id least", "1L copies"), "nodes")
+    asked = simhash.lookups(nodes)
+    plan = asked._jdf.queryExecution().executedPlan().toString()
+    # the few crowded slots may be
+    assert [line.split("Join ")[0].split()[-1] + ("" if "LeftAnti" in line else " whole") for line in plan.splitlines() if "Join " in line] == [
+        "SortMerge whole", "BroadcastHash"]
+    assert asked.count() == 0
