@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from readloom.functions.shipping import ship
 from readloom.llm.simhash import components, fingerprint, links
-from readloom.session import written
+from readloom.session import by_shuffle, written
 
 SHINGLE = 5
 LEAST = 80  # per cent
@@ -141,9 +141,9 @@ def fingerprint_links(rows: DataFrame) -> DataFrame:
     of_text = written(rows.select("node", "fp").distinct(), "node-prints")
     prints = written(of_text.groupBy("fp").agg(F.min("node").alias("least"), F.count("*").alias("copies")), "prints")
     found, _ = links(prints)
-    first = [prints.select(F.col("fp").alias(c), F.col("least").alias(f"least_{c}")) for c in "ab"]
+    first = [by_shuffle(prints.select(F.col("fp").alias(c), F.col("least").alias(f"least_{c}"))) for c in "ab"]
     apart = found.join(first[0], "a").join(first[1], "b").select(F.col("least_a").alias("a"), F.col("least_b").alias("b"))
-    same = of_text.join(prints, "fp").select(F.col("least").alias("a"), F.col("node").alias("b"))
+    same = of_text.join(by_shuffle(prints), "fp").select(F.col("least").alias("a"), F.col("node").alias("b"))
     return apart.unionByName(same).where(F.col("a") != F.col("b"))
 
 
@@ -152,7 +152,7 @@ def stars(met: DataFrame) -> DataFrame:
 
     The centre is the member that meets most in all its buckets.
     """
-    shared = met.join(met.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1"), "bucket")
+    shared = met.join(by_shuffle(met.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1")), "bucket")
     shared = written(shared, "shared")
     weighed = written(shared.join(shared.groupBy("node").agg(F.sum("members").alias("weight")), "node"), "weighed")
     centres = weighed.groupBy("bucket").agg(F.max(F.struct("weight", "node", "n")).alias("centre"))
@@ -203,7 +203,7 @@ def tries(apart: DataFrame, sets: DataFrame, least: int = LEAST) -> DataFrame:
     first = written(placed.where((F.col("low") < F.col("high")) & (F.col("rest") * 100 >= F.col("n") * least))
                     .select("shingle", "root", "node", "n", "rest"), "prefixes")
     left, right = (first.select("shingle", *(F.col(c).alias(f"{c}_{s}") for c in ("root", "node", "n", "rest"))) for s in "ab")
-    tried = left.join(right, "shingle").where(
+    tried = left.join(by_shuffle(right), "shingle").where(
         (F.col("root_a") < F.col("root_b")) & _sizes_fit("n_a", "n_b", least)
         & (F.least("rest_a", "rest_b") * (100 + least) >= (F.col("n_a") + F.col("n_b")) * least))
     return tried.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
